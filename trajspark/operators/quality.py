@@ -1,5 +1,7 @@
 """Filters, checks and quarantine splits."""
 
+from operator import itemgetter
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from trajspark.settings import MIN_SCORE, check_level
@@ -22,11 +24,13 @@ def trajectory_problem(level) -> Column:
     reason = F.when(traj.isNull(), F.lit("null traj"))
     reason = reason.when(F.size(traj) == 0, F.lit(None).cast("string"))
     reason = reason.when(F.col("instruction").isNull(), F.lit("null instruction"))
+
+    def has_null(get):  # lambdas are applied at once, so loop variables are safe
+        return F.exists(traj, lambda s: get(s).isNull())
     for name in ("index", "image"):
-        reason = reason.when(F.exists(traj, lambda s, n=name: s[n].isNull()),
-                             F.lit(f"null {name}"))
+        reason = reason.when(has_null(itemgetter(name)), F.lit(f"null {name}"))
     for name in needed:
-        reason = reason.when(F.exists(traj, lambda s, n=name: s["value"][n].isNull()),
+        reason = reason.when(has_null(lambda s: s["value"].getField(name)),
                              F.lit(f"null {name}"))
     return reason
 
