@@ -77,20 +77,24 @@ def measure_trajectories(trajectories: DataFrame, level, counters, prompts=None,
 
 
 def measure_steps(tasks: DataFrame, steps: DataFrame, level, counters, prompts=None,
-                  image_root=None, keep=()) -> DataFrame:
+                  image_root=None, keep=(), sized=True) -> DataFrame:
     """The same sizes from flat tables: tasks(task_id, instruction, *keep) and
     steps(task_id, pos, index, image, observation, thought, action, code).
 
     Text is counted before the join, so only numbers and image names are shuffled; AQE splits
-    a hot task on the steps side.
+    a hot task on the steps side. `n_steps` is needed for totals only; without `sized` its
+    aggregation is left out.
     """
     value = {c: F.col(c) for c in ("observation", "thought", "action", "code")}
     counted = steps.select("task_id", F.col("pos").cast("long").alias("pos"),
                            X.join_root(image_root, F.col("image")).alias("image"),
                            *_step_counts(level, F.col("index"), value, counters))
     heads = tasks.select("task_id", *keep, *_head_counts(level, prompts, counters))
-    return counted.join(heads.join(task_sizes(steps), "task_id"), "task_id").select(
-        "task_id", *keep, "n_steps", *_names(HEADS, len(counters)), "pos", "image",
+    size = ["n_steps"] if sized else []
+    if sized:
+        heads = heads.join(task_sizes(steps), "task_id")
+    return counted.join(heads, "task_id").select(
+        "task_id", *keep, *size, *_names(HEADS, len(counters)), "pos", "image",
         *_names(STEPS, len(counters)))
 
 
@@ -176,11 +180,11 @@ def prefix_sizes(measures: DataFrame, offsets: DataFrame, image_dims: DataFrame,
         sums.append((head + F.col(f"target_{i}") + over(F.col(f"block_{i}"), previous)
                      + over(F.when(F.col("halo"), 0).otherwise(joined), before)
                      - over(joined, previous)).alias(f"_text_{i}"))
-    rows = rows.select("task_id", *keep, "chunk", "halo", "pos", "n_steps", *sums,
+    rows = rows.select("task_id", *keep, "chunk", "halo", "pos", *sums,
                        F.collect_list(image).over(w.rowsBetween(-window, 0)).alias("images"))
     rows = rows.filter(~F.col("halo")).join(offsets, ["task_id", "chunk"], "left")
     return rows.select(
-        "task_id", *keep, (F.col("pos") + 1).alias("prefix_len"), "n_steps",
+        "task_id", *keep, (F.col("pos") + 1).alias("prefix_len"),
         *[F.when(F.coalesce(f"joined_{i}_gaps", F.lit(0)) == 0,
                  F.col(f"_text_{i}") + F.coalesce(f"joined_{i}_before", F.lit(0)))
           .cast("long").alias(tokens_column(i)) for i in range(n_counters)],

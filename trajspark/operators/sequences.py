@@ -11,11 +11,15 @@ from pyspark.sql import DataFrame, Window, functions as F
 CHUNK = 4096
 
 
+def _chunk_of(position, chunk):
+    return F.expr(f"{position} div {chunk}").cast("long")
+
+
 def with_halo(rows: DataFrame, look_back, chunk=CHUNK, position="pos") -> DataFrame:
     """Adds `chunk` and `halo`; halo rows are copies and must be dropped after the window."""
     if look_back >= chunk:
         raise ValueError("chunk must be larger than the look-back")
-    own = F.floor(F.col(position) / F.lit(chunk)).cast("long")
+    own = _chunk_of(position, chunk)
     tail = F.pmod(F.col(position), F.lit(chunk)) >= chunk - look_back
     places = F.when(tail, F.array(F.struct(own.alias("chunk"), F.lit(False).alias("halo")),
                                   F.struct((own + 1).alias("chunk"), F.lit(True).alias("halo"))))
@@ -33,7 +37,7 @@ def chunk_offsets(rows: DataFrame, values, chunk=CHUNK, position="pos") -> DataF
 
     The window runs over one row per chunk, after partial aggregation.
     """
-    own = F.floor(F.col(position) / F.lit(chunk)).cast("long")
+    own = _chunk_of(position, chunk)
     parts = [F.sum(F.coalesce(v, F.lit(0))).alias(f"{v}_before") for v in values]
     parts += [F.count_if(F.col(v).isNull()).alias(f"{v}_gaps") for v in values]
     sums = rows.groupBy("task_id", own.alias("chunk")).agg(*parts)

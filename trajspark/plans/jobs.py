@@ -41,7 +41,7 @@ def step_usage(tasks: DataFrame, steps: DataFrame, image_dims: DataFrame, level=
     """Usage of every prefix from flat task and step tables."""
     distinct, _ = per_encoding(MODELS if models is None else models, counters)
     sizes = M.prefix_sizes(
-        M.measure_steps(tasks, steps, level, distinct, prompts, image_root, keep),
+        M.measure_steps(tasks, steps, level, distinct, prompts, image_root, keep, sized=False),
         M.offsets_of_steps(steps, distinct, chunk), image_dims, len(distinct), window,
         first_image, chunk, keep)
     return U.usage_rows(sizes, models, counters, (*keep, *U.ROW_KEYS), details)
