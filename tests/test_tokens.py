@@ -2,11 +2,11 @@ import base64
 
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
-from pyspark.sql import functions as F
 
 from tests import brute
 from trajspark.functions.text import estimate_tokens
 from trajspark.operators import expand as P, tokens as T, usage as U
+from trajspark.operators.quality import split_counted
 from trajspark.plans import jobs as J
 from trajspark.schemas import IMAGE_DIMS, TRAINING_ROW, TRAJECTORY
 from trajspark.settings import MODELS, Model
@@ -90,7 +90,7 @@ def test_one_count_per_encoding(spark, exact, rank_file):
     rows = chat(spark, [("1", ["abab", "do it", "<image>"], []), ("2", ["bad <|end|>"], []),
                         ("3", [], []), ("4", ["x", None], None)])
     usage = J.row_usage(rows, dims(spark), TWO, {"enc-b": exact}, details=False)
-    counted_rows, failed = T_split(usage)
+    counted_rows, failed = split_counted(usage)
     got = {(r.task_id, r.model): r.text_tokens for r in counted_rows.collect()}
     assert got[("1", "a")] == 1 + 3
     assert got[("1", "b")] == len(enc.encode("abab")) + len(enc.encode("do it"))
@@ -99,25 +99,22 @@ def test_one_count_per_encoding(spark, exact, rank_file):
     assert [(r.task_id, r.model) for r in failed.collect()] == [("2", "b")]
 
 
-def T_split(usage):
-    from trajspark.operators.quality import split_counted
-    return split_counted(usage)
+TEXTS = ["do it.", "ends blank \n", "", " \n lead", "9", "#", "\u00e9\n#"]
 
 
-@pytest.mark.parametrize("chunk", [4, 7, 4096])
-@pytest.mark.parametrize("text", ["do it.", "ends blank \n", "", " \n lead", "9", "#", "é\n#"])
-def test_sizes_equal_counts_of_built_rows(spark, exact, chunk, text):
+@pytest.mark.parametrize("level,chunk", [("L1", 7), ("L3", 4), ("L3", 4096)])
+def test_sizes_equal_counts_of_built_rows(spark, exact, level, chunk):
     """Both counters: step-wise sizes against the built text of every prefix."""
-    tasks = [brute.task("long", 19, text=text), brute.task("one", 1, text=text)]
-    data = spark.createDataFrame(tasks, TRAJECTORY)
+    tasks = [brute.task(f"long{i}", 13, text=t) for i, t in enumerate(TEXTS)]
+    mixed = brute.task("mixed", len(TEXTS))
+    for step, text in zip(mixed["traj"], TEXTS):
+        step["value"].update(action=text, thought=text, observation=text)
+    data = spark.createDataFrame(tasks + [mixed, brute.task("one", 1)], TRAJECTORY)
     counters = {"enc-b": exact}
-    for level in ("L1", "L3"):
-        rows = P.training_rows(data, level)
-        want = J.row_usage(rows, dims(spark), TWO, counters, details=False)
-        got = J.trajectory_usage(data, dims(spark), level, TWO, counters, chunk=chunk,
-                                 details=False)
-        pick = ["task_id", "prefix_len", "model", "text_tokens"]
-        assert sorted(got.select(pick).collect()) == sorted(want.select(pick).collect())
+    want = J.row_usage(P.training_rows(data, level), dims(spark), TWO, counters, details=False)
+    got = J.trajectory_usage(data, dims(spark), level, TWO, counters, chunk=chunk, details=False)
+    pick = ["task_id", "prefix_len", "model", "text_tokens"]
+    assert sorted(got.select(pick).collect()) == sorted(want.select(pick).collect())
 
 
 def test_uncountable_step_spoils_only_prefixes_that_repeat_it(spark, exact):
@@ -168,4 +165,3 @@ def test_training_rows_need_no_shuffle(spark):
     data = spark.createDataFrame([brute.task("t", 5)], TRAJECTORY)
     plan = P.training_rows(data, split_over=None)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
-    assert F is not None

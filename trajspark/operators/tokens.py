@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import LongType
 
 from trajspark.functions.text import IMAGE_MARK, estimate_tokens
 
@@ -90,14 +91,14 @@ def exact_counter(encoding, rank_file=None, pattern=None, special_tokens=None):
         except ValueError:
             return None
 
-    @F.pandas_udf("long")
+    @F.pandas_udf(LongType())
     def whole(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         tokenizer = _load_encoding(encoding, rank_file, pattern, special_tokens)
         for texts in batches:
             known = {t: count(tokenizer, t) for t in texts.dropna().unique()}
             yield texts.map(known).astype("Int64").where(texts.notna(), 0)
 
-    @F.pandas_udf("long")
+    @F.pandas_udf(LongType())
     def summed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         tokenizer = _load_encoding(encoding, rank_file, pattern, special_tokens)
         for lists in batches:

@@ -7,10 +7,11 @@ add only newer files with `modified_after`.
 import struct
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from trajspark.functions import images as I
 
+SIZE = T.StructType([T.StructField("width", T.LongType()), T.StructField("height", T.LongType())])
 # Start-of-frame markers that carry a size.
 JPEG_FRAMES = frozenset(range(0xC0, 0xD0)) - {0xC4, 0xC8, 0xCC}
 
@@ -41,7 +42,7 @@ def header_size(content):
     return None
 
 
-@F.pandas_udf("struct<width:long, height:long>")
+@F.pandas_udf(SIZE)
 def _other_size(contents: pd.Series) -> pd.DataFrame:
     sizes = [header_size(c) if c is not None else None for c in contents]
     return pd.DataFrame({"width": pd.array([s and s[0] for s in sizes], "Int64"),
