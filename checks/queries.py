@@ -102,7 +102,7 @@ def document_text_tokens(s, d):
 def image_tile_tokens(s, d):
     rows = V.image_dims(s, d).filter(F.col("status") == I.OK)
     return rows.select("path", "width", "height",
-                       I.tile_tokens(F.col("width"), F.col("height")).alias("tile_tokens"))
+                       I.tile_tokens().alias("tile_tokens"))
 
 
 def _step_images(s, d):

@@ -10,8 +10,17 @@ MISSING_BELOW = 90      # characters of text
 CORRUPT_BELOW = 130
 
 
+# The given tables' columns; declared, so that no job is spent on reading footers.
+SCHEMAS = {
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_extendedprice double, l_shipdate timestamp_ntz",
+}
+
+
 def table(spark: SparkSession, sf_dir, name) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _text(*parts):
@@ -37,14 +46,17 @@ def tasks(spark, sf_dir) -> DataFrame:
                        score.alias("alignment_score"), tag.alias("dataset"))
 
 
-def trajectories(spark, sf_dir) -> DataFrame:
+def nested(heads: DataFrame, flat: DataFrame) -> DataFrame:
     """The nested form, one row per task, as a trajectory file has it."""
     step = F.struct("pos", F.struct("index", "image", F.struct(
         "observation", "thought", "action", "code").alias("value")).alias("step"))
-    nested = (steps(spark, sf_dir).groupBy("task_id")
-              .agg(F.array_sort(F.collect_list(step)).alias("steps"))
-              .select("task_id", F.transform("steps", lambda s: s["step"]).alias("traj")))
-    return tasks(spark, sf_dir).join(nested, "task_id")
+    traj = (flat.groupBy("task_id").agg(F.array_sort(F.collect_list(step)).alias("steps"))
+            .select("task_id", F.transform("steps", lambda s: s["step"]).alias("traj")))
+    return heads.join(traj, "task_id")
+
+
+def trajectories(spark, sf_dir) -> DataFrame:
+    return nested(tasks(spark, sf_dir), steps(spark, sf_dir))
 
 
 def image_dims(spark, sf_dir) -> DataFrame:

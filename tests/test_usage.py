@@ -19,7 +19,7 @@ SIZES = [(1920, 1080), (512, 512), (513, 512), (768, 768), (769, 769), (2048, 20
 def tile_values(spark, sizes):
     frame = spark.createDataFrame([(i, w, h) for i, (w, h) in enumerate(sizes)],
                                   "i int, w bigint, h bigint")
-    rows = frame.select("i", I.tile_tokens(F.col("w"), F.col("h")).alias("t")).orderBy("i")
+    rows = frame.select("i", I.tile_tokens("w", "h").alias("t")).orderBy("i")
     return [r.t for r in rows.collect()]
 
 

@@ -14,46 +14,43 @@ LEGACY_TOKENS = BASE_TOKENS + 5 * TILE_TOKENS        # former flat estimate of f
 OK, CORRUPT, MISSING = "ok", "corrupt", "missing"
 
 
-def _scaled(side, factor, other):
-    return (side * F.lit(factor) / other).cast("long")
-
-
-def tile_tokens(width: Column, height: Column) -> Column:
-    """Tokens of one image before any model multiplier.
+def tile_tokens(width="width", height="height") -> Column:
+    """Tokens of one image before any model multiplier, from two integer columns.
 
     Fit inside the square, then shrink (never enlarge) the short side, truncating each time;
     a side truncated to zero leaves no tile and only the base tokens.
     """
-    width, height = width.cast("long"), height.cast("long")
-    limit, short = F.lit(MAX_SIDE).cast("long"), F.lit(SHORT_SIDE).cast("long")
-    too_big = (width > limit) | (height > limit)
-    w1 = (F.when(too_big & (width > height), limit)
-          .when(too_big, _scaled(width, MAX_SIDE, height)).otherwise(width))
-    h1 = (F.when(too_big & (width > height), _scaled(height, MAX_SIDE, width))
-          .when(too_big, limit).otherwise(height))
-    upright = w1 < h1
-    w2 = (F.when(upright & (w1 > short), short)
-          .when(~upright & (h1 > short), _scaled(w1, SHORT_SIDE, h1)).otherwise(w1))
-    h2 = (F.when(upright & (w1 > short), _scaled(h1, SHORT_SIDE, w1))
-          .when(~upright & (h1 > short), short).otherwise(h1))
-    tiles = F.ceil(w2 / F.lit(TILE_SIDE)) * F.ceil(h2 / F.lit(TILE_SIDE))
-    return (F.lit(BASE_TOKENS) + F.lit(TILE_TOKENS) * tiles).cast("long")
-
-
-def model_tokens(tile: Column, status: Column, model) -> Column:
-    """Billed tokens of one image for one model: 0 if missing, one tile if unreadable."""
-    if not model.supports_vision:
-        return F.lit(0).cast("long")
-    mult = F.lit(float(model.image_token_multiplier))
-    return (F.when(status == OK, (tile * mult).cast("long"))
-            .when(status == CORRUPT, (F.lit(FALLBACK_TOKENS) * mult).cast("long"))
-            .otherwise(F.lit(0).cast("long")))
-
-
-def base_from_billed(tokens: Column, model) -> Column:
+    def fitted(side, other, wins):
+        return (f"CASE WHEN greatest({width}, {height}) <= {MAX_SIDE} THEN {side} "
+                f"WHEN {wins} THEN {MAX_SIDE}L "
+                f"ELSE CAST({side} * {MAX_SIDE}L / {other} AS BIGINT) END")
+
+    def shrunk(side, other, shorter):
+        return (f"CASE WHEN least({side}, {other}) <= {SHORT_SIDE} THEN {side} "
+                f"WHEN {shorter} THEN {SHORT_SIDE}L "
+                f"ELSE CAST({side} * {SHORT_SIDE}L / {other} AS BIGINT) END")
+
+    w = f"({fitted(width, height, f'{width} > {height}')})"
+    h = f"({fitted(height, width, f'{width} <= {height}')})"
+    tiles = " * ".join(f"ceil(({side}) / {TILE_SIDE}.0D)" for side in (
+        shrunk(w, h, f"{w} < {h}"), shrunk(h, w, f"{w} >= {h}")))
+    return F.expr(f"CAST({BASE_TOKENS} + {TILE_TOKENS} * {tiles} AS BIGINT)")
+
+
+# SQL text, so that one parse replaces many column calls; the model's columns
+# (see operators.models) are in scope.
+def billed(tile="tile_tokens", status="status"):
+    """Billed tokens of one image: 0 if missing, one tile if unreadable."""
+    return (f"CASE WHEN NOT supports_vision THEN 0L "
+            f"WHEN {status} = '{OK}' THEN CAST({tile} * image_token_multiplier AS BIGINT) "
+            f"WHEN {status} = '{CORRUPT}' "
+            f"THEN CAST({FALLBACK_TOKENS} * image_token_multiplier AS BIGINT) ELSE 0L END")
+
+
+def base_from_billed(tokens):
     """Tokens backed out of the billed number; truncation may lose one."""
-    mult = float(model.image_token_multiplier)
-    return (tokens / F.lit(mult)).cast("long") if mult > 1.0 else tokens
+    return (f"CASE WHEN image_token_multiplier > 1 "
+            f"THEN CAST({tokens} / image_token_multiplier AS BIGINT) ELSE {tokens} END")
 
 
 def _big_endian(content, start, size):

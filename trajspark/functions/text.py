@@ -14,7 +14,8 @@ CODE_OPEN_DOCUMENTED = "## Code:\n```python\n"
 # One match per estimated token: runs of letters and marks, up to three digits, runs of
 # anything else printable, runs of blanks. The classes are disjoint, so the count of a text
 # is the sum over pieces cut where the class changes.
-TOKEN_PATTERN = r"[\p{L}\p{M}]+|\p{N}{1,3}|[^\s\p{L}\p{N}\p{M}]+|\s+"
+# Possessive, and in order of frequency: no backtracking.
+TOKEN_PATTERN = r"[\p{L}\p{M}]++|\s++|[^\s\p{L}\p{N}\p{M}]++|\p{N}{1,3}+"
 
 LAYOUTS = ("coded", "documented")
 
@@ -71,6 +72,40 @@ def target_turn(level, index, observation, thought, action, code, layout="coded"
     return F.concat(*glued)
 
 
+def _blank_end(text: Column) -> Column:
+    return F.coalesce(~F.right(text, F.lit(1)).rlike(r"\S"), F.lit(True))
+
+
+def estimate_step(level, index, observation, thought, action, code):
+    """(block, joined, target) estimates of one step, reading each of its texts once.
+
+    The texts are cut where the character class changes: after the colon of a section name and
+    after the backslash of the code opening. A line break after a section is one token more,
+    unless the section ends blank already.
+    """
+    def section(text):
+        return estimate_tokens(F.concat(F.lit(" "), text))
+
+    def gap(text):
+        return F.when(_blank_end(text), 0).otherwise(1)
+
+    # Estimates of "## Name:" and of the code opening up to its backslash.
+    name, opening = F.lit(4), F.lit(8)
+    heading = estimate_tokens(F.concat(step_heading(index), F.lit("\n")))
+    said = name + section(action)
+    block = (heading + said).cast("long")
+    joined = (block + gap(action)).cast("long")
+    if level is None:
+        return block, joined, None
+    target = joined + opening + estimate_tokens(F.concat(F.lit("n"), code, F.lit("```")))
+    for text in {"L1": [], "L2": [thought], "L3": [observation, thought]}[check_level(level)]:
+        target = target + name + section(text) + gap(text)
+    return block, joined, target.cast("long")
+
+
+estimate_tokens.step = estimate_step
+
+
 def join_root(root, image: Column) -> Column:
     """Image name below an optional root folder."""
     return image if not root else F.concat(F.lit(root.rstrip("/") + "/"), image)

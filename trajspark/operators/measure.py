@@ -40,16 +40,25 @@ def _head_counts(level, prompts, counters):
 
 def _joined_counts(index, action, counters):
     turn = F.concat(X.action_turn(index, action), F.lit(X.BLOCK_GAP))
-    return [counter(turn).alias(f"joined_{i}") for i, counter in enumerate(counters)]
+    return [(counter.step(None, index, None, None, action, None)[1]
+             if hasattr(counter, "step") else counter(turn)).alias(f"joined_{i}")
+            for i, counter in enumerate(counters)]
 
 
 def _step_counts(level, index, value, counters):
+    """block, joined and target per counter; a counter may know how to count a step at once."""
+    texts = [value[c] for c in ("observation", "thought", "action", "code")]
     turn = X.action_turn(index, value["action"])
-    target = X.target_turn(level, index, value["observation"], value["thought"],
-                           value["action"], value["code"])
-    out = _joined_counts(index, value["action"], counters)
+    out = []
     for i, counter in enumerate(counters):
-        out += [counter(turn).alias(f"block_{i}"), counter(target).alias(f"target_{i}")]
+        if hasattr(counter, "step"):
+            block, joined, target = counter.step(level, index, *texts)
+        else:
+            block = counter(turn)
+            joined = counter(F.concat(turn, F.lit(X.BLOCK_GAP)))
+            target = counter(X.target_turn(level, index, *texts))
+        out += [block.alias(f"block_{i}"), joined.alias(f"joined_{i}"),
+                target.alias(f"target_{i}")]
     return out
 
 
@@ -128,7 +137,7 @@ def with_dims(rows: DataFrame, image_dims: DataFrame, path="image") -> DataFrame
     """
     dims = image_dims.select(
         F.col("path").alias("_path"), F.col("status").alias("_status"),
-        F.when(F.col("status") == I.OK, I.tile_tokens(F.col("width"), F.col("height")))
+        F.when(F.col("status") == I.OK, I.tile_tokens())
         .alias("tile_tokens"))
     return (rows.join(dims, F.col(path) == F.col("_path"), "left")
             .withColumn("status", F.coalesce("_status", F.lit(I.MISSING)))

@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, functions as F
 from trajspark import schemas as S
 from trajspark.functions import images as I, text as X
 from trajspark.operators.measure import prefix_shares, with_dims
+from trajspark.operators.models import pricing, with_config, with_models
 from trajspark.operators.tokens import (nested_text_tokens, per_encoding, tokens_by_conversation,
                                         tokens_column)
 from trajspark.settings import MODELS, OUTPUT_TOKENS, WINDOW
@@ -12,89 +13,31 @@ from trajspark.settings import MODELS, OUTPUT_TOKENS, WINDOW
 ROW_KEYS = ("task_id", "prefix_len")
 
 
-def pricing(input_tokens, output_tokens, input_rate, output_rate):
-    """struct<input_cost, output_cost, total_cost> in binary doubles."""
-    input_cost = input_tokens / F.lit(1e6) * input_rate
-    output_cost = output_tokens / F.lit(1e6) * output_rate
-    return F.struct(input_cost.alias("input_cost"), output_cost.alias("output_cost"),
-                    (input_cost + output_cost).alias("total_cost"))
-
-
-def _image_scale(model):
-    return model.supports_vision, float(model.image_token_multiplier)
-
-
-def _image_scales(models):
-    """One model per distinct image scale; models with equal scale share their sums."""
-    scales = {}
-    for model in models.values():
-        scales.setdefault(_image_scale(model), model)
-    return scales
-
-
-def _array_sum(images, model):
-    return F.aggregate(images, F.lit(0).cast("long"),
-                       lambda acc, s: acc + I.model_tokens(s["tile_tokens"], s["status"], model))
-
-
-def _details(images, model):
-    def one(s):
-        tokens = I.model_tokens(s["tile_tokens"], s["status"], model)
-        return F.struct(s["path"].alias("path"), tokens.alias("tokens"),
-                        I.base_from_billed(tokens, model).alias("base_tokens"),
-                        F.lit(float(model.image_token_multiplier)).alias("multiplier"))
-    return F.transform(images, one)
-
-
-def _by_model(rows, keys, models, fields):
-    """One row per key and model. The rate table is a literal array, so nothing is joined."""
-    entries = [F.struct(F.lit(name).alias("model"), *fields(model))
-               for name, model in models.items()]
-    return rows.select(*keys, F.inline(F.array(*entries)))
-
-
-def _priced(rows, keys, models, output_tokens):
-    out = F.lit(output_tokens).cast("long")
-    config = config_of(F.col("model"), models)
-    total_input = F.col("text_tokens") + F.col("image_tokens")
+def _priced(rows, keys, output_tokens):
+    """Closing columns of a usage row; the model's rates are in scope."""
     rest = ["image_details"] if "image_details" in rows.columns else []
-    return rows.select(
+    total_input = "text_tokens + image_tokens"
+    return rows.selectExpr(
         *keys, "model", "text_tokens", "image_tokens", "image_count",
-        total_input.alias("total_input_tokens"), out.alias("output_tokens"),
-        (total_input + out).alias("total_tokens"), *rest,
-        pricing(total_input, out, config["input_price_per_1m"],
-                config["output_price_per_1m"]).alias("pricing"))
-
-
-def config_of(model, models):
-    """Rate-table entry of a model label as a struct; null for an unknown label."""
-    def entry(m):
-        return F.struct(F.lit(m.encoding).alias("encoding"),
-                        F.lit(m.supports_vision).alias("supports_vision"),
-                        F.lit(float(m.input_price_per_1m)).alias("input_price_per_1m"),
-                        F.lit(float(m.output_price_per_1m)).alias("output_price_per_1m"),
-                        F.lit(float(m.image_token_multiplier)).alias("image_token_multiplier"))
-    return F.coalesce(*[F.when(model == name, entry(m)) for name, m in models.items()])
+        f"{total_input} AS total_input_tokens", f"{output_tokens}L AS output_tokens",
+        f"{total_input} + {output_tokens}L AS total_tokens", *rest,
+        f"{pricing(total_input, output_tokens)} AS pricing")
 
 
 def usage_rows(sizes: DataFrame, models=None, counters=None, keys=ROW_KEYS, details=True,
                output_tokens=OUTPUT_TOKENS) -> DataFrame:
     """Usage per conversation and model from text_tokens_<i> and an `images` array."""
     models = MODELS if models is None else models
-    _, position = per_encoding(models, counters)
-    # Scales shared by several models are summed once.
-    scales = _image_scales(models)
-    column = {scale: f"_image_{j}" for j, scale in enumerate(scales)}
-    rows = sizes.select("*", *[_array_sum(F.col("images"), m).alias(column[s])
-                               for s, m in scales.items()])
-
-    def fields(model):
-        out = [F.col(tokens_column(position[model.encoding])).alias("text_tokens"),
-               F.col(column[_image_scale(model)]).alias("image_tokens"),
-               F.size("images").cast("long").alias("image_count")]
-        return out + ([_details(F.col("images"), model).alias("image_details")]
-                      if details else [])
-    return _priced(_by_model(rows, keys, models, fields), keys, models, output_tokens)
+    one = I.billed("s.tile_tokens", "s.status")
+    columns = [f"aggregate(images, 0L, (n, s) -> n + {one}) AS image_tokens",
+               "CAST(size(images) AS BIGINT) AS image_count"]
+    if details:
+        columns.append(
+            f"transform(images, s -> named_struct('path', s.path, 'tokens', {one}, "
+            f"'base_tokens', {I.base_from_billed(f'({one})')}, "
+            f"'multiplier', image_token_multiplier)) AS image_details")
+    rows = with_models(sizes, models, counters=counters).selectExpr("*", *columns)
+    return _priced(rows, keys, output_tokens)
 
 
 def row_sizes(rows: DataFrame, image_dims: DataFrame, models=None, counters=None,
@@ -127,55 +70,44 @@ def flat_usage(messages: DataFrame, images: DataFrame, image_dims: DataFrame, ke
     conversation holding a third of all messages costs one row per task.
     """
     models = MODELS if models is None else models
-    distinct, position = per_encoding(models, counters)
+    distinct, _ = per_encoding(models, counters)
     texts = None
     for i, counter in enumerate(distinct):
         one = tokens_by_conversation(messages, keys, content, counter).withColumnRenamed(
             "text_tokens", tokens_column(i))
         texts = one if texts is None else texts.join(one, list(keys))
-    scales = _image_scales(models)
-    column = {scale: f"_image_{j}" for j, scale in enumerate(scales)}
-    tile, status = F.col("tile_tokens"), F.col("status")
-    billed = (with_dims(images.select(*keys, F.col(path).alias("image")), image_dims)
-              .groupBy(*keys)
-              .agg(F.count(F.lit(1)).alias("image_count"),
-                   *[F.sum(I.model_tokens(tile, status, m)).alias(column[s])
-                     for s, m in scales.items()]))
-    rows = texts.join(billed, list(keys), "left")
-
-    def fields(model):
-        return [F.col(tokens_column(position[model.encoding])).alias("text_tokens"),
-                F.coalesce(column[_image_scale(model)], F.lit(0)).cast("long")
-                .alias("image_tokens"),
-                F.coalesce("image_count", F.lit(0)).cast("long").alias("image_count")]
-    return _priced(_by_model(rows, keys, models, fields), keys, models, output_tokens)
+    # Images of a conversation differ in few tile counts: counted first, then billed per model.
+    per_tile = (with_dims(images.select(*keys, F.col(path).alias("image")), image_dims)
+                .groupBy(*keys, "tile_tokens", "status").agg(F.count(F.lit(1)).alias("shown")))
+    tiles = (per_tile.groupBy(*keys)
+             .agg(F.collect_list(F.struct("tile_tokens", "status", "shown")).alias("tiles")))
+    rows = with_models(texts.join(tiles, list(keys), "left"), models, counters=counters)
+    rows = rows.selectExpr(
+        "*", f"coalesce(aggregate(tiles, 0L, (n, s) -> n + s.shown * "
+        f"{I.billed('s.tile_tokens', 's.status')}), 0L) AS image_tokens",
+        "coalesce(aggregate(tiles, 0L, (n, s) -> n + s.shown), 0L) AS image_count")
+    return _priced(rows, keys, output_tokens)
 
 
 def _summary(sums, by, models, output_tokens):
     """Totals, costs and averages from four integer sums per group and model."""
-    n = F.col("total_conversations")
-    config = config_of(F.col("model"), models)
-    rows = sums.select(
-        *by, "model", *[config[c].alias(c) for c in S.CONFIG_FIELDS], "total_conversations",
-        "total_text_tokens", "total_image_tokens",
-        (F.col("total_text_tokens") + F.col("total_image_tokens")).alias("total_input_tokens"),
-        (n * F.lit(output_tokens)).cast("long").alias("total_output_tokens"), "total_images")
-    rows = rows.withColumn("total_tokens",
-                           F.col("total_input_tokens") + F.col("total_output_tokens"))
-    cost = pricing(F.col("total_input_tokens"), F.col("total_output_tokens"),
-                   F.col("input_price_per_1m"), F.col("output_price_per_1m"))
-    rows = rows.withColumn("_cost", cost)
+    rows = with_config(sums, models).selectExpr(
+        "*", "total_text_tokens + total_image_tokens AS total_input_tokens",
+        f"total_conversations * {output_tokens}L AS total_output_tokens")
+    rows = rows.selectExpr(
+        "*", "total_input_tokens + total_output_tokens AS total_tokens",
+        f"{pricing('total_input_tokens', 'total_output_tokens')} AS cost")
     averaged = {"avg_text_tokens": "total_text_tokens", "avg_image_tokens": "total_image_tokens",
                 "avg_total_input_tokens": "total_input_tokens",
                 "avg_output_tokens": "total_output_tokens", "avg_total_tokens": "total_tokens",
-                "avg_images_per_conversation": "total_images"}
-    return rows.select(
+                "avg_images_per_conversation": "total_images",
+                "avg_cost_per_conversation": "cost.total_cost"}
+    return rows.selectExpr(
         *by, "model", *S.CONFIG_FIELDS, "total_conversations", *S.TOKEN_TOTALS,
-        *[F.col("_cost")[c].alias(t) for c, t in zip(
-            ("input_cost", "output_cost", "total_cost"), S.COST_TOTALS)],
-        *[F.try_divide(F.col(total).cast("double"), n).alias(avg)
-          for avg, total in averaged.items()],
-        F.try_divide(F.col("_cost")["total_cost"], n).alias("avg_cost_per_conversation"))
+        *[f"cost.{t.removeprefix('total_') if t != 'total_cost' else t} AS {t}"
+          for t in S.COST_TOTALS],
+        *[f"try_divide(CAST({total} AS DOUBLE), total_conversations) AS {avg}"
+          for avg, total in averaged.items()])
 
 
 def usage_totals(usage: DataFrame, models=None, by=(), output_tokens=OUTPUT_TOKENS):
@@ -200,7 +132,7 @@ def corpus_totals(measures: DataFrame, image_dims: DataFrame, models=None, count
     one row per task), then per tile count, and only those few rows are spread over the models.
     """
     models = MODELS if models is None else models
-    distinct, position = per_encoding(models, counters)
+    distinct, _ = per_encoding(models, counters)
     texts = [tokens_column(i) for i in range(len(distinct))]
 
     def added_up(rows, keys):
@@ -214,16 +146,13 @@ def corpus_totals(measures: DataFrame, image_dims: DataFrame, models=None, count
     per_path = added_up(shares, ["image"])
     per_tile = added_up(with_dims(per_path, image_dims), ["tile_tokens", "status"])
 
-    def fields(model):
-        one = I.model_tokens(F.col("tile_tokens"), F.col("status"), model)
-        return [F.col(tokens_column(position[model.encoding])).alias("text"),
-                (one * F.col("shown")).alias("image"), F.col("shown").alias("shown"),
-                F.col("rows").alias("rows")]
-    sums = _by_model(per_tile, by, models, fields).groupBy(*by, "model").agg(
+    # A handful of rows is left to spread over the models.
+    sums = with_models(per_tile, models, counters=counters).groupBy(*by, "model").agg(
         F.sum("rows").alias("total_conversations"),
-        F.when(F.count_if(F.col("text").isNull()) == 0, F.sum("text"))
+        F.expr("CASE WHEN count_if(text_tokens IS NULL) = 0 THEN sum(text_tokens) END")
         .alias("total_text_tokens"),
-        F.sum("image").alias("total_image_tokens"), F.sum("shown").alias("total_images"))
+        F.expr(f"sum(shown * {I.billed()})").alias("total_image_tokens"),
+        F.sum("shown").alias("total_images"))
     return _summary(sums, by, models, output_tokens)
 
 
@@ -235,13 +164,10 @@ def image_detail_rows(usage: DataFrame, keys=ROW_KEYS) -> DataFrame:
 
 def image_costs(images: DataFrame, models=None, keys=("path",)) -> DataFrame:
     """Billed and backed-out tokens per image and model from tile_tokens and status."""
-    models = MODELS if models is None else models
-
-    def fields(model):
-        tokens = I.model_tokens(F.col("tile_tokens"), F.col("status"), model)
-        return [F.lit(float(model.image_token_multiplier)).alias("multiplier"),
-                tokens.alias("tokens"), I.base_from_billed(tokens, model).alias("base_tokens")]
-    return _by_model(images, keys, models, fields)
+    rows = with_models(images, MODELS if models is None else models)
+    return rows.selectExpr(*keys, "model", "image_token_multiplier AS multiplier",
+                           f"{I.billed()} AS tokens",
+                           f"{I.base_from_billed(f'({I.billed()})')} AS base_tokens")
 
 
 def legacy_delta(images: DataFrame, tokens="tile_tokens") -> DataFrame:
@@ -253,16 +179,11 @@ def legacy_delta(images: DataFrame, tokens="tile_tokens") -> DataFrame:
 def cost_estimates(averages: DataFrame, models=None, by=(), output_tokens=OUTPUT_TOKENS):
     """Price of one average conversation under each model of the rate table."""
     models = MODELS if models is None else models
-    renamed = averages.select(*by, "avg_total_input_tokens")
-
-    def fields(model):
-        cost = pricing(F.col("avg_total_input_tokens"), F.lit(output_tokens),
-                       F.lit(float(model.input_price_per_1m)),
-                       F.lit(float(model.output_price_per_1m)))
-        return [F.col("avg_total_input_tokens").alias("avg_input_tokens"),
-                F.lit(output_tokens).cast("long").alias("output_tokens"),
-                cost["total_cost"].alias("cost_per_conversation")]
-    return _by_model(renamed, by, models, fields)
+    rows = with_models(averages.select(*by, "avg_total_input_tokens"), models)
+    return rows.selectExpr(
+        *by, "model", "avg_total_input_tokens AS avg_input_tokens",
+        f"{output_tokens}L AS output_tokens",
+        f"{pricing('avg_total_input_tokens', output_tokens)}.total_cost AS cost_per_conversation")
 
 
 def first_conversations(rows: DataFrame, n, keys=ROW_KEYS) -> DataFrame:
