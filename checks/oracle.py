@@ -276,8 +276,9 @@ ORACLE = {
     total_tokens, total_cost, avg_cost_per_conversation FROM totals""",
     "alignment_filter": f"WITH {TASKS} SELECT task_id, alignment_score FROM tasks "
                         "WHERE alignment_score >= 5",
-    "prefix_expand": f"""WITH {STEPS} SELECT a.task_id, a.pos + 1 AS prefix_len,
-    b.n AS n_steps, a.image AS last_image FROM steps a
+    "prefix_expand": f"WITH {STEPS} SELECT task_id, image, pos + 1 AS prefix_len FROM steps",
+    "prefix_expand_nested": f"""WITH {STEPS} SELECT a.task_id, a.pos + 1 AS prefix_len,
+    b.n AS n_steps, a.image FROM steps a
     JOIN (SELECT task_id, count(*) AS n FROM steps GROUP BY 1) b ON a.task_id = b.task_id""",
     "prefix_full_only": f"WITH {STEPS} SELECT task_id, max(pos) + 1 AS prefix_len "
                         "FROM steps GROUP BY 1",
@@ -304,6 +305,7 @@ ORACLE = {
     "message_text_tokens": f"SELECT conv_id, turn, {tok('text')} AS tokens FROM conversations",
     "conversation_text_tokens": f"SELECT conv_id, sum({tok('text')})::BIGINT AS text_tokens "
                                 "FROM conversations GROUP BY 1",
+    "distinct_text_tokens": f"SELECT doc_id, {tok('text')} AS tokens FROM documents",
     "document_text_tokens": f"SELECT doc_id, {tok('text')} AS tokens FROM documents",
     "image_tile_tokens": f"WITH {DIMS}, {FITTED}, {SHRUNK}, {TILES} SELECT path, width, height, "
                          "tile_tokens FROM tiles WHERE status = 'ok'",

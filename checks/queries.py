@@ -37,17 +37,21 @@ def alignment_filter(s, d):
 
 
 def prefix_expand(s, d):
+    return P.prefixes_of_steps(V.steps(s, d), keep=("image",))
+
+
+def prefix_expand_nested(s, d):
     rows = P.prefixes(V.trajectories(s, d))
     return rows.select("task_id", "prefix_len", F.col("n_steps").cast("long").alias("n_steps"),
-                       F.col("step")["image"].alias("last_image"))
+                       F.col("step")["image"].alias("image"))
 
 
 def prefix_full_only(s, d):
-    return P.prefixes(V.trajectories(s, d), full_only=True).select("task_id", "prefix_len")
+    return P.prefixes_of_steps(V.steps(s, d), full_only=True)
 
 
 def prefix_min_length(s, d):
-    return P.prefixes(V.trajectories(s, d), min_prefix=5).select("task_id", "prefix_len")
+    return P.prefixes_of_steps(V.steps(s, d), min_prefix=5)
 
 
 def history_block(s, d):
@@ -99,6 +103,12 @@ def document_text_tokens(s, d):
     return T.flat_message_tokens(V.table(s, d, "documents"), "text").select("doc_id", "tokens")
 
 
+def distinct_text_tokens(s, d):
+    """The documents hold exact copies; each distinct text is counted once."""
+    rows = V.table(s, d, "documents").select("doc_id", "text")
+    return T.distinct_message_tokens(rows, "text").select("doc_id", "tokens")
+
+
 def image_tile_tokens(s, d):
     rows = V.image_dims(s, d).filter(F.col("status") == I.OK)
     return rows.select("path", "width", "height",
@@ -261,16 +271,17 @@ def training_set_cost(s, d):
 
 
 QUERIES = {f.__name__: f for f in (
-    training_set_cost, alignment_filter, prefix_expand, prefix_full_only, prefix_min_length,
-    history_block, image_window, image_window_aligned, training_images,
+    training_set_cost, alignment_filter, prefix_expand, prefix_expand_nested, prefix_full_only,
+    prefix_min_length, history_block, image_window, image_window_aligned, training_images,
     quarantined_trajectories, missing_images_strict, message_text_tokens,
-    conversation_text_tokens, document_text_tokens, image_tile_tokens, image_model_tokens,
-    legacy_image_delta, conversation_usage, trajectory_usage, training_row_usage, chat_usage,
-    image_details, usage_totals_by_model, usage_totals_from_rows, usage_totals_nested,
-    usage_averages_by_model, usage_by_dataset, first_n_usage, usage_sample, conversation_ids,
-    unknown_models, compare_token_matrix, compare_average_matrix, compare_pricing,
-    compare_features, compare_rank, compare_multiplier, compare_vs_cheapest_total,
-    last_result_wins, cost_estimate, summary_report)}
+    conversation_text_tokens, document_text_tokens, distinct_text_tokens, image_tile_tokens,
+    image_model_tokens, legacy_image_delta, conversation_usage, trajectory_usage,
+    training_row_usage, chat_usage, image_details, usage_totals_by_model,
+    usage_totals_from_rows, usage_totals_nested, usage_averages_by_model, usage_by_dataset,
+    first_n_usage, usage_sample, conversation_ids, unknown_models, compare_token_matrix,
+    compare_average_matrix, compare_pricing, compare_features, compare_rank,
+    compare_multiplier, compare_vs_cheapest_total, last_result_wins, cost_estimate,
+    summary_report)}
 QUERIES.update(training_messages_l1=_messages("L1"), training_messages_l2=_messages("L2"),
                training_messages_l3=_messages("L3"),
                training_messages_documented=_messages("L2", layout="documented"))

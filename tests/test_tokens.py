@@ -31,6 +31,15 @@ def test_estimate_equals_pattern_matches(spark, texts):
         0 if t == "<image>" else brute.tokens(t) for t in texts]
 
 
+def test_distinct_counts(spark, exact):
+    frame = spark.createDataFrame(
+        [(i, t) for i, t in enumerate(["abab"] * 50 + [None, "", "<image>", "x <|end|>"])],
+        "i int, content string")
+    got = {r.i: r.tokens for r in T.distinct_message_tokens(frame, counter=exact).collect()}
+    assert {got[i] for i in range(50)} == {2}
+    assert [got[i] for i in range(50, 54)] == [0, 0, 0, None]
+
+
 def test_hot_conversation_sum(spark):
     rows = [("hot", "a b")] * 500 + [("cold", "x")] + [("hot", "<image>")]
     frame = spark.createDataFrame(rows, "id string, content string")

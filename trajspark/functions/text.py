@@ -89,9 +89,11 @@ def estimate_step(level, index, observation, thought, action, code):
     def gap(text):
         return F.when(_blank_end(text), 0).otherwise(1)
 
-    # Estimates of "## Name:" and of the code opening up to its backslash.
-    name, opening = F.lit(4), F.lit(8)
-    heading = estimate_tokens(F.concat(step_heading(index), F.lit("\n")))
+    # Estimates of "## Name:", of the code opening up to its backslash, and of
+    # a heading line without its number.
+    name, opening, line = F.lit(4), F.lit(8), F.lit(5)
+    number = F.length(F.abs(index + F.lit(1)).cast("string"))
+    heading = line + F.ceil(number / F.lit(3)) + F.when(index < -1, 1).otherwise(0)
     said = name + section(action)
     block = (heading + said).cast("long")
     joined = (block + gap(action)).cast("long")

@@ -49,6 +49,16 @@ def prefixes(trajectories: DataFrame, min_prefix=MIN_PREFIX_INDEX, full_only=Fal
     return _select_prefixes(rows, min_prefix, full_only)
 
 
+def prefixes_of_steps(steps: DataFrame, min_prefix=MIN_PREFIX_INDEX, full_only=False,
+                      keep=()) -> DataFrame:
+    """The same from flat steps: each step ends one prefix. A long task stays many rows."""
+    rows = steps.select("task_id", *keep, (F.col("pos") + 1).cast("long").alias("prefix_len"))
+    if not full_only:
+        return rows.filter(F.col("prefix_len") > min_prefix)
+    last = rows.groupBy("task_id", *keep).agg(F.max("prefix_len").alias("prefix_len"))
+    return last.filter(F.col("prefix_len") > min_prefix)
+
+
 def _with_pieces(trajectories, layout, root, min_prefix, full_only, keep, split_over):
     """Prefix rows that carry the task's turn texts and image paths, built once per task."""
     sized = trajectories.withColumn("n_steps", F.size("traj"))

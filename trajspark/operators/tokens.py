@@ -42,6 +42,22 @@ def flat_message_tokens(messages: DataFrame, content="content", counter=estimate
     return messages.withColumn("tokens", message_tokens(F.col(content), counter))
 
 
+def distinct_message_tokens(messages: DataFrame, content="content", counter=estimate_tokens):
+    """Adds `tokens`, counting every distinct content once and joining the count back.
+
+    For a costly counter over text that repeats far apart. Copies collapse before the shuffle
+    and only digests travel on the way back, where AQE splits a hot one.
+    """
+    digest = F.sha2(F.col(content), 256)
+    counts = (messages.filter(F.col(content).isNotNull())
+              .groupBy(digest.alias("_digest")).agg(F.first(content).alias("_content"))
+              .select("_digest", message_tokens(F.col("_content"), counter).alias("_tokens")))
+    joined = messages.withColumn("_digest", digest).join(counts, "_digest", "left")
+    return joined.withColumn(
+        "tokens", F.when(F.col("_digest").isNull(), F.lit(0).cast("long"))
+        .otherwise(F.col("_tokens"))).drop("_digest", "_tokens")
+
+
 def tokens_by_conversation(messages: DataFrame, keys, content="content",
                            counter=estimate_tokens) -> DataFrame:
     """Sum over messages; partial sums before the shuffle keep one hot conversation cheap.

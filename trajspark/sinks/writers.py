@@ -5,14 +5,22 @@ from pyspark.sql import DataFrame, functions as F
 from trajspark import schemas as S
 
 
-def write_training_rows(rows: DataFrame, path, fmt="json", mode="errorifexists"):
-    """Training rows as JSONL shards (or parquet), one object per line."""
-    rows.write.mode(mode).format(fmt).save(path)
+def write_training_rows(rows: DataFrame, path, fmt="json", mode="errorifexists",
+                        rows_per_file=0):
+    """Training rows as JSONL shards (or parquet), one object per line.
 
+    The rows are many times larger than their trajectories; `rows_per_file` bounds a file.
+    """
+    rows.write.mode(mode).option("maxRecordsPerFile", rows_per_file).format(fmt).save(path)
 
-def write_usage(usage: DataFrame, path, mode="errorifexists"):
-    """Per-conversation usage, one folder per model, so a reader of one model skips the rest."""
-    usage.write.mode(mode).partitionBy("model").parquet(path)
+
+def write_usage(usage: DataFrame, path, mode="errorifexists", rebalance=True):
+    """Per-conversation usage, one folder per model, so a reader of one model skips the rest.
+
+    Rebalancing lets AQE size the files; without it every task writes a file per model.
+    """
+    rows = usage.hint("rebalance", "model") if rebalance else usage
+    rows.write.mode(mode).partitionBy("model").parquet(path)
 
 
 def result_documents(summary: DataFrame, input_file=None) -> DataFrame:
