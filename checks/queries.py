@@ -96,7 +96,9 @@ def message_text_tokens(s, d):
 
 
 def conversation_text_tokens(s, d):
-    return T.tokens_by_conversation(V.table(s, d, "conversations"), ["conv_id"], "text")
+    rows = V.table(s, d, "conversations")
+    return T.tokens_by_conversation(rows, ["conv_id"], "text").withColumnRenamed(
+        T.tokens_column(0), "text_tokens")
 
 
 def document_text_tokens(s, d):
@@ -105,8 +107,7 @@ def document_text_tokens(s, d):
 
 def distinct_text_tokens(s, d):
     """The documents hold exact copies; each distinct text is counted once."""
-    rows = V.table(s, d, "documents").select("doc_id", "text")
-    return T.distinct_message_tokens(rows, "text").select("doc_id", "tokens")
+    return T.distinct_message_tokens(V.table(s, d, "documents"), ["doc_id"], "text")
 
 
 def image_tile_tokens(s, d):

@@ -1,5 +1,8 @@
 """Row-by-row reading of the row format, for small fixtures only."""
 
+from fractions import Fraction
+from math import ceil, floor
+
 import regex
 
 TOKEN = regex.compile(r"[\p{L}\p{M}]+|\p{N}{1,3}|[^\s\p{L}\p{N}\p{M}]+|\s+")
@@ -50,13 +53,15 @@ def text_tokens(messages, count=tokens):
 
 
 def tiles(w, h):
-    if w > 2048 or h > 2048:
-        w, h = (2048, int(h * 2048 / w)) if w > h else (int(w * 2048 / h), 2048)
-    if w < h:
-        w, h = (768, int(h * 768 / w)) if w > 768 else (w, h)
-    elif h > 768:
-        w, h = int(w * 768 / h), 768
-    return 85 + 170 * (-(-w // 512)) * (-(-h // 512))
+    """Exact ratios instead of doubles; sides below 2**20 cannot tell them apart."""
+    long, short = Fraction(max(w, h)), Fraction(min(w, h))
+    for side, limit in (("long", 2048), ("short", 768)):
+        reach = long if side == "long" else short
+        if reach > limit:
+            long, short = ((limit, floor(short * limit / long)) if side == "long"
+                           else (floor(long * limit / short), limit))
+            long, short = Fraction(long), Fraction(short)
+    return 85 + 170 * ceil(long / 512) * ceil(short / 512)
 
 
 def step(i, image=None, text="do it", thought="hm", index=None):

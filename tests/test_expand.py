@@ -128,6 +128,16 @@ def test_quarantine_reasons(spark, change, reason):
     assert ok.count() == 0 and bad.first().reason == reason
 
 
+def test_only_emitted_targets_need_a_thought(spark):
+    record = brute.task("t", 3)
+    record["traj"][1]["value"]["thought"] = None
+    data = frame(spark, [record])
+    rows, bad = J.training_set(data, level="L2", full_only=True)
+    assert [r.prefix_len for r in rows.collect()] == [3] and bad.count() == 0
+    assert J.training_set(data, level="L2", min_prefix=2)[0].count() == 1
+    assert J.training_set(data, level="L2", min_prefix=1)[1].count() == 1
+
+
 def test_missing_images_abort_the_strict_job(spark):
     data = frame(spark, [brute.task("t", 3)])
     dims = spark.createDataFrame([("t_0.png", 10, 10, "ok"), ("t_2.png", None, None, "corrupt")],

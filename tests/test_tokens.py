@@ -35,7 +35,7 @@ def test_distinct_counts(spark, exact):
     frame = spark.createDataFrame(
         [(i, t) for i, t in enumerate(["abab"] * 50 + [None, "", "<image>", "x <|end|>"])],
         "i int, content string")
-    got = {r.i: r.tokens for r in T.distinct_message_tokens(frame, counter=exact).collect()}
+    got = {r.i: r.tokens for r in T.distinct_message_tokens(frame, ["i"], counter=exact).collect()}
     assert {got[i] for i in range(50)} == {2}
     assert [got[i] for i in range(50, 54)] == [0, 0, 0, None]
 
@@ -43,7 +43,7 @@ def test_distinct_counts(spark, exact):
 def test_hot_conversation_sum(spark):
     rows = [("hot", "a b")] * 500 + [("cold", "x")] + [("hot", "<image>")]
     frame = spark.createDataFrame(rows, "id string, content string")
-    got = {r.id: r.text_tokens for r in T.tokens_by_conversation(frame, ["id"]).collect()}
+    got = {r.id: r.text_tokens_0 for r in T.tokens_by_conversation(frame, ["id"]).collect()}
     assert got == {"hot": 1500, "cold": 1}
 
 
@@ -155,6 +155,22 @@ def test_flat_usage_equals_nested(spark):
     assert sorted(got.select(cols).collect()) == sorted(want.select(cols).collect())
 
 
+def test_flat_usage_of_images_without_messages(spark):
+    messages = spark.createDataFrame([("1", "a b")], "id string, content string")
+    images = spark.createDataFrame([("2", "x"), ("2", "gone")], "id string, path string")
+    got = U.flat_usage(messages, images, dims(spark, [("x", 1920, 1080, "ok")]), ["id"], TWO)
+    assert sorted((r.id, r.model, r.text_tokens, r.image_tokens, r.image_count)
+                  for r in got.collect()) == [
+        ("1", "a", 3, 0, 0), ("1", "b", 3, 0, 0), ("2", "a", 0, 1105, 2), ("2", "b", 0, 2210, 2)]
+
+
+def test_totals_leave_out_what_cannot_be_counted(spark, exact):
+    rows = chat(spark, [("1", ["abab"], []), ("2", ["<|end|>"], [])])
+    usage = J.row_usage(rows, dims(spark), TWO, {"enc-b": exact}, details=False)
+    assert {r.model: r.total_conversations for r in U.usage_totals(usage, TWO).collect()} == {
+        "a": 2, "b": 1}
+
+
 def test_counts_are_shared_between_models(spark):
     counters, position = T.per_encoding(MODELS)
     assert len(counters) == 1 and set(position.values()) == {0}

@@ -7,7 +7,7 @@ from trajspark.functions import images as I
 from trajspark.operators import usage as U
 from trajspark.operators.expand import training_rows
 from trajspark.operators.measure import with_dims
-from trajspark.operators.sequences import chunk_offsets, dense_ids
+from trajspark.operators.sequences import chunk_sums, dense_ids
 from trajspark.plans import jobs as J
 from trajspark.schemas import IMAGE_DIMS, TRAINING_ROW, TRAJECTORY
 from trajspark.settings import MODELS, PROMPTS, Model, select_models
@@ -201,12 +201,16 @@ def test_missing_and_null_images(spark):
 
 def test_dense_ids(spark):
     rows = spark.range(0, 5000, 1, 7).select((F.col("id") * 37 % 5000).alias("k"))
+    placed = dense_ids(rows.drop("k").select(F.monotonically_increasing_id().alias("n")))
+    assert placed.agg(F.max("conversation_id"), F.countDistinct("conversation_id")).first() == (
+        4999, 5000)
     got = dense_ids(rows, ["k"])
     assert got.filter("k <> conversation_id").count() == 0 and got.count() == 5000
 
 
-def test_chunk_offsets(spark):
+def test_chunk_sums(spark):
     rows = spark.range(25).select(F.lit("t").alias("task_id"), F.col("id").alias("pos"),
                                   F.when(F.col("id") != 12, F.lit(1)).alias("v"))
-    got = {r.chunk: (r.v_before, r.v_gaps) for r in chunk_offsets(rows, ["v"], 10).collect()}
-    assert got == {1: (10, 0), 2: (19, 1)}
+    got = {r.chunk: (r.v_before, r.v_gaps, r.n_steps)
+           for r in chunk_sums(rows, ["v"], 10).collect()}
+    assert got == {0: (0, 0, 25), 1: (10, 0, 25), 2: (19, 1, 25)}

@@ -20,20 +20,15 @@ def tile_tokens(width="width", height="height") -> Column:
     Fit inside the square, then shrink (never enlarge) the short side, truncating each time;
     a side truncated to zero leaves no tile and only the base tokens.
     """
-    def fitted(side, other, wins):
-        return (f"CASE WHEN greatest({width}, {height}) <= {MAX_SIDE} THEN {side} "
-                f"WHEN {wins} THEN {MAX_SIDE}L "
-                f"ELSE CAST({side} * {MAX_SIDE}L / {other} AS BIGINT) END")
-
-    def shrunk(side, other, shorter):
-        return (f"CASE WHEN least({side}, {other}) <= {SHORT_SIDE} THEN {side} "
-                f"WHEN {shorter} THEN {SHORT_SIDE}L "
-                f"ELSE CAST({side} * {SHORT_SIDE}L / {other} AS BIGINT) END")
-
-    w = f"({fitted(width, height, f'{width} > {height}')})"
-    h = f"({fitted(height, width, f'{width} <= {height}')})"
-    tiles = " * ".join(f"ceil(({side}) / {TILE_SIDE}.0D)" for side in (
-        shrunk(w, h, f"{w} < {h}"), shrunk(h, w, f"{w} >= {h}")))
+    # The rule treats both sides alike, so it is written for the longer and the shorter one.
+    longer, shorter = f"greatest({width}, {height})", f"least({width}, {height})"
+    shorter = (f"CASE WHEN {longer} > {MAX_SIDE} "
+               f"THEN CAST({shorter} * {MAX_SIDE}L / {longer} AS BIGINT) ELSE {shorter} END")
+    longer = f"least({longer}, {MAX_SIDE}L)"
+    longer = (f"CASE WHEN ({shorter}) > {SHORT_SIDE} "
+              f"THEN CAST({longer} * {SHORT_SIDE}L / ({shorter}) AS BIGINT) ELSE {longer} END")
+    shorter = f"least({shorter}, {SHORT_SIDE}L)"
+    tiles = " * ".join(f"ceil(({side}) / {TILE_SIDE}.0D)" for side in (longer, shorter))
     return F.expr(f"CAST({BASE_TOKENS} + {TILE_TOKENS} * {tiles} AS BIGINT)")
 
 

@@ -21,7 +21,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from trajspark.functions import images as I, text as X
 from trajspark.operators.expand import check_first_image
-from trajspark.operators.sequences import CHUNK, chunk_offsets, chunk_window, with_halo
+from trajspark.operators.sequences import (CHUNK, chunk_of, chunk_sums, chunk_window,
+                                           offset_names, with_halo)
 from trajspark.operators.tokens import message_tokens, tokens_column
 from trajspark.settings import PROMPTS, WINDOW, check_level
 
@@ -86,47 +87,39 @@ def measure_trajectories(trajectories: DataFrame, level, counters, prompts=None,
 
 
 def measure_steps(tasks: DataFrame, steps: DataFrame, level, counters, prompts=None,
-                  image_root=None, keep=(), sized=True) -> DataFrame:
+                  image_root=None, keep=(), chunk=CHUNK) -> DataFrame:
     """The same sizes from flat tables: tasks(task_id, instruction, *keep) and
     steps(task_id, pos, index, image, observation, thought, action, code).
 
-    Text is counted before the join, so only numbers and image names are shuffled; AQE splits
-    a hot task on the steps side. `n_steps` is needed for totals only; without `sized` its
-    aggregation is left out.
+    Text is counted before it meets a shuffle, so only numbers and image names travel. The join
+    is on (task, chunk), so the steps of one long task meet their task in many places; the
+    task's side also brings the history counted up to the chunk. For that the actions are read
+    and counted a second time, unless the caller drops those columns, as totals do.
     """
     value = {c: F.col(c) for c in ("observation", "thought", "action", "code")}
+    joined = _names(("joined",), len(counters))
     counted = steps.select("task_id", F.col("pos").cast("long").alias("pos"),
+                           chunk_of("pos", chunk).alias("chunk"),
                            X.join_root(image_root, F.col("image")).alias("image"),
                            *_step_counts(level, F.col("index"), value, counters))
+    chunks = chunk_sums(
+        steps.select("task_id", "pos", *_joined_counts(F.col("index"), F.col("action"), counters)),
+        joined, chunk)
     heads = tasks.select("task_id", *keep, *_head_counts(level, prompts, counters))
-    size = ["n_steps"] if sized else []
-    if sized:
-        heads = heads.join(task_sizes(steps), "task_id")
-    return counted.join(heads, "task_id").select(
-        "task_id", *keep, *size, *_names(HEADS, len(counters)), "pos", "image",
-        *_names(STEPS, len(counters)))
-
-
-def task_sizes(steps: DataFrame) -> DataFrame:
-    return steps.groupBy("task_id").agg(F.count(F.lit(1)).alias("n_steps"))
+    return counted.join(heads.join(chunks, "task_id"), ["task_id", "chunk"]).select(
+        "task_id", *keep, "n_steps", *_names(HEADS, len(counters)), *offset_names(joined), "pos",
+        "image", *_names(STEPS, len(counters)))
 
 
 def offsets_of_trajectories(trajectories, counters, chunk=CHUNK):
-    """History offsets; only tasks longer than one chunk are read and counted again."""
-    step = F.col("col")
+    """History counted up to each chunk but the first, of tasks longer than one chunk only."""
+    step, joined = F.col("col"), _names(("joined",), len(counters))
     rows = (trajectories.filter(F.size("traj") > chunk)
             .select("task_id", F.posexplode("traj"))
             .select("task_id", "pos",
                     *_joined_counts(step["index"], step["value"]["action"], counters)))
-    return chunk_offsets(rows, _names(("joined",), len(counters)), chunk)
-
-
-def offsets_of_steps(steps, counters, chunk=CHUNK):
-    long = task_sizes(steps).filter(F.col("n_steps") > chunk)
-    rows = (steps.join(long, "task_id", "left_semi")
-            .select("task_id", "pos",
-                    *_joined_counts(F.col("index"), F.col("action"), counters)))
-    return chunk_offsets(rows, _names(("joined",), len(counters)), chunk)
+    return chunk_sums(rows, joined, chunk).filter(F.col("chunk") > 0).select(
+        "task_id", "chunk", *offset_names(joined))
 
 
 def with_dims(rows: DataFrame, image_dims: DataFrame, path="image") -> DataFrame:
@@ -163,13 +156,14 @@ def image_windows(steps: DataFrame, window=WINDOW, first_image="coded", chunk=CH
                     shown_images(F.col("images"), window, first_image).alias("images")))
 
 
-def prefix_sizes(measures: DataFrame, offsets: DataFrame, image_dims: DataFrame, n_counters=1,
+def prefix_sizes(measures: DataFrame, image_dims: DataFrame, n_counters=1, offsets=None,
                  window=WINDOW, first_image="coded", chunk=CHUNK, keep=()) -> DataFrame:
     """One row per prefix: text_tokens_<i> and the shown images with their tile tokens.
 
     Two shuffles of numbers: on the image path (none if the sizes are broadcast) and on
-    (task, chunk). The offsets join reuses the second one and vanishes at run time when no
-    task is longer than a chunk.
+    (task, chunk). Flat measures carry their history offsets; those of nested ones come as
+    `offsets`, whose join reuses the second shuffle and vanishes at run time when no task is
+    longer than a chunk.
     """
     w = chunk_window()
     previous, before = w.rowsBetween(-window, -1), w.rowsBetween(Window.unboundedPreceding, -1)
@@ -179,6 +173,8 @@ def prefix_sizes(measures: DataFrame, offsets: DataFrame, image_dims: DataFrame,
         gaps = F.coalesce(F.count_if(value.isNull()).over(frame), F.lit(0))
         return F.when(gaps == 0, F.coalesce(F.sum(value).over(frame), F.lit(0)))
 
+    names = offset_names(_names(("joined",), n_counters))
+    carried = names if offsets is None else []
     image = F.struct(F.col("image").alias("path"), "tile_tokens", "status")
     rows = with_halo(with_dims(measures, image_dims), window, chunk)
     sums = []
@@ -189,13 +185,14 @@ def prefix_sizes(measures: DataFrame, offsets: DataFrame, image_dims: DataFrame,
         sums.append((head + F.col(f"target_{i}") + over(F.col(f"block_{i}"), previous)
                      + over(F.when(F.col("halo"), 0).otherwise(joined), before)
                      - over(joined, previous)).alias(f"_text_{i}"))
-    rows = rows.select("task_id", *keep, "chunk", "halo", "pos", *sums,
+    rows = rows.select("task_id", *keep, "chunk", "halo", "pos", *carried, *sums,
                        F.collect_list(image).over(w.rowsBetween(-window, 0)).alias("images"))
-    rows = rows.filter(~F.col("halo")).join(offsets, ["task_id", "chunk"], "left")
+    rows = rows.filter(~F.col("halo"))
+    if offsets is not None:
+        rows = rows.join(offsets, ["task_id", "chunk"], "left").fillna(0, subset=names)
     return rows.select(
         "task_id", *keep, (F.col("pos") + 1).alias("prefix_len"),
-        *[F.when(F.coalesce(f"joined_{i}_gaps", F.lit(0)) == 0,
-                 F.col(f"_text_{i}") + F.coalesce(f"joined_{i}_before", F.lit(0)))
+        *[F.when(F.col(f"joined_{i}_gaps") == 0, F.col(f"_text_{i}") + F.col(f"joined_{i}_before"))
           .cast("long").alias(tokens_column(i)) for i in range(n_counters)],
         shown_images(F.col("images"), window, first_image).alias("images"))
 

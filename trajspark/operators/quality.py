@@ -14,30 +14,37 @@ def keep_scored(trajectories: DataFrame, min_score=MIN_SCORE) -> DataFrame:
     return trajectories.filter(F.col("alignment_score") >= min_score)
 
 
-def trajectory_problem(level) -> Column:
-    """Why a nested trajectory cannot be expanded at this level, or null."""
+def trajectory_problem(level, min_prefix=0, full_only=False) -> Column:
+    """Why a nested trajectory cannot be expanded at this level, or null.
+
+    Every step needs its index, image and action; only steps that end an emitted prefix need
+    their code and, depending on the level, thought and observation.
+    """
     check_level(level)
-    needed = ["action", "code"]
-    needed += ["thought"] if level in ("L2", "L3") else []
-    needed += ["observation"] if level == "L3" else []
+    needed = {"L1": ["code"], "L2": ["thought", "code"],
+              "L3": ["observation", "thought", "code"]}[level]
     traj = F.col("traj")
+    first = F.greatest(F.size(traj), F.lit(1)) if full_only else F.lit(min_prefix + 1)
+    ends = F.slice(traj, first, F.greatest(F.size(traj), F.lit(0)))
+
+    def has_null(steps, get):
+        return F.exists(steps, lambda s: get(s).isNull())
     reason = F.when(traj.isNull(), F.lit("null traj"))
     reason = reason.when(F.size(traj) == 0, F.lit(None).cast("string"))
     reason = reason.when(F.col("instruction").isNull(), F.lit("null instruction"))
-
-    def has_null(get):  # lambdas are applied at once, so loop variables are safe
-        return F.exists(traj, lambda s: get(s).isNull())
     for name in ("index", "image"):
-        reason = reason.when(has_null(itemgetter(name)), F.lit(f"null {name}"))
-    for name in needed:
-        reason = reason.when(has_null(lambda s: s["value"].getField(name)),
+        reason = reason.when(has_null(traj, itemgetter(name)), F.lit(f"null {name}"))
+    reason = reason.when(has_null(traj, lambda s: s["value"].getField("action")),
+                         F.lit("null action"))
+    for name in needed:  # applied at once, so the loop variable is safe in the lambda
+        reason = reason.when(has_null(ends, lambda s: s["value"].getField(name)),
                              F.lit(f"null {name}"))
     return reason
 
 
-def split_valid(trajectories: DataFrame, level, strict=False):
+def split_valid(trajectories: DataFrame, level, strict=False, min_prefix=0, full_only=False):
     """(usable, quarantine with `reason`); strict raises on the first bad trajectory."""
-    tagged = trajectories.withColumn("reason", trajectory_problem(level))
+    tagged = trajectories.withColumn("reason", trajectory_problem(level, min_prefix, full_only))
     bad = tagged.filter(F.col("reason").isNotNull())
     if strict:
         first = bad.select("task_id", "reason").take(1)

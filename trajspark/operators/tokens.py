@@ -42,34 +42,34 @@ def flat_message_tokens(messages: DataFrame, content="content", counter=estimate
     return messages.withColumn("tokens", message_tokens(F.col(content), counter))
 
 
-def distinct_message_tokens(messages: DataFrame, content="content", counter=estimate_tokens):
-    """Adds `tokens`, counting every distinct content once and joining the count back.
+def distinct_message_tokens(messages: DataFrame, keys, content="content",
+                            counter=estimate_tokens):
+    """keys and `tokens`, counting every distinct content once and joining the count back.
 
-    For a costly counter over text that repeats far apart. Copies collapse before the shuffle
-    and only digests travel on the way back, where AQE splits a hot one.
+    For a costly counter over text that repeats far apart. Copies collapse before the shuffle;
+    on the way back only keys and digests travel, and AQE splits a hot digest.
     """
-    digest = F.sha2(F.col(content), 256)
-    counts = (messages.filter(F.col(content).isNotNull())
-              .groupBy(digest.alias("_digest")).agg(F.first(content).alias("_content"))
-              .select("_digest", message_tokens(F.col("_content"), counter).alias("_tokens")))
-    joined = messages.withColumn("_digest", digest).join(counts, "_digest", "left")
-    return joined.withColumn(
-        "tokens", F.when(F.col("_digest").isNull(), F.lit(0).cast("long"))
-        .otherwise(F.col("_tokens"))).drop("_digest", "_tokens")
+    text = F.col(content)
+    counts = messages.filter(text.isNotNull()).select(content).distinct().select(
+        F.sha2(text, 256).alias("_digest"), message_tokens(text, counter).alias("_tokens"))
+    joined = messages.select(*keys, F.sha2(text, 256).alias("_digest")).join(
+        counts, "_digest", "left")
+    return joined.select(*keys, F.when(F.col("_digest").isNull(), F.lit(0).cast("long"))
+                         .otherwise(F.col("_tokens")).alias("tokens"))
 
 
 def tokens_by_conversation(messages: DataFrame, keys, content="content",
-                           counter=estimate_tokens) -> DataFrame:
-    """Sum over messages; partial sums before the shuffle keep one hot conversation cheap.
+                           counters=(estimate_tokens,)) -> DataFrame:
+    """Sum over messages, text_tokens_<i> per counter; partial sums before the shuffle keep one
+    hot conversation cheap.
 
     A message that cannot be encoded leaves its conversation's sum null.
     """
-    tokens = message_tokens(F.col(content), counter)
-    counted = messages.select(*keys, tokens.alias("tokens"))
-    total = F.sum(F.coalesce("tokens", F.lit(0)))
-    failed = F.max(F.col("tokens").isNull())
-    return counted.groupBy(*keys).agg(
-        F.when(~failed, total).cast("long").alias("text_tokens"))
+    names = [tokens_column(i) for i in range(len(counters))]
+    counted = messages.select(*keys, *[message_tokens(F.col(content), c).alias(n)
+                                       for c, n in zip(counters, names)])
+    return counted.groupBy(*keys).agg(*[
+        F.when(F.count_if(F.col(n).isNull()) == 0, F.sum(n)).alias(n) for n in names])
 
 
 def nested_text_tokens(messages, counter=estimate_tokens):

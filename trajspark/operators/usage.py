@@ -71,18 +71,18 @@ def flat_usage(messages: DataFrame, images: DataFrame, image_dims: DataFrame, ke
     """
     models = MODELS if models is None else models
     distinct, _ = per_encoding(models, counters)
-    texts = None
-    for i, counter in enumerate(distinct):
-        one = tokens_by_conversation(messages, keys, content, counter).withColumnRenamed(
-            "text_tokens", tokens_column(i))
-        texts = one if texts is None else texts.join(one, list(keys))
+    texts = tokens_by_conversation(messages, keys, content, distinct)
     # Images of a conversation differ in few tile counts: counted first, then billed per model.
     per_tile = (with_dims(images.select(*keys, F.col(path).alias("image")), image_dims)
                 .groupBy(*keys, "tile_tokens", "status").agg(F.count(F.lit(1)).alias("shown")))
     tiles = (per_tile.groupBy(*keys)
              .agg(F.collect_list(F.struct("tile_tokens", "status", "shown")).alias("tiles")))
-    rows = with_models(texts.join(tiles, list(keys), "left"), models, counters=counters)
-    rows = rows.selectExpr(
+    # A conversation may have images and no message.
+    names = [tokens_column(i) for i in range(len(distinct))]
+    both = (texts.withColumn("_said", F.lit(True)).join(tiles, list(keys), "full")
+            .withColumns({n: F.when(F.col("_said").isNull(), F.lit(0)).otherwise(F.col(n))
+                          for n in names}).drop("_said"))
+    rows = with_models(both, models, counters=counters).selectExpr(
         "*", f"coalesce(aggregate(tiles, 0L, (n, s) -> n + s.shown * "
         f"{I.billed('s.tile_tokens', 's.status')}), 0L) AS image_tokens",
         "coalesce(aggregate(tiles, 0L, (n, s) -> n + s.shown), 0L) AS image_count")
@@ -111,12 +111,13 @@ def _summary(sums, by, models, output_tokens):
 
 
 def usage_totals(usage: DataFrame, models=None, by=(), output_tokens=OUTPUT_TOKENS):
-    """Totals and averages per model (and per `by`) from usage rows.
+    """Totals and averages per model (and per `by`) from usage rows. Conversations that could
+    not be counted are left out, also from the number of conversations.
 
     Costs come from the integer sums in one expression, so they do not depend on row order.
     """
     models = MODELS if models is None else models
-    sums = usage.groupBy(*by, "model").agg(
+    sums = usage.filter(F.col("text_tokens").isNotNull()).groupBy(*by, "model").agg(
         F.count(F.lit(1)).alias("total_conversations"),
         F.sum("text_tokens").alias("total_text_tokens"),
         F.sum("image_tokens").alias("total_image_tokens"),

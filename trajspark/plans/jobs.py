@@ -5,19 +5,20 @@ from pyspark.sql import DataFrame, functions as F
 from trajspark.operators import compare as C, expand as P, measure as M, quality as Q, usage as U
 from trajspark.operators.sequences import CHUNK
 from trajspark.operators.tokens import per_encoding
-from trajspark.settings import DEFAULT_LEVEL, MIN_SCORE, MODELS, WINDOW
+from trajspark.settings import DEFAULT_LEVEL, MIN_PREFIX_INDEX, MIN_SCORE, MODELS, WINDOW
 
 
 def training_set(trajectories: DataFrame, image_dims=None, level=DEFAULT_LEVEL,
-                 min_score=MIN_SCORE, strict=False, image_root=None, **options):
+                 min_score=MIN_SCORE, strict=False, image_root=None, min_prefix=MIN_PREFIX_INDEX,
+                 full_only=False, **options):
     """(training rows, quarantine): score filter, validation, expansion of every prefix.
 
-    With `image_dims` every image of a kept trajectory must exist, as each step's screenshot
-    is shown by some prefix.
+    With `image_dims` every image some training row shows must exist.
     """
     kept = Q.keep_scored(trajectories, min_score) if min_score is not None else trajectories
-    usable, bad = Q.split_valid(kept, level, strict)
-    rows = P.training_rows(usable, level, image_root=image_root, **options)
+    usable, bad = Q.split_valid(kept, level, strict, min_prefix, full_only)
+    rows = P.training_rows(usable, level, image_root=image_root, min_prefix=min_prefix,
+                           full_only=full_only, **options)
     if image_dims is not None:
         Q.require_images(P.image_rows(rows), image_dims)
     return rows, bad
@@ -30,7 +31,7 @@ def trajectory_usage(trajectories: DataFrame, image_dims: DataFrame, level=DEFAU
     distinct, _ = per_encoding(MODELS if models is None else models, counters)
     sizes = M.prefix_sizes(
         M.measure_trajectories(trajectories, level, distinct, prompts, image_root, keep),
-        M.offsets_of_trajectories(trajectories, distinct, chunk), image_dims, len(distinct),
+        image_dims, len(distinct), M.offsets_of_trajectories(trajectories, distinct, chunk),
         window, first_image, chunk, keep)
     return U.usage_rows(sizes, models, counters, (*keep, *U.ROW_KEYS), details)
 
@@ -41,9 +42,8 @@ def step_usage(tasks: DataFrame, steps: DataFrame, image_dims: DataFrame, level=
     """Usage of every prefix from flat task and step tables."""
     distinct, _ = per_encoding(MODELS if models is None else models, counters)
     sizes = M.prefix_sizes(
-        M.measure_steps(tasks, steps, level, distinct, prompts, image_root, keep, sized=False),
-        M.offsets_of_steps(steps, distinct, chunk), image_dims, len(distinct), window,
-        first_image, chunk, keep)
+        M.measure_steps(tasks, steps, level, distinct, prompts, image_root, keep, chunk),
+        image_dims, len(distinct), None, window, first_image, chunk, keep)
     return U.usage_rows(sizes, models, counters, (*keep, *U.ROW_KEYS), details)
 
 

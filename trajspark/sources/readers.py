@@ -17,16 +17,18 @@ def read_trajectories(spark: SparkSession, path, quarantine=False) -> DataFrame:
 
 def read_training_rows(spark: SparkSession, path, json_array=False,
                        partitions=None) -> DataFrame:
-    """Training rows from sharded JSONL, or from one JSON array.
+    """Training rows from sharded JSONL, or from one JSON array, with a `conversation_id`.
 
-    An array file is one partition whatever its size, so its rows are spread out again; write
+    Rows written elsewhere have no task_id and prefix_len; the id is unique for any input, and
+    the position for a single array (`sequences.dense_ids` gives positions for shards too). An
+    array file is one partition whatever its size, so its rows are spread out again; write
     JSONL or parquet to read in parallel.
     """
-    reader = spark.read.schema(S.TRAINING_ROW)
+    reader = spark.read.schema(S.TRAINING_ROW).option("multiLine", json_array)
+    rows = reader.json(path).withColumn("conversation_id", F.monotonically_increasing_id())
     if not json_array:
-        return reader.json(path)
-    rows = reader.option("multiLine", True).json(path)
-    return rows.repartition(partitions) if partitions else rows.repartition()
+        return rows
+    return rows.repartition(partitions) if partitions else rows.repartition("conversation_id")
 
 
 def _flat(results: DataFrame, *extra) -> DataFrame:
