@@ -149,6 +149,12 @@ def test_missing_images_abort_the_strict_job(spark):
     extra = spark.createDataFrame([("t_1.png", 1, 1, "ok")], dims.schema)
     rows, _ = J.training_set(data, dims.union(extra))
     assert rows.count() == 3
+    four = frame(spark, [brute.task("t", 4)])
+    # Of the whole trajectory only, the second screenshot is not shown and may be missing.
+    last = spark.createDataFrame([("t_3.png", 1, 1, "ok")], dims.schema)
+    assert J.training_set(four, dims.union(last), full_only=True)[0].count() == 1
+    with pytest.raises(FileNotFoundError):
+        J.training_set(four, dims.union(last))
 
 
 def test_streaming_source_needs_no_state(spark, tmp_path):

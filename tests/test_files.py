@@ -33,6 +33,22 @@ def bmp(width, height):
     return b"BM" + b"\0" * 16 + struct.pack("<ii", width, -height) + b"\0" * 8
 
 
+def webp(kind, body):
+    chunk = kind + struct.pack("<I", len(body)) + body
+    return b"RIFF" + struct.pack("<I", len(chunk) + 4) + b"WEBP" + chunk
+
+
+def test_webp_headers():
+    size = (1920, 1080)
+    lossless = struct.pack("<I", (size[0] - 1) | (size[1] - 1) << 14)
+    for kind, body in ((b"VP8X", b"\0" * 4 + (1919).to_bytes(3, "little")
+                        + (1079).to_bytes(3, "little")),
+                       (b"VP8L", b"\x2f" + lossless + b"\0" * 5),
+                       (b"VP8 ", b"\0\0\0\x9d\x01\x2a" + struct.pack("<HH", *size))):
+        assert I.header_size(webp(kind, body)) == size
+    assert I.header_size(webp(b"VP8?", b"\0" * 10)) is None
+
+
 @pytest.fixture(scope="module")
 def shots(tmp_path_factory):
     root = tmp_path_factory.mktemp("shots")
@@ -65,6 +81,11 @@ def test_listing_reads_no_content(spark, shots):
     assert "content" not in plan.split("ReadSchema")[1]
 
 
+def test_image_root_must_be_absolute(spark):
+    with pytest.raises(ValueError):
+        I.list_images(spark, "shots").collect()
+
+
 def test_refreshed_dims(spark):
     known = spark.createDataFrame([("a", 1, 1, "ok"), ("b", None, None, "corrupt")], S.IMAGE_DIMS)
     newer = spark.createDataFrame([("b", 2, 2, "ok"), ("c", 3, 3, "ok")], S.IMAGE_DIMS)

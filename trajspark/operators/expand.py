@@ -178,6 +178,12 @@ def message_rows(rows: DataFrame, keys=("task_id", "prefix_len")) -> DataFrame:
                     F.col("col")["role"].alias("role"), F.col("col")["content"].alias("content")))
 
 
+def step_images(trajectories: DataFrame, image_root=None) -> DataFrame:
+    """Screenshots of all steps; with every prefix emitted these are all images shown."""
+    images = trajectories.select(F.explode("traj.image").alias("image"))
+    return images.select(X.join_root(image_root, F.col("image")).alias("path"))
+
+
 def image_rows(rows: DataFrame, keys=("task_id", "prefix_len")) -> DataFrame:
     """Flat form of training rows, one row per shown image."""
     return (rows.select(*keys, F.posexplode("images"))

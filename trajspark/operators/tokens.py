@@ -7,6 +7,7 @@ and not once per model.
 """
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -83,14 +84,16 @@ def nested_text_tokens(messages, counter=estimate_tokens):
         lambda acc, m: acc + message_tokens(m["content"], counter)), F.lit(0).cast("long"))
 
 
+@lru_cache(maxsize=4)
 def _load_encoding(encoding, rank_file, pattern, special_tokens):
+    """Kept for the life of a Python worker, which serves many tasks."""
     import tiktoken
     from tiktoken.load import load_tiktoken_bpe
     if rank_file is None:
         return tiktoken.get_encoding(encoding)
     return tiktoken.Encoding(name=encoding, pat_str=pattern,
                              mergeable_ranks=load_tiktoken_bpe(rank_file),
-                             special_tokens=special_tokens or {})
+                             special_tokens=dict(special_tokens))
 
 
 def exact_counter(encoding, rank_file=None, pattern=None, special_tokens=None):
@@ -101,6 +104,8 @@ def exact_counter(encoding, rank_file=None, pattern=None, special_tokens=None):
     a special token cannot be encoded and counts null. `rank_file` must be readable on every
     executor; without it the tokenizer package looks the encoding up by name.
     """
+    special = tuple((special_tokens or {}).items())
+
     def count(tokenizer, text):
         try:
             return len(tokenizer.encode(text)) if text else 0
@@ -109,14 +114,14 @@ def exact_counter(encoding, rank_file=None, pattern=None, special_tokens=None):
 
     @F.pandas_udf(LongType())
     def whole(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        tokenizer = _load_encoding(encoding, rank_file, pattern, special_tokens)
+        tokenizer = _load_encoding(encoding, rank_file, pattern, special)
         for texts in batches:
             known = {t: count(tokenizer, t) for t in texts.dropna().unique()}
             yield texts.map(known).astype("Int64").where(texts.notna(), 0)
 
     @F.pandas_udf(LongType())
     def summed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        tokenizer = _load_encoding(encoding, rank_file, pattern, special_tokens)
+        tokenizer = _load_encoding(encoding, rank_file, pattern, special)
         for lists in batches:
             flat = lists.explode()
             known = {t: count(tokenizer, t) for t in flat.dropna().unique()}

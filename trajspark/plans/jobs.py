@@ -20,7 +20,9 @@ def training_set(trajectories: DataFrame, image_dims=None, level=DEFAULT_LEVEL,
     rows = P.training_rows(usable, level, image_root=image_root, min_prefix=min_prefix,
                            full_only=full_only, **options)
     if image_dims is not None:
-        Q.require_images(P.image_rows(rows), image_dims)
+        every = not min_prefix and not full_only
+        Q.require_images(P.step_images(usable, image_root) if every else P.image_rows(rows),
+                         image_dims)
     return rows, bad
 
 

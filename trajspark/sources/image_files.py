@@ -16,13 +16,27 @@ SIZE = T.StructType([T.StructField("width", T.LongType()), T.StructField("height
 JPEG_FRAMES = frozenset(range(0xC0, 0xD0)) - {0xC4, 0xC8, 0xCC}
 
 
+def _webp_size(content):
+    kind, body = content[12:16], content[20:30]
+    if kind == b"VP8X":
+        return tuple(int.from_bytes(body[i:i + 3], "little") + 1 for i in (4, 7))
+    if kind == b"VP8L" and body[:1] == b"\x2f":
+        bits = int.from_bytes(body[1:5], "little")
+        return (bits & 0x3FFF) + 1, (bits >> 14 & 0x3FFF) + 1
+    if kind == b"VP8 " and body[3:6] == b"\x9d\x01\x2a":
+        return tuple(x & 0x3FFF for x in struct.unpack("<HH", body[6:10]))
+    return None
+
+
 def header_size(content):
-    """(width, height) of a JPEG, GIF or BMP header, or None."""
+    """(width, height) of a JPEG, GIF, BMP or WebP header, or None."""
     if content[:6] in (b"GIF87a", b"GIF89a") and len(content) >= 10:
         return struct.unpack("<HH", content[6:10])
     if content[:2] == b"BM" and len(content) >= 26:
         width, height = struct.unpack("<ii", content[18:26])
         return width, abs(height)
+    if content[:4] == b"RIFF" and content[8:12] == b"WEBP" and len(content) >= 30:
+        return _webp_size(content)
     if content[:2] != b"\xff\xd8":
         return None
     at = 2
@@ -50,6 +64,8 @@ def _other_size(contents: pd.Series) -> pd.DataFrame:
 
 
 def _files(spark, root, modified_after):
+    if not root.startswith("/") and "://" not in root:
+        raise ValueError("the image root must be an absolute path or a URI")
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if modified_after:
         reader = reader.option("modifiedAfter", modified_after)
@@ -58,9 +74,9 @@ def _files(spark, root, modified_after):
 
 def _below(root, path):
     """File path in the form training rows use: root folder, slash, name below it."""
-    root = root.rstrip("/")
-    tail = F.expr(f"substring(path, locate('{root}', path) + {len(root)} + 1)")
-    return F.concat(F.lit(root + "/"), tail)
+    root = root.rstrip("/") + "/"
+    tail = F.substring(path, F.locate(root, path) + F.lit(len(root)), F.length(path))
+    return F.concat(F.lit(root), tail)
 
 
 def list_images(spark: SparkSession, root) -> DataFrame:
