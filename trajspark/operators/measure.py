@@ -86,29 +86,33 @@ def measure_trajectories(trajectories: DataFrame, level, counters, prompts=None,
                         *_step_counts(level, step["index"], step["value"], counters))
 
 
-def measure_steps(tasks: DataFrame, steps: DataFrame, level, counters, prompts=None,
-                  image_root=None, keep=(), chunk=CHUNK) -> DataFrame:
-    """The same sizes from flat tables: tasks(task_id, instruction, *keep) and
-    steps(task_id, pos, index, image, observation, thought, action, code).
-
-    Text is counted before it meets a shuffle, so only numbers and image names travel. The join
-    is on (task, chunk), so the steps of one long task meet their task in many places; the
-    task's side also brings the history counted up to the chunk. For that the actions are read
-    and counted a second time, unless the caller drops those columns, as totals do.
+def flat_parts(tasks: DataFrame, steps: DataFrame, level, counters, prompts=None,
+               image_root=None, keep=(), chunk=CHUNK):
+    """(sizes per step, heads per task and chunk) from flat tables: tasks(task_id, instruction,
+    *keep) and steps(task_id, pos, index, image, observation, thought, action, code).
+
+    Text is counted before it meets a shuffle, so only numbers and image names travel. Heads
+    come once per chunk, so the steps of one long task can meet their task in many places; they
+    also bring the history counted up to the chunk. For that the actions are read and counted a
+    second time, unless those columns are not used, as in totals.
     """
     value = {c: F.col(c) for c in ("observation", "thought", "action", "code")}
-    joined = _names(("joined",), len(counters))
     counted = steps.select("task_id", F.col("pos").cast("long").alias("pos"),
-                           chunk_of("pos", chunk).alias("chunk"),
                            X.join_root(image_root, F.col("image")).alias("image"),
                            *_step_counts(level, F.col("index"), value, counters))
     chunks = chunk_sums(
         steps.select("task_id", "pos", *_joined_counts(F.col("index"), F.col("action"), counters)),
-        joined, chunk)
+        _names(("joined",), len(counters)), chunk)
     heads = tasks.select("task_id", *keep, *_head_counts(level, prompts, counters))
-    return counted.join(heads.join(chunks, "task_id"), ["task_id", "chunk"]).select(
-        "task_id", *keep, "n_steps", *_names(HEADS, len(counters)), *offset_names(joined), "pos",
-        "image", *_names(STEPS, len(counters)))
+    return counted, heads.join(chunks, "task_id")
+
+
+def measure_steps(tasks: DataFrame, steps: DataFrame, level, counters, prompts=None,
+                  image_root=None, keep=(), chunk=CHUNK) -> DataFrame:
+    """The sizes of `measure_trajectories` from flat tables."""
+    counted, heads = flat_parts(tasks, steps, level, counters, prompts, image_root, keep, chunk)
+    return (counted.withColumn("chunk", chunk_of("pos", chunk))
+            .join(heads, ["task_id", "chunk"]).drop("chunk"))
 
 
 def offsets_of_trajectories(trajectories, counters, chunk=CHUNK):
@@ -157,13 +161,14 @@ def image_windows(steps: DataFrame, window=WINDOW, first_image="coded", chunk=CH
 
 
 def prefix_sizes(measures: DataFrame, image_dims: DataFrame, n_counters=1, offsets=None,
-                 window=WINDOW, first_image="coded", chunk=CHUNK, keep=()) -> DataFrame:
+                 heads=None, window=WINDOW, first_image="coded", chunk=CHUNK,
+                 keep=()) -> DataFrame:
     """One row per prefix: text_tokens_<i> and the shown images with their tile tokens.
 
     Two shuffles of numbers: on the image path (none if the sizes are broadcast) and on
-    (task, chunk). Flat measures carry their history offsets; those of nested ones come as
-    `offsets`, whose join reuses the second shuffle and vanishes at run time when no task is
-    longer than a chunk.
+    (task, chunk). The second also serves the join with `heads`, the other part of flat sizes,
+    or with `offsets`, the history before each chunk of nested ones, which vanishes at run time
+    when no task is longer than a chunk.
     """
     w = chunk_window()
     previous, before = w.rowsBetween(-window, -1), w.rowsBetween(Window.unboundedPreceding, -1)
@@ -177,6 +182,8 @@ def prefix_sizes(measures: DataFrame, image_dims: DataFrame, n_counters=1, offse
     carried = names if offsets is None else []
     image = F.struct(F.col("image").alias("path"), "tile_tokens", "status")
     rows = with_halo(with_dims(measures, image_dims), window, chunk)
+    if heads is not None:
+        rows = rows.join(heads, ["task_id", "chunk"])
     sums = []
     for i in range(n_counters):
         joined = F.col(f"joined_{i}")

@@ -34,7 +34,7 @@ def trajectory_usage(trajectories: DataFrame, image_dims: DataFrame, level=DEFAU
     sizes = M.prefix_sizes(
         M.measure_trajectories(trajectories, level, distinct, prompts, image_root, keep),
         image_dims, len(distinct), M.offsets_of_trajectories(trajectories, distinct, chunk),
-        window, first_image, chunk, keep)
+        None, window, first_image, chunk, keep)
     return U.usage_rows(sizes, models, counters, (*keep, *U.ROW_KEYS), details)
 
 
@@ -43,9 +43,9 @@ def step_usage(tasks: DataFrame, steps: DataFrame, image_dims: DataFrame, level=
                first_image="coded", keep=(), chunk=CHUNK, details=True) -> DataFrame:
     """Usage of every prefix from flat task and step tables."""
     distinct, _ = per_encoding(MODELS if models is None else models, counters)
-    sizes = M.prefix_sizes(
-        M.measure_steps(tasks, steps, level, distinct, prompts, image_root, keep, chunk),
-        image_dims, len(distinct), None, window, first_image, chunk, keep)
+    counted, heads = M.flat_parts(tasks, steps, level, distinct, prompts, image_root, keep, chunk)
+    sizes = M.prefix_sizes(counted, image_dims, len(distinct), None, heads, window, first_image,
+                           chunk, keep)
     return U.usage_rows(sizes, models, counters, (*keep, *U.ROW_KEYS), details)
 
 
