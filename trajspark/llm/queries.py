@@ -1,6 +1,6 @@
 """The registered queries of this package: each applies its operator to its whole table."""
 
-from trajspark.llm import simhash
+from trajspark.llm import mixing, simhash
 
 
 def table(spark, sf_dir, name):
@@ -11,5 +11,9 @@ def op1_simhash_dedup(spark, sf_dir):
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_dedup,)}
+def op3_source_mixing(spark, sf_dir):
+    return mixing.mixture(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash_dedup, op3_source_mixing)}
 ORACLE = {}
