@@ -3,9 +3,9 @@
 Every source gets a share of all words by its weight, at most `max_repeat` times its own size. The
 share over the size is the expected number of copies of each of its documents: the whole part is
 taken for certain, the fraction is an inclusion probability. A flight moves these probabilities
-along the null space of two constraints, words and documents, until they are 0 or 1; at most two
-stay undecided. Flights run over blocks of bounded size, the undecided rows of all blocks fly
-again, and the last two of a source are landed.
+along the null space of two constraints, words and documents, until they are 0 or 1. Flights run
+over blocks of bounded size and leave two rows each; these fly again, and the last few of a source
+are a small landing problem, solved over all its choices.
 """
 
 import random
@@ -20,6 +20,7 @@ from trajspark.operators.sequences import dense_ids
 WEIGHTS = (5, 2, 1)      # by source in code point order, repeating
 MAX_REPEAT = 3
 BLOCK = 4096             # rows of a flight, on average at most
+LEFT = 14                # rows of the landing problem
 SEED = 42
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -48,17 +49,16 @@ def source_table(rows: DataFrame, weights=WEIGHTS, max_repeat=MAX_REPEAT) -> Dat
     return placed.select("source", "ord", "n", "source_size", target.alias("target"))
 
 
-def flight(chance, size, seed):
-    """Moves the probabilities in `chance` until at most two are fractional, keeping their sum
-    and their sum weighted by `size` (up to rounding); the direction is drawn by `seed`."""
+def flight(chance, size, seed, leave=2):
+    """Moves the probabilities in `chance` until at most `leave` (2 or more) are fractional,
+    keeping their sum and their sum weighted by `size` (up to rounding); `seed` draws the
+    directions."""
     draw, tiny = random.Random(seed), 1e-9
     chance = [0.0 if c < tiny else 1.0 if c > 1 - tiny else float(c) for c in chance]
     size = [float(s) for s in size]
-    moving = []
-    for k in range(len(chance)):
-        if not 0 < chance[k] < 1:
-            continue
-        moving.append(k)
+    moving, waiting = [], [k for k in reversed(range(len(chance))) if 0 < chance[k] < 1]
+    while len(moving) + len(waiting) > leave:
+        moving.append(waiting.pop())
         while len(moving) == 3:
             i, j, l = moving
             step = (size[l] - size[j], size[i] - size[l], size[j] - size[i])
@@ -79,26 +79,24 @@ def flight(chance, size, seed):
 
 
 def landing(chance, size):
-    """Decides what a flight left open: the choice that misses the fewest words, then documents."""
-    open_, best = [k for k, c in enumerate(chance) if 0 < c < 1], None
-    for pick in range(1 << len(open_)):
-        take = [pick >> b & 1 for b in range(len(open_))]
-        miss = (abs(sum((t - chance[k]) * size[k] for t, k in zip(take, open_))),
-                abs(sum(t - chance[k] for t, k in zip(take, open_))), pick)
-        best = min(best or (miss, take), (miss, take))
-    for t, k in zip(best[1], open_):
+    """Decides what a flight left open: of all choices that miss less than one document the one
+    that misses the fewest words."""
+    left = [k for k, c in enumerate(chance) if 0 < c < 1]
+    share, words = np.array([chance[k] for k in left]), np.array([size[k] for k in left])
+    picks = np.arange(1 << len(left))[:, None] >> np.arange(len(left)) & 1
+    off = picks - share
+    miss = np.abs(off @ words) + np.where(np.abs(off.sum(axis=1)) < 1, 0.0, np.inf)
+    for k, t in zip(left, picks[miss.argmin()]):
         chance[k] = float(t)
     return chance
 
 
-# Large rows fly first, so that those left for the landing are small.
 def _fly(land, columns=("_row", "ord", "size", "h", "chance")):
     def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows[list(columns)].sort_values(["size", "h", "_row"], kind="stable",
-                                               ascending=[False, True, True])
+        rows = rows[list(columns)].sort_values(["h", "_row"], kind="stable")
         seed = SEED + sum(int(k) * (1 << 20) ** i for i, k in enumerate(key)) + land
         size = rows["size"].to_numpy(np.float64)
-        chance = flight(rows["chance"].tolist(), size, seed)
+        chance = flight(rows["chance"].tolist(), size, seed, LEFT if land else 2)
         return rows.assign(chance=landing(chance, size) if land else chance)
     return run
 
