@@ -4,7 +4,7 @@ Every source gets a share of all words by its weight, at most `max_repeat` times
 share over the size is the expected number of copies of each of its documents: the whole part is
 taken for certain, the fraction is an inclusion probability. A flight moves these probabilities
 along the null space of two constraints, words and documents, until they are 0 or 1. Flights run
-over blocks of bounded size and leave two rows each; these fly again, and the last few of a source
+over blocks of bounded size and leave a few rows each; these fly again, and the last few of a source
 are a small landing problem, solved over all its choices.
 """
 
@@ -20,7 +20,7 @@ from trajspark.operators.sequences import dense_ids
 WEIGHTS = (5, 2, 1)      # by source in code point order, repeating
 MAX_REPEAT = 3
 BLOCK = 4096             # rows of a flight, on average at most
-LEFT = 14                # rows of the landing problem
+LEFT = 14                # rows that a flight leaves, and so of the landing problem
 SEED = 42
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -96,7 +96,7 @@ def _fly(land, columns=("_row", "ord", "size", "h", "chance")):
         rows = rows[list(columns)].sort_values(["h", "_row"], kind="stable")
         seed = SEED + sum(int(k) * (1 << 20) ** i for i, k in enumerate(key)) + land
         size = rows["size"].to_numpy(np.float64)
-        chance = flight(rows["chance"].tolist(), size, seed, LEFT if land else 2)
+        chance = flight(rows["chance"].tolist(), size, seed, LEFT)
         return rows.assign(chance=landing(chance, size) if land else chance)
     return run
 
@@ -107,7 +107,7 @@ def _flown(rows, block):
     while True:
         per_source = cut(rows.groupBy("ord").agg(F.count("*").alias("rows")))
         most = per_source.agg(F.max("rows")).first()[0] or 0
-        if level and most <= block:
+        if most <= block:
             break
         blocks = F.ceil(F.col("rows") / block)
         dealt = rows.join(broadcast_if_small(per_source, 64), "ord").withColumn(
@@ -115,10 +115,10 @@ def _flown(rows, block):
         flown = cut(dealt.groupBy("ord", "block").applyInPandas(_fly(False), schema))
         done.append(flown.filter("chance in (0, 1)"))
         rows, level = flown.filter("chance not in (0, 1)"), level + 1
-    out = done[0]
-    for part in done[1:]:
+    out = rows.groupBy("ord").applyInPandas(_fly(True), schema)
+    for part in done:
         out = out.union(part)
-    return out.union(rows.groupBy("ord").applyInPandas(_fly(True), schema))
+    return out
 
 
 def plan(rows: DataFrame, weights=WEIGHTS, max_repeat=MAX_REPEAT, block=BLOCK) -> DataFrame:
