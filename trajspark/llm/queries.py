@@ -1,6 +1,6 @@
 """The registered queries of this package: each applies its operator to its whole table."""
 
-from trajspark.llm import mixing, simhash
+from trajspark.llm import mixing, simhash, toxicity
 
 
 def table(spark, sf_dir, name):
@@ -15,5 +15,9 @@ def op3_source_mixing(spark, sf_dir):
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_dedup, op3_source_mixing)}
+def op5_toxicity(spark, sf_dir):
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash_dedup, op3_source_mixing, op5_toxicity)}
 ORACLE = {}
