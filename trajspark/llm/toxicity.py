@@ -24,6 +24,8 @@ from trajspark.llm.common import stored
 SAMPLE = 8000            # labelled rows that the model is fitted on, at most
 STEMS = 200              # mined features, at most
 LEAST_DOCS = 4           # toxic sampled documents with a mined feature, at least
+TIMES = (1, 2)           # occurrences in a text that a mined voter may ask for
+TRUST = 0.95             # share of given labels taken to be right
 THRESHOLD = 0.7
 SEED = 42
 
@@ -40,73 +42,84 @@ VOTERS = ("insult", "threat", "masked", "shout", "bang", "no stem", "no insult")
 
 
 def features(token):
-    """Words of a blank-separated lower-case token and the beginnings of 3 to 6 letters."""
+    """Words of a blank-separated lower-case token and their beginnings of 3 to 8 letters."""
     out = set()
     for word in LETTERS.findall(token):
         if len(word) > 2:
             out.add(word + "$")
-            out.update(word[:n] for n in range(3, min(6, len(word)) + 1))
+            out.update(word[:n] for n in range(3, min(8, len(word)) + 1))
     return out
 
 
 class Voters:
-    """Which voters speak up on a text. Holds a bounded cache of tokens seen."""
+    """Which voters speak up on a text. Holds a bounded cache of tokens seen.
+
+    A mined voter is (stem, times): it speaks up if the stem occurs so many times or more.
+    """
 
     def __init__(self, stems):
-        self.stem = {s: len(VOTERS) + k for k, s in enumerate(stems)}
-        self.size = len(VOTERS) + len(self.stem)
+        self.stems = {}
+        for k, (stem, times) in enumerate(stems):
+            self.stems.setdefault(stem, []).append((len(VOTERS) + k, times))
+        self.size = len(VOTERS) + len(stems)
         self.silent, self.known = set(), {}
 
     def _token(self, token):
-        ids = {self.stem[f] for f in features(token) if f in self.stem}
         words = LETTERS.findall(token)
-        said = {0: any(w in INSULTS for w in words), 1: any(w in THREATS for w in words),
-                2: MASKED.search(token)}
-        ids.update(k for k, yes in said.items() if yes)
+        found = ({0: any(w in INSULTS for w in words), 1: any(w in THREATS for w in words),
+                  2: bool(MASKED.search(token))},
+                 [f for f in features(token) if f in self.stems])
         if len(self.silent) + len(self.known) > 300_000:
             self.silent, self.known = set(), {}
-        if ids:
-            self.known[token] = tuple(ids)
-        else:
-            self.silent.add(token)
-        return tuple(ids)
+        if found[1] or any(found[0].values()):
+            self.known[token] = found
+            return found
+        self.silent.add(token)
+        return None
 
     def __call__(self, text):
-        """Sorted numbers of the voters that vote, and how many different tokens hit a list."""
+        """Sorted numbers of the voters that vote, how many tokens hit a list or a stem, and the
+        same in a thousand words."""
         text = text or ""
-        ids, hits = set(), 0
-        for token in set(text.lower().split()).difference(self.silent):
-            found = self.known.get(token)
-            if found is None:
-                found = self._token(token)
+        tokens = text.lower().split()
+        said, stems, hits = dict.fromkeys((0, 1, 2), False), Counter(), 0
+        for token in set(tokens).difference(self.silent):
+            found = self.known.get(token) or self._token(token)
             if found:
-                ids.update(found)
-                hits += 1
+                times = tokens.count(token)
+                for k, yes in found[0].items():
+                    said[k] = said[k] or yes
+                stems.update(dict.fromkeys(found[1], times))
+                hits += times
+        ids = {k for stem, n in stems.items() for k, times in self.stems[stem] if n >= times}
         chars = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
         upper = np.count_nonzero((chars >= 65) & (chars <= 90))
         lower = np.count_nonzero((chars >= 97) & (chars <= 122))
-        said = {3: upper > 20 and upper > lower, 4: text.count("!") * 50 > len(text),
-                5: not any(k >= len(VOTERS) for k in ids), 6: 0 not in ids}
-        return sorted(ids.union(k for k, yes in said.items() if yes)), hits
+        said |= {3: upper > 20 and upper > lower, 4: text.count("!") * 50 > len(text),
+                 5: not ids, 6: not said[0]}
+        ids.update(k for k, yes in said.items() if yes)
+        return sorted(ids), hits, 1000 * hits / max(20, len(tokens))
 
 
-def vector(ids, hits, size):
-    """What the classifier sees: one sign per voter and the logarithm of the hits."""
-    out = np.zeros(size + 1)
-    out[ids], out[size] = 1.0, np.log1p(hits)
+def vector(ids, hits, rate, size):
+    """What the classifier sees: one sign per voter, the hits and their rate as logarithms."""
+    out = np.zeros(size + 2)
+    out[ids], out[size:] = 1.0, np.log1p((hits, rate))
     return out
 
 
-def label_model(votes, prior, start, rounds=20):
+def label_model(votes, label, prior, rounds=30):
     """Posterior of the toxic class per row of 0/1 `votes`, from expectation-maximisation.
 
-    `start`: first guess of the posteriors. A voter's log-odds are divided by the sum of its
-    positive correlations (given the class) with all voters, itself included.
+    The given label is one more voter, right in a fixed share `TRUST` of the rows. Another
+    voter's log-odds are divided by the sum of its positive correlations (given the class) with
+    all voters, itself included.
     """
-    post, n = start.astype(float), len(votes)
+    given = np.log(TRUST / (1 - TRUST)) * (2 * label - 1)
+    post, n, mean = label.astype(float), len(votes), votes.mean(axis=0)
     for _ in range(rounds):
-        p1 = (post @ votes + 1 * votes.mean(axis=0)) / (post.sum() + 1)
-        p0 = ((1 - post) @ votes + 1 * votes.mean(axis=0)) / (n - post.sum() + 1)
+        p1 = (post @ votes + mean) / (post.sum() + 1)
+        p0 = ((1 - post) @ votes + mean) / (n - post.sum() + 1)
         rest = votes - (post[:, None] * p1 + (1 - post)[:, None] * p0)
         spread = np.sqrt((rest ** 2).mean(axis=0)) + 1e-6
         together = np.maximum((rest.T @ rest) / n / np.outer(spread, spread), 0)
@@ -114,7 +127,7 @@ def label_model(votes, prior, start, rounds=20):
         together[together < 0.1] = 0
         weight = 1 / together.sum(axis=1)
         p1, p0 = np.clip(p1, 1e-4, 1 - 1e-4), np.clip(p0, 1e-4, 1 - 1e-4)
-        odds = np.log(prior / (1 - prior)) + votes @ (weight * np.log(p1 / p0)) \
+        odds = given + np.log(prior / (1 - prior)) + votes @ (weight * np.log(p1 / p0)) \
             + (1 - votes) @ (weight * np.log((1 - p1) / (1 - p0)))
         new = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
         if np.abs(new - post).max() < 1e-4:
@@ -138,20 +151,19 @@ def logistic(x, y, ridge):
     return w[:-1], w[-1]
 
 
-def fit(stems, ids, hits, toxic):
-    """The classifier as plain values. Without sampled rows of both classes it is a fixed one
-    that trusts the lexicons."""
-    size = len(VOTERS) + len(stems)
-    toxic = np.asarray(toxic, float)
+def fit(stems, votes, toxic):
+    """The classifier as plain values, from what the voters say on each sampled text. Without
+    sampled rows of both classes it is a fixed one that trusts the lexicons."""
+    size, toxic = len(VOTERS) + len(stems), np.asarray(toxic, float)
     if not 0 < toxic.sum() < len(toxic):
-        weights = np.zeros(size + 1)
+        weights = np.zeros(size + 2)
         weights[:3], weights[size] = (4.0, 1.0, 0.5), 1.0
         return {"stems": list(stems), "weights": weights, "base": -4.0}
-    x = np.array([vector(i, h, size) for i, h in zip(ids, hits)])
+    x = np.array([vector(*v, size) for v in votes])
     prior = float(np.clip(toxic.mean(), 0.01, 0.5))
-    post = label_model(x[:, :size], prior, toxic)
+    post = label_model(x[:, :size], toxic, prior)
     weights, base = logistic(x, post, 1.0)
-    slope, shift = logistic((x @ weights + base)[:, None], toxic * 0.98 + 0.01, 1e-3)
+    slope, shift = logistic((x @ weights + base)[:, None], toxic, 1e-3)
     return {"stems": list(stems), "weights": weights * slope[0],
             "base": float(base * slope[0] + shift)}
 
@@ -166,16 +178,19 @@ def _count_features(batches):
     for batch in batches:
         for text, toxic in zip(batch.column("text").to_pylist(),
                                batch.column("toxic").to_pylist()):
-            found = set()
-            for token in set((text or "").lower().split()):
-                found |= features(token)
-            counts[toxic].update(found)
+            found = Counter()
+            for token, n in Counter((text or "").lower().split()).items():
+                found.update(dict.fromkeys(features(token), n))
+            counts[toxic].update((f, times) for f, n in found.items() for times in TIMES
+                                 if n >= times)
     names = list(counts[0].keys() | counts[1].keys())
     for k in range(0, len(names), 20_000):
         part = names[k:k + 20_000]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(part), pa.array([counts[1][f] for f in part], pa.int64()),
-             pa.array([counts[0][f] for f in part], pa.int64())], ["feature", "bad", "good"])
+            [pa.array([f[0] for f in part]), pa.array([f[1] for f in part], pa.int32()),
+             pa.array([counts[1][f] for f in part], pa.int64()),
+             pa.array([counts[0][f] for f in part], pa.int64())],
+            ["stem", "times", "bad", "good"])
 
 
 def _cast_votes(stems):
@@ -186,22 +201,30 @@ def _cast_votes(stems):
             found = [votes(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([f[0] for f in found], pa.list_(pa.int32())),
-                 pa.array([f[1] for f in found], pa.int32()),
-                 batch.column("toxic").cast(pa.int32())], ["ids", "hits", "toxic"])
+                 pa.array([f[1] for f in found], pa.int64()),
+                 pa.array([f[2] for f in found], pa.float64()),
+                 batch.column("toxic").cast(pa.int32())], ["ids", "hits", "rate", "toxic"])
     return run
 
 
 def mined(rows: DataFrame, limit=STEMS) -> list:
-    """The features of (text, toxic) that most surely point to toxic rows, best first."""
-    counts = rows.mapInArrow(_count_features, "feature string, bad long, good long")
-    sums = counts.groupBy("feature").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+    """The (stem, times) of (text, toxic) that most surely point to toxic rows, best first. Of
+    stems that begin with one another, only the best is taken."""
+    counts = rows.mapInArrow(_count_features, "stem string, times int, bad long, good long")
+    sums = counts.groupBy("stem", "times").agg(F.sum("bad").alias("bad"),
+                                               F.sum("good").alias("good"))
     total = rows.agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good")).first()
     bad, good = float(total.bad or 0), float(total.good or 0)
     odds = F.log((F.col("bad") + 0.5) / (F.col("good") + 0.5) * F.lit((good + 1) / (bad + 1)))
     doubt = F.sqrt(1 / (F.col("bad") + 0.5) + 1 / (F.col("good") + 0.5))
     best = (sums.filter(F.col("bad") >= LEAST_DOCS).withColumn("sure", odds - 1.64 * doubt)
-            .filter("sure > 1").orderBy(F.desc("sure"), "feature").limit(limit))
-    return [r.feature for r in best.collect()]
+            .filter("sure > 1").orderBy(F.desc("sure"), "stem", "times").limit(40 * limit))
+    taken = []
+    for row in best.collect():
+        if len(taken) < limit and not any(row.stem.startswith(s) or s.startswith(row.stem)
+                                          for s, _ in taken):
+            taken.append((row.stem, row.times))
+    return taken
 
 
 def train(docs: DataFrame, labels: DataFrame, sample=SAMPLE, stems=STEMS) -> dict:
@@ -216,8 +239,9 @@ def train(docs: DataFrame, labels: DataFrame, sample=SAMPLE, stems=STEMS) -> dic
     rows = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")
     rows = stored(rows.select("text", "toxic").coalesce(8))
     found = mined(rows, stems)
-    votes = rows.mapInArrow(_cast_votes(found), "ids array<int>, hits int, toxic int").toPandas()
-    return fit(found, votes["ids"], votes["hits"], votes["toxic"])
+    said = rows.mapInArrow(_cast_votes(found), "ids array<int>, hits long, rate double, toxic int")
+    said = said.toPandas()
+    return fit(found, list(zip(said["ids"], said["hits"], said["rate"])), said["toxic"])
 
 
 def score(docs: DataFrame, model, text="text") -> DataFrame:
@@ -231,8 +255,8 @@ def score(docs: DataFrame, model, text="text") -> DataFrame:
         for texts in batches:
             out = np.empty(len(texts))
             for k, t in enumerate(texts):
-                ids, hits = votes(t)
-                out[k] = base + weights[ids].sum() + weights[size] * np.log1p(hits)
+                ids, hits, rate = votes(t)
+                out[k] = base + weights[ids].sum() + weights[size:] @ np.log1p((hits, rate))
             yield pd.Series(1 / (1 + np.exp(-np.clip(out, -30, 30))))
     return docs.withColumn("score", of(F.col(text))).withColumn(
         "predicted", (F.col("score") >= THRESHOLD).cast("int"))
