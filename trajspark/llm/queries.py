@@ -1,6 +1,6 @@
 """The registered queries of this package: each applies its operator to its whole table."""
 
-from trajspark.llm import mixing, simhash, toxicity
+from trajspark.llm import line_dedup, mixing, simhash, toxicity
 
 
 def table(spark, sf_dir, name):
@@ -19,5 +19,9 @@ def op5_toxicity(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_dedup, op3_source_mixing, op5_toxicity)}
-ORACLE = {}
+def op7_line_dedup(spark, sf_dir):
+    return line_dedup.line_dedup(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash_dedup, op3_source_mixing, op5_toxicity, op7_line_dedup)}
+ORACLE = {"op7_line_dedup": line_dedup.ORACLE_SQL}
