@@ -1,6 +1,6 @@
 """The registered queries of this package: each applies its operator to its whole table."""
 
-from trajspark.llm import line_dedup, mixing, simhash, toxicity
+from trajspark.llm import line_dedup, mixing, simhash, toxicity, unigram
 
 
 def table(spark, sf_dir, name):
@@ -15,6 +15,10 @@ def op3_source_mixing(spark, sf_dir):
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
 
+def op4_sentencepiece(spark, sf_dir):
+    return unigram.tokenized(table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -23,5 +27,5 @@ def op7_line_dedup(spark, sf_dir):
     return line_dedup.line_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_dedup, op3_source_mixing, op5_toxicity, op7_line_dedup)}
+QUERIES = {f.__name__: f for f in (op1_simhash_dedup, op3_source_mixing, op4_sentencepiece, op5_toxicity, op7_line_dedup)}
 ORACLE = {"op7_line_dedup": line_dedup.ORACLE_SQL}
