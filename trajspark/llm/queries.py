@@ -1,6 +1,6 @@
 """The registered queries of this package: each applies its operator to its whole table."""
 
-from trajspark.llm import line_dedup, mixing, simhash, toxicity, unigram
+from trajspark.llm import hosts, line_dedup, mixing, simhash, toxicity, unigram
 
 
 def table(spark, sf_dir, name):
@@ -27,5 +27,10 @@ def op7_line_dedup(spark, sf_dir):
     return line_dedup.line_dedup(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_dedup, op3_source_mixing, op4_sentencepiece, op5_toxicity, op7_line_dedup)}
-ORACLE = {"op7_line_dedup": line_dedup.ORACLE_SQL}
+def op9_host_quality(spark, sf_dir):
+    return hosts.host_quality(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_simhash_dedup, op3_source_mixing, op4_sentencepiece, op5_toxicity, op7_line_dedup,
+                                   op9_host_quality)}
+ORACLE = {"op7_line_dedup": line_dedup.ORACLE_SQL, "op9_host_quality": hosts.ORACLE_SQL}
