@@ -7,7 +7,7 @@ with few documents is close to the average of the corpus. DataFrame functions on
 
 from pyspark.sql import DataFrame, functions as F
 
-from trajspark.llm.common import SPACES, broadcast_if_small, cut
+from trajspark.llm.common import SPACES, broadcast_if_small, cut, let
 
 REJECT_OVER = 0.5        # shrunk share of documents failing one rule, above which a host goes
 LEAST_WORDS = 10
@@ -17,11 +17,6 @@ SYMBOLS = r"[#*$%&|<>]"
 RULES = ("short", "repeated", "symbols", "lines", "lengths")
 
 
-def let(value, body):
-    """`body` of a value that is computed once, however often the body uses it."""
-    return F.transform(F.array(value), body)[0]
-
-
 def _covered(places):
     """Words covered by windows that begin at the sorted places."""
     steps = F.transform(places, lambda p, k: F.coalesce(

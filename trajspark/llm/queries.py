@@ -1,6 +1,6 @@
 """The registered queries of this package: each applies its operator to its whole table."""
 
-from trajspark.llm import hosts, line_dedup, mixing, simhash, toxicity, unigram
+from trajspark.llm import hosts, licenses, line_dedup, mixing, simhash, toxicity, unigram
 
 
 def table(spark, sf_dir, name):
@@ -23,6 +23,10 @@ def op5_toxicity(spark, sf_dir):
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_license_scan(spark, sf_dir):
+    return licenses.license_scan(table(spark, sf_dir, "documents"))
+
+
 def op7_line_dedup(spark, sf_dir):
     return line_dedup.line_dedup(table(spark, sf_dir, "documents"))
 
@@ -31,6 +35,7 @@ def op9_host_quality(spark, sf_dir):
     return hosts.host_quality(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_dedup, op3_source_mixing, op4_sentencepiece, op5_toxicity, op7_line_dedup,
+QUERIES = {f.__name__: f for f in (op1_simhash_dedup, op3_source_mixing, op4_sentencepiece, op5_toxicity, op6_license_scan,
+                                   op7_line_dedup,
                                    op9_host_quality)}
-ORACLE = {"op7_line_dedup": line_dedup.ORACLE_SQL, "op9_host_quality": hosts.ORACLE_SQL}
+ORACLE = {"op6_license_scan": licenses.ORACLE_SQL, "op7_line_dedup": line_dedup.ORACLE_SQL, "op9_host_quality": hosts.ORACLE_SQL}
