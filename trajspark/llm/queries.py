@@ -1,6 +1,7 @@
 """The registered queries of this package: each applies its operator to its whole table."""
 
-from trajspark.llm import hosts, licenses, line_dedup, mixing, simhash, toxicity, unigram
+from trajspark.llm import (hosts, licenses, line_dedup, mixing, secret_scan, simhash, toxicity,
+                           unigram)
 
 
 def table(spark, sf_dir, name):
@@ -35,7 +36,11 @@ def op9_host_quality(spark, sf_dir):
     return hosts.host_quality(table(spark, sf_dir, "documents"))
 
 
+def op10_secret_scan(spark, sf_dir):
+    return secret_scan.secret_scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (op1_simhash_dedup, op3_source_mixing, op4_sentencepiece, op5_toxicity, op6_license_scan,
                                    op7_line_dedup,
-                                   op9_host_quality)}
+                                   op9_host_quality, op10_secret_scan)}
 ORACLE = {"op6_license_scan": licenses.ORACLE_SQL, "op7_line_dedup": line_dedup.ORACLE_SQL, "op9_host_quality": hosts.ORACLE_SQL}
