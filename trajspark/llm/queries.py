@@ -1,7 +1,7 @@
 """The registered queries of this package: each applies its operator to its whole table."""
 
-from trajspark.llm import (hosts, licenses, line_dedup, mixing, secret_scan, simhash, toxicity,
-                           unigram)
+from trajspark.llm import (embeddings, hosts, licenses, line_dedup, mixing, preferences,
+                           secret_scan, simhash, toxicity, unigram)
 
 
 def table(spark, sf_dir, name):
@@ -12,6 +12,11 @@ def op1_simhash_dedup(spark, sf_dir):
     return simhash.simhash_components(table(spark, sf_dir, "documents"))
 
 
+def op2_preference_format(spark, sf_dir):
+    return preferences.preference_rows(preferences.reply_pairs(
+        table(spark, sf_dir, "conversations")))
+
+
 def op3_source_mixing(spark, sf_dir):
     return mixing.mixture(table(spark, sf_dir, "documents"))
 
@@ -32,6 +37,10 @@ def op7_line_dedup(spark, sf_dir):
     return line_dedup.line_dedup(table(spark, sf_dir, "documents"))
 
 
+def op8_embedding_dedup(spark, sf_dir):
+    return embeddings.embedding_dedup(table(spark, sf_dir, "embeddings"))
+
+
 def op9_host_quality(spark, sf_dir):
     return hosts.host_quality(table(spark, sf_dir, "documents"))
 
@@ -40,7 +49,9 @@ def op10_secret_scan(spark, sf_dir):
     return secret_scan.secret_scan(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_dedup, op3_source_mixing, op4_sentencepiece, op5_toxicity, op6_license_scan,
-                                   op7_line_dedup,
-                                   op9_host_quality, op10_secret_scan)}
-ORACLE = {"op6_license_scan": licenses.ORACLE_SQL, "op7_line_dedup": line_dedup.ORACLE_SQL, "op9_host_quality": hosts.ORACLE_SQL}
+QUERIES = {f.__name__: f for f in (
+    op1_simhash_dedup, op2_preference_format, op3_source_mixing, op4_sentencepiece, op5_toxicity,
+    op6_license_scan, op7_line_dedup, op8_embedding_dedup, op9_host_quality, op10_secret_scan)}
+ORACLE = {"op2_preference_format": preferences.ORACLE_SQL,
+          "op6_license_scan": licenses.ORACLE_SQL, "op7_line_dedup": line_dedup.ORACLE_SQL,
+          "op9_host_quality": hosts.ORACLE_SQL}
