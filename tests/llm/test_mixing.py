@@ -1,0 +1,115 @@
+import random
+
+import numpy as np
+import pytest
+
+from tests.llm.helpers import SMALL, documents, rows
+from trajspark.llm import mixing, queries
+
+
+def slow_targets(sizes):
+    """Shares by weight; what is over a cap is shared again among the others."""
+    order = sorted((s for s in sizes if s is not None)) + [None] * (None in sizes)
+    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(order)}
+    target, left, open_ = dict.fromkeys(order, 0.0), float(sum(sizes.values())), set(order)
+    while left > 1e-9 and open_:
+        share = left / sum(weight[s] for s in open_)
+        left = 0.0
+        for s in order:
+            if s in open_:
+                target[s] += share * weight[s]
+        for s in list(open_):
+            if target[s] > 3 * sizes[s]:
+                left += target[s] - 3 * sizes[s]
+                target[s] = 3.0 * sizes[s]
+                open_.discard(s)
+    return target
+
+
+def check(got, sizes):
+    wanted = slow_targets(sizes)
+    for source in sizes:
+        own = [r for r in got if r["source"] == source]
+        assert sum(r["size"] for r in own) == sizes[source] == own[0]["source_size"]
+        assert own[0]["target"] == pytest.approx(wanted[source])
+        ratio = wanted[source] / sizes[source] if sizes[source] else 0
+        for r in own:
+            assert r["taken"] == r["copies"] * r["size"]
+            assert int(ratio) <= r["copies"] + 1e-6 and r["copies"] <= min(3, int(ratio) + 1)
+        assert abs(sum(r["copies"] for r in own) - ratio * len(own)) < 1 + 1e-6
+        assert abs(sum(r["taken"] for r in own) - wanted[source]) <= max(r["size"] for r in own)
+    return got
+
+
+def test_whole_table(spark):
+    got = [r.asDict() for r in queries.op3_source_mixing(spark, SMALL).collect()]
+    sizes = {}
+    for r in queries.table(spark, SMALL, "documents").collect():
+        sizes[r.source] = sizes.get(r.source, 0) + len(
+            (r.text or "").encode().split())
+    assert len(got) == 200
+    check(got, sizes)
+
+
+def corpus():
+    draw = random.Random(2)
+    docs = [(k, "w " * draw.randrange(1, 60), draw.choice(["b", "a", "é", "Z", None]))
+            for k in range(900)]
+    docs += [(1000 + k, "w " * 3, "tiny") for k in range(3)]
+    docs += [(2000, None, "a"), (2001, "", "b"), (2002, " \t\n", None), (5, "same", "a"),
+             (5, "same", "a"), (None, "no id", "a"), (2003, "x " * 20000, "b")]
+    return docs
+
+
+def test_caps_blocks_and_reruns(spark):
+    docs = corpus()
+    frame = documents(spark, docs, "_row size h copies target")
+    sizes = {}
+    for _, t, s in docs:
+        sizes[s] = sizes.get(s, 0) + len((t or "").split())
+    got = check([r.asDict() for r in mixing.mixture(frame, block=64).collect()], sizes)
+    assert len(got) == len(docs)
+    assert {r["target"] for r in got if r["source"] == "tiny"} == {27.0}     # capped
+    columns = ("doc_id", "source", "size", "copies")
+    again = rows(mixing.mixture(frame.repartition(7), block=64), *columns)
+    assert again == rows(mixing.mixture(frame, block=64), *columns)
+    mixed = mixing.mixed(frame, block=64)
+    assert mixed.columns == frame.columns
+    counted = {}
+    for r in mixed.select("doc_id").collect():
+        counted[r.doc_id] = counted.get(r.doc_id, 0) + 1
+    wanted = {}
+    for r in got:
+        wanted[r["doc_id"]] = wanted.get(r["doc_id"], 0) + r["copies"]
+    assert counted == {k: n for k, n in wanted.items() if n}
+
+
+def test_empty_and_wordless(spark):
+    assert mixing.mixture(documents(spark, [])).count() == 0
+    assert mixing.mixed(documents(spark, [])).count() == 0
+    got = mixing.mixture(documents(spark, [(1, "", "a"), (2, None, None)])).collect()
+    assert [(r.target, r.taken, r.copies) for r in got] == [(0.0, 0, 0)] * 2
+
+
+def test_flight_keeps_both_totals():
+    draw = np.random.default_rng(4)
+    for leave in (2, 14):
+        size, chance = draw.integers(0, 500, 300).astype(float), draw.random(300)
+        size[:50] = 7
+        out = mixing.flight(chance.tolist(), size, 1, leave)
+        assert sum(0 < c < 1 for c in out) <= leave
+        assert sum(out) == pytest.approx(chance.sum())
+        assert np.dot(out, size) == pytest.approx(np.dot(chance, size))
+
+
+def test_chances_are_kept():
+    """Over many draws every row is taken as often as its probability says."""
+    size, chance = np.array([5, 9, 1, 30, 2, 8, 8, 8.0]), np.full(8, 0.3)
+    drawn = np.array([mixing.flight(chance.tolist(), size, s) for s in range(4000)])
+    assert np.abs(drawn.mean(axis=0) - 0.3).max() < 0.03
+
+
+def test_landing_is_the_best_choice():
+    chance, size = [0.5, 1.0, 0.25, 0.25, 0.0], [10, 99, 4, 6, 7]
+    assert mixing.landing(list(chance), size) == [0.0, 1.0, 0.0, 1.0, 0.0]
+    assert mixing.landing([1.0, 0.0], [5, 6]) == [1.0, 0.0]

@@ -1,0 +1,130 @@
+import numpy as np
+import pytest
+import sentencepiece
+from hypothesis import given, settings, strategies as st
+
+from tests.llm.helpers import SMALL, documents
+from trajspark.llm import queries, unigram
+
+
+@pytest.fixture(scope="module")
+def vocabulary():
+    return unigram.Vocabulary()
+
+
+@pytest.fixture(scope="module")
+def coder(vocabulary):
+    return unigram.Encoder(vocabulary)
+
+
+def best_score(vocabulary, coder, text):
+    """The score of the best segmentation, by a search over prefixes of the whole text."""
+    data = (" " + text).encode()
+    pieces = {p.encode(): vocabulary.scores[i] for i, p in vocabulary.pieces.items()}
+    best = [0.0] + [-np.inf] * len(data)
+    for i in range(len(data)):
+        if best[i] == -np.inf:
+            continue
+        size = 1 + sum(1 for _ in iter_tail(data, i + 1))
+        for j in range(i + 1, min(len(data), i + coder.longest) + 1):
+            if data[i:j] in pieces:
+                best[j] = max(best[j], best[i] + pieces[data[i:j]])
+        if data[i:i + size] not in pieces:
+            best[i + size] = max(best[i + size], best[i] + coder.unknown)
+    return best[-1]
+
+
+def iter_tail(data, i):
+    while i < len(data) and data[i] & 0xC0 == 0x80:
+        yield i
+        i += 1
+
+
+def score_of(vocabulary, coder, ids):
+    return sum(vocabulary.scores[i] if i in vocabulary.scores
+               else coder.unknown * (vocabulary.bytes[i] & 0xC0 != 0x80) for i in ids)
+
+
+def encoded(coder, texts):
+    ids, counts = coder.encode(texts)
+    ends = np.cumsum(counts)
+    return [ids[e - c:e].tolist() for e, c in zip(ends, counts)]
+
+
+ODD = ["", " ", "   ", "a", "a  b   c", "\n\n x\t", "▁▁ y ▁", "é☃𝒳漢字 ok", "x" * 500, "\0\x7f",
+       "Ünder the bridge", "end "]
+
+
+@settings(max_examples=150, deadline=None)
+@given(texts=st.lists(st.text(st.one_of(st.sampled_from("the an▁ \n"), st.characters(
+    exclude_categories=["Cs"])), max_size=60), max_size=4))
+def test_best_and_round_trip(vocabulary, coder, texts):
+    for text, ids in zip(texts, encoded(coder, texts)):
+        assert coder.decode(ids) == text
+        if text:
+            assert score_of(vocabulary, coder, ids) == pytest.approx(
+                best_score(vocabulary, coder, text))
+
+
+def test_odd_texts_in_any_batch(vocabulary, coder):
+    alone = [encoded(coder, [t])[0] for t in ODD]
+    assert [coder.decode(ids) for ids in alone] == ODD
+    coder.forget()
+    assert encoded(coder, ODD * 2) == alone * 2
+    assert alone[0] == [] and len(alone[1]) == 1
+    for text, ids in zip(ODD[1:], alone[1:]):
+        assert score_of(vocabulary, coder, ids) == pytest.approx(
+            best_score(vocabulary, coder, text))
+
+
+def test_decodes_like_the_library(coder):
+    library = sentencepiece.SentencePieceProcessor(model_file=unigram.MODEL)
+    for text in ("Hello world, this is a test.", "né à Zürich — 漢字", "tabs\tand\nlines"):
+        ids = encoded(coder, [text])[0]
+        assert library.decode(ids) == coder.decode(ids) == text
+        assert coder.decode(library.encode(text)) == text
+
+
+def test_double_array():
+    words = ["a", "ab", "abc", "b", "bca", "é", "z" * 40, "", "zz"]
+    pieces = [(w.encode(), k) for k, w in enumerate(words) if w]
+    base, check, value = unigram.double_array(pieces)
+    found = {}
+    todo = [(0, b"")]
+    while todo:
+        state, path = todo.pop()
+        if value[state] >= 0:
+            found[path] = value[state]
+        for c in range(256):
+            t = base[state] + c + 1
+            if t < len(check) and check[t] == state:
+                todo.append((t, path + bytes([c])))
+    assert found == dict(pieces)
+
+
+def test_zipf_scores_fall_with_rank(vocabulary):
+    raw = sentencepiece.SentencePieceProcessor(model_file=unigram.MODEL)
+    ids = sorted(vocabulary.scores, key=raw.get_score)
+    scores = [vocabulary.scores[i] for i in ids]
+    assert scores == sorted(scores) and scores[-1] < 0
+
+
+def test_table(spark):
+    rows = queries.op4_sentencepiece(spark, SMALL)
+    back = unigram.detokenized(rows)
+    texts = {r.doc_id: r.text for r in queries.table(spark, SMALL, "documents").collect()}
+    got = back.collect()
+    assert len(got) == len(texts)
+    assert all(r.round_trip and r.text == texts[r.doc_id] and len(r.ids) == r.n_tokens
+               for r in got)
+
+
+def test_cases(spark):
+    docs = documents(spark, [(k, t, "s") for k, t in enumerate(ODD)]
+                     + [(50, None, None), (50, None, None), (None, "w " * 200_000, "s")],
+                     "ids n_tokens round_trip")
+    got = {(r.doc_id, r.text, r.n_tokens) for r in unigram.detokenized(
+        unigram.tokenized(docs)).collect()}
+    assert (50, "", 0) in got and {t for _, t, _ in got} == {*ODD, "w " * 200_000}
+    assert unigram.tokenized(docs).count() == len(ODD) + 3
+    assert unigram.tokenized(documents(spark, [])).count() == 0

@@ -124,7 +124,9 @@ def license_scan(docs: DataFrame, **texts) -> DataFrame:
                   .alias("first_word"),
                   F.max(F.when(F.expr("base and votes = total"), F.col("diagonal")))
                   .alias("last_word")))
-    share = F.least(F.col("votes") / F.col("total"), F.lit(1.0))
+    # least() passes over nulls, and rows that stand for a document have no template.
+    share = F.when(F.col("total").isNotNull(), F.least(F.col("votes") / F.col("total"),
+                                                       F.lit(1.0)))
     verified = F.expr("n_base > 0") | (~F.col("base") & (share >= VERIFIED))
     labels = lambda when: F.array_join(F.array_sort(F.collect_set(
         F.when(when, F.col("label")))), ",")

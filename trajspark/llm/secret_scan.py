@@ -2,8 +2,8 @@
 
 Candidates are runs of token characters with a digit. The network (numpy) sees a candidate with
 the text before it and is trained on labelled findings: candidates that a pattern covers against
-those that none covers. Scores are calibrated on findings kept out of the training, and the
-threshold is the highest that still finds the wanted share of those.
+those that none covers. Scores are calibrated on findings kept out of the training; the
+threshold is the lowest one that is precise on those, and never misses more than a share of them.
 
 The network is fitted on at most `sample` candidates; every candidate is scored.
 """
@@ -18,10 +18,11 @@ from trajspark.llm.common import stored
 
 SAMPLE = 6000            # labelled candidates that the network is fitted on, at most
 RECALL = 0.98            # share of known findings that the threshold must keep
+PRECISION = 0.99         # share of true findings that it should have
 LEAST_THRESHOLD = 0.5
 LEAST_CHARS = 12         # of a candidate
 BEFORE, INSIDE = 24, 40  # characters that the network sees
-FILTERS, WIDTH, ROUNDS, SEED = 24, 5, 8, 42
+FILTERS, WIDTH, ROUNDS, SEED = 24, 5, 12, 42
 KINDS = ("assign", "access", "hex", "model")
 
 # The base patterns.
@@ -157,9 +158,15 @@ def fit(windows, labels, kept_out):
         off = p - (y * 0.98 + 0.01)
         slope, shift = slope - 0.1 * (off * raw).mean(), shift - 0.1 * off.mean()
     chance = 1 / (1 + np.exp(-np.clip(slope * raw + shift, -30, 30)))
-    wanted = np.quantile(chance[y == 1], 1 - RECALL, method="lower")
-    return {"net": net, "slope": slope, "shift": shift,
-            "threshold": max(LEAST_THRESHOLD, float(wanted))}
+    # The lowest threshold from LEAST_THRESHOLD on that is precise enough, unless it must be
+    # lower still to find the wanted share.
+    found = np.quantile(chance[y == 1], 1 - RECALL, method="lower")
+    order = np.append(np.unique(chance), 0)
+    order.sort()                        # thresholds lie halfway between neighbouring scores
+    precise = [(t + below) / 2 for below, t in zip(order, order[1:])
+               if y[chance >= t].mean() >= PRECISION]
+    threshold = min(float(found), max(LEAST_THRESHOLD, min(precise, default=1.0)))
+    return {"net": net, "slope": slope, "shift": shift, "threshold": threshold}
 
 
 def _findings(batches):

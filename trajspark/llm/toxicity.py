@@ -157,7 +157,7 @@ def fit(stems, votes, toxic):
     size, toxic = len(VOTERS) + len(stems), np.asarray(toxic, float)
     if not 0 < toxic.sum() < len(toxic):
         weights = np.zeros(size + 2)
-        weights[:3], weights[size] = (4.0, 1.0, 0.5), 1.0
+        weights[:3], weights[size] = (5.0, 1.0, 0.5), 1.0
         return {"stems": list(stems), "weights": weights, "base": -4.0}
     x = np.array([vector(*v, size) for v in votes])
     prior = float(np.clip(toxic.mean(), 0.01, 0.5))

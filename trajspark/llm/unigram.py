@@ -225,7 +225,7 @@ class Encoder:
         total = counts.sum()
         ids = self.flat[np.repeat(self.at[codes] - (np.cumsum(counts) - counts), counts)
                         + np.arange(total)]
-        ends = np.concatenate(([0], np.cumsum(counts)))[np.cumsum(sizes)]
+        ends = np.concatenate(([0], np.cumsum(counts)))[np.cumsum(sizes, dtype=int)]
         return ids, np.diff(ends, prepend=0)
 
     def decode(self, ids):
