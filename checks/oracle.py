@@ -187,10 +187,10 @@ ROW_USAGE = (f"WITH {VIEWS}, {HISTORY}, {_messages('L2')}, "
 ALL_USAGE = ROW_USAGE + " SELECT * FROM usage"
 
 
-def _totals(by="", where=""):
+def _totals(by="", where="", usage=ROW_USAGE):
     """Closing CTE `totals`, one row per model (and per `by`)."""
     g = f"{by}, " if by else ""
-    return ROW_USAGE + f""", sums AS (
+    return usage + f""", sums AS (
   SELECT {g}u.model, count(*) AS n, sum(text_tokens)::BIGINT AS tt,
          sum(image_tokens)::BIGINT AS it, sum(image_count)::BIGINT AS ic
   FROM usage u JOIN tasks t ON t.task_id = u.task_id {where} GROUP BY {g}u.model),
@@ -262,6 +262,36 @@ def _report():
         for i, (k, e) in enumerate(lines))
 
 
+def _could_fail(content):
+    """What the failing counter makes of one message, per encoding."""
+    return f"""CASE WHEN m.encoding = 'o200k_base' AND coalesce({content}, '') LIKE
+    '%{V.UNCOUNTABLE}%' THEN NULL ELSE {tok(content)} END"""
+
+
+FAILING_USAGE = f"""WITH {VIEWS}, {HISTORY}, {_messages('L2')}, texts AS (
+  SELECT task_id, prefix_len, m.model, CASE WHEN count(*) = count({_could_fail('content')})
+    THEN sum({_could_fail('content')}) END::BIGINT AS text_tokens
+  FROM messages CROSS JOIN models m GROUP BY ALL),
+pic_sums AS (
+  SELECT task_id, prefix_len, m.model, count(*) AS image_count,
+    sum({BILLED})::BIGINT AS image_tokens
+  FROM shown LEFT JOIN tiles x ON x.path = shown.image CROSS JOIN models m GROUP BY ALL),
+usage AS (
+  SELECT * FROM texts JOIN pic_sums USING (task_id, prefix_len, model)
+  WHERE text_tokens IS NOT NULL)"""
+DOCUMENTED_USAGE = f"""WITH {VIEWS}, messages AS ({_documented()}), """ + _usage(
+    ("task_id", "prefix_len"), ROW_TEXTS,
+    """SELECT p.task_id, p.n AS prefix_len, s.image FROM prefixes p JOIN steps s
+    ON s.task_id = p.task_id AND s.pos >= p.n - 3 AND s.pos < p.n""")
+LENGTHS = "(SELECT task_id, max(pos) + 1 AS n FROM steps GROUP BY 1)"
+SUMMED = """ SELECT model, total_conversations, total_text_tokens, total_image_tokens,
+    total_images, total_cost FROM totals"""
+KEPT = "AND t.alignment_score >= 5"
+# The configuration of `checks.queries.BLIND`.
+BLIND_ROWS = ("models AS (SELECT * FROM (VALUES (0, 'blind', 'o200k_base', false, 1.0::DOUBLE, "
+              "2.0::DOUBLE, 1.0::DOUBLE), (1, 'gpt-5', 'o200k_harmony', true, 1.25::DOUBLE, "
+              "10.0::DOUBLE, 1.0::DOUBLE)) "
+              "v(ord, model, encoding, supports_vision, in_rate, out_rate, mult))")
 FIRST = "(SELECT task_id, pos + 1 AS prefix_len FROM steps ORDER BY 1, 2 LIMIT {n})"
 DETAILS = (f"WITH {VIEWS} SELECT s.task_id, s.prefix_len, m.model, s.img_pos, "
            f"s.image AS path, {BILLED} AS tokens, {BASE} AS base_tokens, m.mult AS multiplier "
@@ -371,4 +401,35 @@ ORACLE = {
       + {OUTPUT_TOKENS} / 1e6::DOUBLE * m.out_rate AS cost_per_conversation
     FROM (SELECT * FROM totals WHERE model = 'gpt-4o') a CROSS JOIN models m""",
     "summary_report": _report(),
+    "keyless_row_usage": ROW_USAGE + " SELECT * EXCLUDE (task_id, prefix_len) FROM usage",
+    "first_n_filtered_usage": ROW_USAGE + f""" SELECT u.* FROM usage u JOIN (
+      SELECT s.task_id, s.pos + 1 AS prefix_len FROM steps s
+      JOIN tasks t ON t.task_id = s.task_id {KEPT} AND s.pos >= 1 ORDER BY 1, 2 LIMIT 25) f
+    ON f.task_id = u.task_id AND f.prefix_len = u.prefix_len WHERE u.model = 'gpt-5'""",
+    "totals_with_failures": _totals(usage=FAILING_USAGE) + SUMMED,
+    "row_totals_with_failures": _totals(usage=FAILING_USAGE) + SUMMED,
+    "full_only_totals": _totals("", f"""JOIN {LENGTHS} l ON l.task_id = u.task_id
+    AND l.n = u.prefix_len AND l.n > 3""") + SUMMED,
+    "late_prefix_totals": _totals("", "AND u.prefix_len > 2") + SUMMED,
+    "documented_usage": DOCUMENTED_USAGE + " SELECT * FROM usage",
+    "documented_totals": _totals(usage=DOCUMENTED_USAGE) + SUMMED,
+    "other_output_tokens": ROW_USAGE + f""" SELECT u.task_id, u.prefix_len, u.model, text_tokens,
+    image_tokens, image_count, total_input_tokens, 100::BIGINT AS output_tokens,
+    total_input_tokens + 100 AS total_tokens, input_cost, 100 / 1e6::DOUBLE * m.out_rate
+    AS output_cost, input_cost + 100 / 1e6::DOUBLE * m.out_rate AS total_cost
+    FROM usage u JOIN models m ON m.model = u.model JOIN {LENGTHS} l
+    ON l.task_id = u.task_id AND l.n = u.prefix_len""",
+    "usage_without_vision": ALL_USAGE.replace(MODEL_ROWS, BLIND_ROWS),
+    "combined_results": DATASET_TOTALS + """ SELECT model, 0::BIGINT AS input_ord,
+    total_conversations, total_tokens FROM totals WHERE dataset = 'b'""",
+    "file_labels": """SELECT doc_id, CASE WHEN lang IN ('en', 'de') THEN source
+    ELSE source || '_tokens_v2.json' END AS model FROM documents""",
+    "parsed_trajectories": f"""WITH {STEPS}, {TASKS} SELECT s.task_id, t.alignment_score, s.pos,
+    s.image, s.action FROM steps s JOIN tasks t ON t.task_id = s.task_id""",
+    "parsed_training_rows": f"""WITH {STEPS}, {TASKS}, {PREFIXES}, {HISTORY}, {_messages("L2")}
+    SELECT * FROM messages""",
+    "parsed_result_sets": TOTALS + SUMMED,
+    "png_header_dims": f"""WITH {DIMS} SELECT path, status,
+    CASE WHEN status = 'ok' THEN width ELSE 0 END AS width,
+    CASE WHEN status = 'ok' THEN height ELSE 0 END AS height FROM dims""",
 }

@@ -3,16 +3,22 @@
 from pyspark.sql import functions as F
 
 from checks import views as V
+from trajspark import schemas as S
 from trajspark.functions import images as I
+from trajspark.functions.text import estimate_tokens, model_from_file
 from trajspark.operators import compare as C, expand as P, measure as M, quality as Q
 from trajspark.operators import tokens as T, usage as U
 from trajspark.operators.sequences import dense_ids
 from trajspark.plans import jobs as J
-from trajspark.settings import MODELS, select_models
+from trajspark.settings import MIN_SCORE, MODELS, Model, select_models
+from trajspark.sinks import writers as W
+from trajspark.sources import image_files, readers as R
 
 USAGE = ("text_tokens", "image_tokens", "image_count", "total_input_tokens", "output_tokens",
          "total_tokens")
 LABELS = sorted(MODELS)
+TOTALS = ("total_conversations", "total_text_tokens", "total_image_tokens", "total_images",
+          "total_cost")
 
 
 def _flat_usage(usage, keys=U.ROW_KEYS):
@@ -271,6 +277,120 @@ def training_set_cost(s, d):
                          "avg_cost_per_conversation")
 
 
+def keyless_row_usage(s, d):
+    """Rows as others write them: messages and images alone, many of them equal."""
+    rows = P.training_rows(V.trajectories(s, d)).select("messages", "images")
+    return _flat_usage(J.row_usage(rows, V.image_dims(s, d), keys=(), details=False), ())
+
+
+def first_n_filtered_usage(s, d):
+    usage = J.first_step_usage(*_flat_inputs(s, d), n=25, min_score=MIN_SCORE, min_prefix=1,
+                               models=select_models(["gpt-5"]), details=False)
+    return _flat_usage(usage)
+
+
+def _failing(text):
+    """An estimate that cannot count texts with a certain syllable."""
+    return F.when(~text.contains(V.UNCOUNTABLE), estimate_tokens(text))
+
+
+COUNTERS = {"o200k_base": _failing}       # the other encoding counts everything
+
+
+def totals_with_failures(s, d):
+    return _totals(s, d, counters=COUNTERS).select("model", *TOTALS)
+
+
+def row_totals_with_failures(s, d):
+    usage = J.trajectory_usage(V.trajectories(s, d), V.image_dims(s, d), counters=COUNTERS,
+                               details=False)
+    return U.usage_totals(usage).select("model", *TOTALS)
+
+
+def full_only_totals(s, d):
+    return _totals(s, d, full_only=True, min_prefix=3).select("model", *TOTALS)
+
+
+def late_prefix_totals(s, d):
+    """Nested form: prefixes of three steps and more."""
+    totals = J.trajectory_totals(V.trajectories(s, d), V.image_dims(s, d), min_prefix=2)
+    return totals.select("model", *TOTALS)
+
+
+def documented_usage(s, d):
+    return _flat_usage(J.step_usage(*_flat_inputs(s, d), layout="documented", details=False))
+
+
+def documented_totals(s, d):
+    return _totals(s, d, layout="documented").select("model", *TOTALS)
+
+
+def other_output_tokens(s, d):
+    usage = J.trajectory_usage(V.trajectories(s, d), V.image_dims(s, d), output_tokens=100,
+                               full_only=True, details=False)
+    return _flat_usage(usage)
+
+
+BLIND = {"blind": Model("o200k_base", False, 1.0, 2.0), "gpt-5": MODELS["gpt-5"]}
+
+
+def usage_without_vision(s, d):
+    return _flat_usage(J.step_usage(*_flat_inputs(s, d), models=BLIND, details=False))
+
+
+def combined_results(s, d):
+    parts = _totals(s, d, by=("dataset",))
+    sets = [parts.filter(F.col("dataset") == name).drop("dataset") for name in "cab"]
+    return C.combine(*sets).select("model", "input_ord", "total_conversations", "total_tokens")
+
+
+def file_labels(s, d):
+    names = V.table(s, d, "documents").select("doc_id", F.concat(
+        F.lit("/results/"), "source", F.when(F.col("lang") == "en", F.lit("_tokens.json"))
+        .when(F.col("lang") == "de", F.lit("_tokens_accurate.json"))
+        .otherwise(F.lit("_tokens_v2.json"))).alias("path"))
+    return names.select("doc_id", model_from_file(F.col("path")).alias("model"))
+
+
+def parsed_trajectories(s, d):
+    """Trajectory lines written as JSON and parsed with the declared schema."""
+    lines = V.trajectories(s, d).select(F.to_json(F.struct(
+        F.col("task_id").cast("string").alias("task_id"), "instruction", "alignment_score",
+        "traj")).alias("line"))
+    parsed = lines.select(F.from_json("line", S.TRAJECTORY).alias("t")).select("t.*")
+    return parsed.select("task_id", "alignment_score", F.posexplode("traj")).select(
+        F.col("task_id").cast("long").alias("task_id"), "alignment_score",
+        F.col("pos").cast("long").alias("pos"), F.col("col")["image"].alias("image"),
+        F.col("col")["value"]["action"].alias("action"))
+
+
+def parsed_training_rows(s, d):
+    rows = P.training_rows(V.trajectories(s, d), keep=())
+    lines = rows.select(F.to_json(F.struct("*")).alias("line"))
+    parsed = lines.select(F.from_json("line", S.TRAINING_ROW).alias("r")).select("r.*")
+    return P.message_rows(parsed.withColumn("task_id", F.col("task_id").cast("long")))
+
+
+def parsed_result_sets(s, d):
+    """Result documents written as JSON and parsed with the declared schema."""
+    lines = W.result_documents(_totals(s, d)).select(F.to_json(F.struct("*")).alias("line"))
+    parsed = lines.select(F.from_json("line", S.RESULT_SET).alias("r")).select("r.*")
+    return R.flat_results(parsed).select("model", *TOTALS)
+
+
+def png_header_dims(s, d):
+    """Sizes read back from PNG headers spelled from the sizes."""
+    def number(c):
+        return F.lpad(F.hex(c), 8, "0")
+    content = F.unhex(F.concat(
+        F.lit("89504E470D0A1A0A0000000D49484452"), number("width"), number("height"),
+        F.when(F.col("status") == I.OK, F.lit("0802000000")).otherwise(F.lit(""))))
+    rows = V.image_dims(s, d).select("path", F.when(F.col("status") == I.OK, content).otherwise(
+        F.substring(content, 1, 20)).alias("content"))
+    return image_files.image_dims(rows).withColumns(
+        {c: F.coalesce(c, F.lit(0)) for c in ("width", "height")})
+
+
 QUERIES = {f.__name__: f for f in (
     training_set_cost, alignment_filter, prefix_expand, prefix_expand_nested, prefix_full_only,
     prefix_min_length, history_block, image_window, image_window_aligned, training_images,
@@ -282,7 +402,10 @@ QUERIES = {f.__name__: f for f in (
     first_n_usage, usage_sample, conversation_ids, unknown_models, compare_token_matrix,
     compare_average_matrix, compare_pricing, compare_features, compare_rank,
     compare_multiplier, compare_vs_cheapest_total, last_result_wins, cost_estimate,
-    summary_report)}
+    summary_report, keyless_row_usage, first_n_filtered_usage, totals_with_failures,
+    row_totals_with_failures, full_only_totals, late_prefix_totals, documented_usage,
+    documented_totals, other_output_tokens, usage_without_vision, combined_results, file_labels,
+    parsed_trajectories, parsed_training_rows, parsed_result_sets, png_header_dims)}
 QUERIES.update(training_messages_l1=_messages("L1"), training_messages_l2=_messages("L2"),
                training_messages_l3=_messages("L3"),
                training_messages_documented=_messages("L2", layout="documented"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tests import brute
 from trajspark import schemas as S
 from trajspark.functions.text import model_from_file
-from trajspark.operators import compare as C, quality as Q, usage as U
+from trajspark.operators import compare as C, expand as P, quality as Q, usage as U
 from trajspark.plans import jobs as J
 from trajspark.settings import select_models
 from trajspark.sinks import writers as W
@@ -29,6 +29,12 @@ def jpeg(width, height):
     return b"\xff\xd8" + app + b"\xff" + frame + b"\xff\xd9"
 
 
+def far_jpeg(width, height):
+    """The size comes after segments longer than the head that is read first."""
+    filler = b"\xff\xe1" + struct.pack(">H", 65_000) + b"\0" * 64_998
+    return b"\xff\xd8" + filler * 3 + jpeg(width, height)[2:]
+
+
 def bmp(width, height):
     return b"BM" + b"\0" * 16 + struct.pack("<ii", width, -height) + b"\0" * 8
 
@@ -56,41 +62,36 @@ def shots(tmp_path_factory):
     for name, content in {
             "a.png": png(1920, 1080), "b.jpg": jpeg(640, 480), "junk.png": b"\x89PNG",
             "sub/c.gif": b"GIF89a" + struct.pack("<HH", 7, 9), "d.bmp": bmp(3, 4),
+            "_a.png": png(5, 6), ".a.png": png(6, 5), "far.jpg": far_jpeg(320, 200),
             "empty.png": b"", "zero.png": png(0, 5), "cut.jpg": jpeg(640, 480)[:20],
             "with space.png": png(70000, 3)}.items():
         (root / name).write_bytes(content)
     return str(root)
 
 
-def test_image_headers(spark, shots):
-    rows = I.read_image_dims(spark, shots).collect()
-    got = {r.path[len(shots) + 1:]: (r.width, r.height, r.status) for r in rows}
-    assert got == {"a.png": (1920, 1080, "ok"), "b.jpg": (640, 480, "ok"),
-                   "sub/c.gif": (7, 9, "ok"), "d.bmp": (3, 4, "ok"),
-                   "with space.png": (70000, 3, "ok"), "junk.png": (None, None, "corrupt"),
-                   "zero.png": (None, None, "corrupt"),
-                   "cut.jpg": (None, None, "corrupt")}
-    # Spark's file sources pass over empty files, so empty.png has no row and counts as missing.
-    assert all(r.path.startswith(shots + "/") for r in rows)
-    listed = {r.path for r in I.list_images(spark, shots).collect()}
-    assert listed == {f"{shots}/{name}" for name in got}
-
+FOUND = {"a.png": (1920, 1080, "ok"), "b.jpg": (640, 480, "ok"), "sub/c.gif": (7, 9, "ok"),
+         "d.bmp": (3, 4, "ok"), "with space.png": (70000, 3, "ok"), "_a.png": (5, 6, "ok"),
+         ".a.png": (6, 5, "ok"), "far.jpg": (320, 200, "ok"), "empty.png": (None, None, "corrupt"),
+         "junk.png": (None, None, "corrupt"), "zero.png": (None, None, "corrupt"),
+         "cut.jpg": (None, None, "corrupt"), "sub": (None, None, "corrupt")}
 
-def test_listing_reads_no_content(spark, shots):
-    plan = I.list_images(spark, shots)._jdf.queryExecution().executedPlan().toString()
-    assert "content" not in plan.split("ReadSchema")[1]
 
+@pytest.mark.parametrize("scheme", ["", "file:", "file://"])
+def test_image_headers(spark, shots, scheme):
+    """Named files only, and their paths come back as given, however the root is spelled."""
+    root = scheme + shots
+    names = [*FOUND, "gone.png", "sub/../a.png", "a.png"]
+    paths = spark.createDataFrame([(f"{root}/{n}",) for n in names] + [(None,)], "path string")
+    rows = I.read_image_dims(paths, partitions=3).collect()
+    assert {r.path[len(root) + 1:]: (r.width, r.height, r.status) for r in rows} == {
+        **FOUND, "sub/../a.png": (1920, 1080, "ok")}
+    assert len(rows) == len(FOUND) + 1
 
-def test_image_root_must_be_absolute(spark):
-    with pytest.raises(ValueError):
-        I.list_images(spark, "shots").collect()
 
-
-def test_refreshed_dims(spark):
-    known = spark.createDataFrame([("a", 1, 1, "ok"), ("b", None, None, "corrupt")], S.IMAGE_DIMS)
-    newer = spark.createDataFrame([("b", 2, 2, "ok"), ("c", 3, 3, "ok")], S.IMAGE_DIMS)
-    got = {r.path: r.width for r in I.refreshed_dims(known, newer).collect()}
-    assert got == {"a": 1, "b": 2, "c": 3}
+def test_only_heads_are_read(tmp_path):
+    from pyarrow import fs
+    (tmp_path / "big.png").write_bytes(png(9, 9) + b"x" * 10_000_000)
+    assert len(I._head(fs.LocalFileSystem(), str(tmp_path / "big.png"))) == I.HEAD
 
 
 def test_usage_from_files(spark, shots, tmp_path):
@@ -100,13 +101,16 @@ def test_usage_from_files(spark, shots, tmp_path):
         s["image"] = name
     (tmp_path / "traj.jsonl").write_text(json.dumps(record) + "\n{broken\n")
     raw = R.read_trajectories(spark, str(tmp_path / "traj.jsonl"), quarantine=True)
-    assert Q.corrupt_records(raw).first()[Q.CORRUPT_COLUMN] == "{broken"
-    rows, _ = J.training_set(R.read_trajectories(spark, str(tmp_path / "traj.jsonl")),
-                             image_root=shots)
+    broken = Q.corrupt_records(raw)
+    assert broken.count() == 1 and broken.select(Q.CORRUPT_COLUMN).first()[0] == "{broken"
+    rows, bad = J.training_set(raw, image_root=shots)
+    assert [(r.reason, r[Q.CORRUPT_COLUMN]) for r in bad.collect()] == [("unreadable", "{broken")]
+    with pytest.raises(ValueError, match="unreadable line"):
+        J.training_set(raw, image_root=shots, strict=True)
     W.write_training_rows(rows, str(tmp_path / "rows"))
     back = R.read_training_rows(spark, str(tmp_path / "rows"))
     assert sorted(back.drop("conversation_id").collect()) == sorted(rows.collect())
-    dims = I.read_image_dims(spark, shots)
+    dims = I.read_image_dims(P.image_rows(back))
     usage = J.row_usage(back, dims, select_models(["gpt-4o", "gpt-4o-mini"]))
     last = usage.filter("prefix_len = 4 and model = 'gpt-4o'").first()
     assert [d.tokens for d in last.image_details] == [1105, 255, 0]
@@ -127,6 +131,21 @@ def test_usage_from_files(spark, shots, tmp_path):
     assert documents.count() == 2 and documents.first().totals.total_images == 1 + 2 + 3 + 3
 
 
+def test_broken_training_rows(spark, tmp_path):
+    """A broken line fails the read or is kept aside; it is never a priced conversation."""
+    line = json.dumps({"messages": [{"role": "user", "content": "a b"}], "images": []})
+    (tmp_path / "rows.jsonl").write_text(f"{line}\n{{broken\n{line}\n")
+    path, none = str(tmp_path / "rows.jsonl"), spark.createDataFrame([], S.IMAGE_DIMS)
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ_FILE"):
+        R.read_training_rows(spark, path).collect()
+    rows = R.read_training_rows(spark, path, quarantine=True)
+    usage = J.row_usage(rows, none, select_models(["gpt-5"]))
+    assert [(r.task_id, r.text_tokens) for r in usage.collect()] == [(None, 3)] * 2
+    good, broken = Q.split_readable(rows)
+    assert good.count() == 2 and broken.count() == 1
+    assert broken.first().reason == "unreadable"
+
+
 def test_training_rows_from_a_json_array(spark, tmp_path):
     path = tmp_path / "rows.json"
     path.write_text(json.dumps([{"messages": [{"role": "user", "content": f"x{i}"}],
@@ -163,7 +182,7 @@ def test_named_result_sets(spark, results):
     found, skipped = R.read_result_sets(spark, paths)
     assert {r.model: r.reason for r in skipped.collect()} == {
         "gone": "not found", "bad": "unreadable", "empty": "incomplete"}
-    last = C.last_per_label(found).collect()
+    last = found.collect()
     assert [(r.model, r.total_conversations, r.total_cost) for r in last] == [("a", 9, 0.5)]
     assert R.read_result_set(spark, paths[0][1]).first().total_conversations == 3
     with pytest.raises(FileNotFoundError):
@@ -176,9 +195,12 @@ def test_discovered_result_sets(spark, results, tmp_path):
     results("m3_tokens_other.json", document("named", 3, 3.0))
     results("m4_tokens_bad.json", "[")
     results("not_matching.json", document("n", 4, 4.0))
-    found = R.discover_result_sets(spark, str(tmp_path))
+    results("m5_tokens.json", document("m1", 7, 1.0))      # the label of the first file
+    found, skipped = R.discover_result_sets(spark, str(tmp_path))
+    assert [(r.model, r.reason) for r in skipped.collect()] == [
+        ("m4_tokens_bad.json", "unreadable")]
     assert {r.model: r.total_conversations for r in found.collect()} == {
-        "m1": 1, "m2": 2, "named": 3}
+        "m1": 7, "m2": 2, "named": 3}
     assert [r.model for r in C.cost_rank(found).collect()] == ["m1", "m2", "named"]
 
 

@@ -1,0 +1,150 @@
+"""The jobs describe the training set that is written, row for row."""
+
+import pytest
+
+from tests import brute
+from trajspark.operators import compare as C, expand as P, measure as M, usage as U
+from trajspark.plans import jobs as J
+from trajspark.schemas import IMAGE_DIMS, TRAINING_ROW, TRAJECTORY
+from trajspark.settings import MODELS, Model, select_models
+
+ONE = select_models(["gpt-4o"])
+
+
+def trajectories(spark, *tasks):
+    return spark.createDataFrame(list(tasks), TRAJECTORY)
+
+
+def dims(spark, data=()):
+    return spark.createDataFrame(list(data), IMAGE_DIMS)
+
+
+def sums(rows):
+    return sorted((r.task_id, r.prefix_len, r.text_tokens, r.image_count, r.total_tokens)
+                  for r in rows.collect())
+
+
+@pytest.fixture(scope="module")
+def tasks(spark):
+    out = [brute.task(f"t{n}", n) for n in (1, 2, 3, 4, 5, 9)]
+    out[1]["alignment_score"] = 2
+    out[3]["traj"][1]["value"]["thought"] = None        # L2 cannot build this one
+    return trajectories(spark, *out)
+
+
+CHOICES = [{}, {"min_prefix": 2}, {"full_only": True}, {"full_only": True, "min_prefix": 3},
+           {"min_prefix": 40}, {"layout": "documented"}, {"window": 1},
+           {"window": 1, "min_prefix": 1}, {"window": 5, "first_image": "aligned"},
+           {"window": 2, "layout": "documented", "min_prefix": 1}]
+
+
+@pytest.mark.parametrize("choice", CHOICES, ids=str)
+def test_usage_and_totals_follow_the_training_set(spark, tasks, choice):
+    rows, _ = J.training_set(tasks, min_score=5, **choice)
+    want = J.row_usage(rows, dims(spark), ONE, details=False, output_tokens=7)
+    got = J.trajectory_usage(tasks, dims(spark), models=ONE, details=False, min_score=5,
+                             output_tokens=7, **choice)
+    assert sums(got) == sums(want)
+    totals = J.trajectory_totals(tasks, dims(spark), models=ONE, min_score=5, output_tokens=7,
+                                 **choice)
+    assert totals.collect() == U.usage_totals(want, ONE, output_tokens=7).collect()
+
+
+def test_window_of_one_needs_no_last_screenshot(spark):
+    """The coded form never shows it then; the other forms do."""
+    data = trajectories(spark, brute.task("t", 3))
+    names = [r.path for r in P.step_images(data).collect()]
+    known = dims(spark, [(n, 1, 1, "ok") for n in names[:-1]])
+    J.training_set(data, known, min_score=None, window=1)
+    for other in ({"window": 2}, {"window": 1, "first_image": "aligned"}):
+        with pytest.raises(FileNotFoundError):
+            J.training_set(data, known, min_score=None, **other)
+
+
+def test_rows_without_keys_stay_apart(spark):
+    say = lambda text: [{"role": "user", "content": text}]
+    same = (None, None, "L2", say("a b"), ["x", "y"])
+    rows = spark.createDataFrame([same, same, (None, None, "L2", say("c"), []),
+                                  ("t", 1, "L1", say("d"), ["x"]),
+                                  ("t", 1, "L2", say("e f"), ["x"])], TRAINING_ROW)
+    got = J.row_usage(rows, dims(spark, [("x", 512, 512, "ok")]), ONE, details=False).collect()
+    assert sorted((r.task_id or "", r.text_tokens, r.image_count) for r in got) == [
+        ("", 1, 0), ("", 3, 2), ("", 3, 2), ("t", 1, 1), ("t", 3, 1)]
+    with pytest.raises(Exception, match="no_such_key"):
+        J.row_usage(rows, dims(spark), ONE, keys=("no_such_key",)).collect()
+
+
+def test_limits_take_rows_in_key_order(spark):
+    say = lambda text: [{"role": "user", "content": text}]
+    rows = spark.createDataFrame([(k, n, "L2", say("x"), []) for k in ("c", "a", None, "b")
+                                  for n in (2, 1, None, 1)], TRAINING_ROW)
+    for n in (1, 3, 6, 15, 16, 99):
+        got = J.row_usage(rows.repartition(5), dims(spark), ONE, limit=n, details=False).collect()
+        order = lambda r: (r[0] is not None, r[0] or "", r[1] is not None, r[1] or 0)
+        keys = sorted(((r.task_id, r.prefix_len) for r in rows.collect()), key=order)
+        assert sorted(((r.task_id, r.prefix_len) for r in got), key=order) == keys[:n]
+    with pytest.raises(ValueError):
+        J.row_usage(rows, dims(spark), ONE, limit=-1)
+
+
+def test_limit_counts_steps_that_have_a_task(spark):
+    heads = spark.createDataFrame([("b", "do"), ("d", "do")], "task_id string, instruction string")
+    steps = spark.createDataFrame(
+        [(t, p, p, "x", "o", "th", "ac", "co") for t in "abcd" for p in range(3)],
+        "task_id string, pos long, index long, image string, observation string, "
+        "thought string, action string, code string")
+    got = J.first_step_usage(heads, steps, dims(spark), 4, models=ONE, details=False)
+    assert sorted((r.task_id, r.prefix_len) for r in got.collect()) == [
+        ("b", 1), ("b", 2), ("b", 3), ("d", 1)]
+    late = J.first_step_usage(heads, steps, dims(spark), 9, min_prefix=2, models=ONE,
+                              details=False)
+    assert sorted((r.task_id, r.prefix_len) for r in late.collect()) == [("b", 3), ("d", 3)]
+
+
+def test_problems_of_flat_tables(spark):
+    heads = spark.createDataFrame([("a", "x"), ("b", "x"), ("c", "x"), ("e", "x"), ("e", "x")],
+                                  "task_id string, instruction string")
+    places = {"a": (0, 1, 2), "b": (0, 1, 3), "c": (0, 1, 1, 3), "d": (0,), "e": (0, 1)}
+    steps = spark.createDataFrame(
+        [(t, p, p, "x", None, "th", None if (t, p) == ("a", 1) else "ac", "co")
+         for t, ps in places.items() for p in ps],
+        "task_id string, pos long, index long, image string, observation string, "
+        "thought string, action string, code string")
+    images = dims(spark, [("x", 1, 1, "ok"), ("x", 2, 2, "ok"), ("y", 1, 1, "ok")])
+    got = {(r.problem, r.key) for r in M.flat_problems(heads, steps, images).collect()}
+    assert got == {("positions", "b"), ("positions", "c"), ("repeated task", "e"),
+                   ("repeated path", "x"), ("null in a step", "a"), ("steps of no task", "d")}
+    assert ("null in a step", "b") in {(r.problem, r.key) for r in M.flat_problems(
+        heads, steps, images, "L3").collect()}
+
+
+def test_totals_know_their_models(spark, tasks):
+    own = {"mine": Model("e", True, 1.0, 1.0)}
+    usage = J.trajectory_usage(tasks, dims(spark), models=own, details=False)
+    assert U.usage_totals(usage, own).count() == 1
+    with pytest.raises(Exception, match="no rates for model mine"):
+        U.usage_totals(usage).collect()
+
+
+def test_equal_prices_keep_the_order_of_the_table(spark, tasks):
+    totals = J.trajectory_totals(tasks, dims(spark))
+    rank = [r.model for r in C.cost_rank(totals).collect()]
+    equal = [m for m in rank if m.startswith("gpt-4o") and m != "gpt-4o-mini"]
+    assert equal == [m for m in MODELS if m in equal]
+
+
+def test_one_scan_by_default(spark, tasks, tmp_path):
+    tasks.write.json(str(tmp_path / "j"))
+    data = spark.read.schema(TRAJECTORY).json(str(tmp_path / "j"))
+    plan = J.training_set(data)[0]._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+
+
+def test_stored_lengths_prune_the_long_branch(spark, tasks, tmp_path):
+    from pyspark.sql import functions as F
+    tasks.withColumn("n_steps", F.size("traj")).write.parquet(str(tmp_path / "p"))
+    data = spark.read.parquet(str(tmp_path / "p"))
+    rows = P.training_rows(data.filter("task_id <> 't4'"), split_over=4)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(n_steps,4)" in plan
+    assert rows.count() == sum((1, 2, 3, 5, 9))

@@ -135,8 +135,14 @@ def test_uncountable_step_spoils_only_prefixes_that_repeat_it(spark, exact):
         got = J.trajectory_usage(data, dims(spark), "L2", models, {"enc-b": exact}, chunk=chunk)
         assert {r.prefix_len: r.text_tokens is None for r in got.collect()} == {
             n: n > 5 for n in range(1, 13)}
-    totals = J.trajectory_totals(data, dims(spark), "L2", models, {"enc-b": exact}).first()
-    assert totals.total_text_tokens is None and totals.total_cost is None
+    # One step whose target alone fails takes out one prefix; a task without failures stays whole.
+    tasks["traj"][2]["value"]["thought"] = "see <|end|>"
+    two = spark.createDataFrame([tasks, brute.task("u", 5)], TRAJECTORY)
+    want = U.usage_totals(J.trajectory_usage(two, dims(spark), "L2", models, {"enc-b": exact}),
+                          models)
+    got = J.trajectory_totals(two, dims(spark), "L2", models, {"enc-b": exact})
+    assert got.collect() == want.collect()
+    assert got.first().total_conversations == 4 + 5
 
 
 def test_estimate_never_fails(spark):

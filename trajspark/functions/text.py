@@ -9,6 +9,7 @@ IMAGE_MARK = "<image>"
 BLOCK_GAP = "\n\n"
 # Two characters, backslash and n, follow the word python in the coded layout.
 CODE_OPEN_CODED = "\n## Code: ```python\\n"
+TASK_OPEN = "# Task Instruction:\n"
 CODE_OPEN_DOCUMENTED = "## Code:\n```python\n"
 
 # One match per estimated token: runs of letters and marks, up to three digits, runs of
@@ -106,6 +107,12 @@ def estimate_step(level, index, observation, thought, action, code):
 
 
 estimate_tokens.step = estimate_step
+estimate_tokens.never_null = True
+
+
+def asked(instruction, ask) -> Column:
+    """The last user turn of the documented layout."""
+    return F.concat(F.lit(TASK_OPEN), instruction, F.lit(f"{BLOCK_GAP}{ask}"))
 
 
 def join_root(root, image: Column) -> Column:

@@ -7,6 +7,7 @@ is the label, `input_ord` its place in the input (added here when absent).
 from pyspark.sql import DataFrame, Window, functions as F
 
 from trajspark.functions import display as D
+from trajspark.settings import MODELS
 
 # Metric labels of the two matrices, in report order.
 TOKEN_METRICS = (
@@ -64,7 +65,8 @@ def _matrix(results, metrics, kind, labels, shown):
 
 
 def token_matrix(results: DataFrame, labels=None, formatted=False) -> DataFrame:
-    """Seven token metrics by model. Give `labels` to spare the job that finds them."""
+    """Seven token metrics by model. `labels` chooses the models (others are left out) and spares
+    the job that finds them."""
     return _matrix(results, TOKEN_METRICS, "long", labels, D.counted if formatted else None)
 
 
@@ -97,7 +99,10 @@ def feature_table(results: DataFrame, formatted=False) -> DataFrame:
 
 def _by_cost(results):
     if "input_ord" not in results.columns:
-        results = results.withColumn("input_ord", F.lit(0).cast("long"))
+        # Totals come without a place; the published table gives its models theirs.
+        place = F.coalesce(*[F.when(F.col("model") == m, F.lit(i))
+                             for i, m in enumerate(MODELS)], F.lit(len(MODELS)))
+        results = results.withColumn("input_ord", place.cast("long"))
     # One row per model, so the unpartitioned window holds the rate table at most.
     return results, Window.orderBy("total_cost", "input_ord", "model")
 

@@ -8,9 +8,10 @@ with the square of its length, does not end up in one task.
 from pyspark.sql import DataFrame, functions as F
 
 from trajspark.functions import text as X
-from trajspark.settings import (DEFAULT_LEVEL, MIN_PREFIX_INDEX, PROMPTS, WINDOW, check_level)
+from trajspark.settings import (ASK, DEFAULT_LEVEL, MIN_PREFIX_INDEX, PROMPTS, WINDOW,
+                                check_level)
 
-SPLIT_OVER = 256
+SPLIT_OVER = None        # 256 is a good value for sources with long trajectories
 FIRST_IMAGE = ("coded", "aligned")
 
 
@@ -24,7 +25,8 @@ def _ranges(trajectories, split_over):
     """Adds `start`: a row covers the prefixes ending at array positions start..size-1."""
     if split_over is None:
         return trajectories.withColumn("start", F.lit(0))
-    size = F.size("traj")
+    # A stored length lets the scan of the long branch pass over row groups without any.
+    size = F.col("n_steps")
     short = trajectories.filter(size <= split_over).withColumn("start", F.lit(0))
     long = (trajectories.filter(size > split_over)
             .withColumn("start", F.explode(F.sequence(F.lit(0), size - 1, F.lit(split_over))))
@@ -61,7 +63,8 @@ def prefixes_of_steps(steps: DataFrame, min_prefix=MIN_PREFIX_INDEX, full_only=F
 
 def _with_pieces(trajectories, layout, root, min_prefix, full_only, keep, split_over):
     """Prefix rows that carry the task's turn texts and image paths, built once per task."""
-    sized = trajectories.withColumn("n_steps", F.size("traj"))
+    sized = (trajectories if "n_steps" in trajectories.columns
+             else trajectories.withColumn("n_steps", F.size("traj")))
     turns = F.transform("traj", lambda s: X.action_turn(s["index"], s["value"]["action"], layout))
     paths = F.transform("traj", lambda s: X.join_root(root, s["image"]))
     todo = F.slice("traj", F.col("start") + 1, F.greatest(F.size("traj"), F.lit(1)))
@@ -135,8 +138,7 @@ def _documented_messages(system, window, target, ask):
                      F.least(n - 1, F.lit(window - 1)))
     recent = F.flatten(F.transform(
         recent, lambda turn: F.array(mark, _message("assistant", turn))))
-    user = F.concat(F.lit("# Task Instruction:\n"), F.col("instruction"),
-                    F.lit(f"{X.BLOCK_GAP}{ask}"))
+    user = X.asked(F.col("instruction"), ask)
     return F.concat(F.array(_message("system", system)), history, recent,
                     F.array(mark, _message("user", user), _message("assistant", target)))
 
@@ -144,15 +146,19 @@ def _documented_messages(system, window, target, ask):
 def training_rows(trajectories: DataFrame, level=DEFAULT_LEVEL, prompts=None, image_root=None,
                   window=WINDOW, min_prefix=MIN_PREFIX_INDEX, full_only=False,
                   layout="coded", first_image="coded", keep=(), split_over=SPLIT_OVER,
-                  ask="Please generate the next move.") -> DataFrame:
+                  ask=ASK) -> DataFrame:
     """Training rows: task_id, prefix_len, level, messages, images.
 
     `min_prefix` skips prefixes up to that length, `full_only` keeps whole trajectories only.
-    `split_over=None` saves the second pass over the source when no trajectory is long.
+    The documented layout always shows the images of `aligned`. One pass over the source;
+    `split_over` hands out longer trajectories in ranges, in a second pass, which a column
+    `n_steps` in a parquet source keeps to the row groups that hold any.
     """
     check_level(level)
     X.check_layout(layout)
     check_first_image(first_image)
+    if layout == "documented":
+        first_image = "aligned"         # the documented layout knows no other
     if window < 1:
         raise ValueError("window must be at least 1")
     prompts = PROMPTS if prompts is None else prompts
@@ -163,12 +169,12 @@ def training_rows(trajectories: DataFrame, level=DEFAULT_LEVEL, prompts=None, im
                            value["thought"], value["action"], value["code"], layout)
     system = F.lit(prompts[level])
     if layout == "documented":
-        messages, shown = _documented_messages(system, window, target, ask), "aligned"
+        messages = _documented_messages(system, window, target, ask)
     else:
-        messages, shown = _coded_messages(system, window, target), first_image
+        messages = _coded_messages(system, window, target)
     return rows.select("task_id", *keep, F.col("prefix_len").cast("long").alias("prefix_len"),
                        F.lit(level).alias("level"), messages.alias("messages"),
-                       _images(window, shown).alias("images"))
+                       _images(window, first_image).alias("images"))
 
 
 def message_rows(rows: DataFrame, keys=("task_id", "prefix_len")) -> DataFrame:

@@ -24,13 +24,15 @@ from trajspark.operators.expand import check_first_image
 from trajspark.operators.sequences import (CHUNK, chunk_of, chunk_sums, chunk_window,
                                            offset_names, with_halo)
 from trajspark.operators.tokens import message_tokens, tokens_column
-from trajspark.settings import PROMPTS, WINDOW, check_level
+from trajspark.settings import ASK, DEFAULT_LEVEL, PROMPTS, WINDOW, check_level
 
 
-def _head_counts(level, prompts, counters):
+def _head_counts(level, prompts, counters, layout="coded", ask=ASK):
     prompt = (PROMPTS if prompts is None else prompts)[check_level(level)]
     instruction = F.col("instruction")
     marked = F.concat(instruction, F.lit(X.IMAGE_MARK))
+    if layout == "documented":
+        instruction = marked = X.asked(instruction, ask)
     out = []
     for i, counter in enumerate(counters):
         system = message_tokens(F.lit(prompt), counter)
@@ -39,25 +41,30 @@ def _head_counts(level, prompts, counters):
     return out
 
 
-def _joined_counts(index, action, counters):
-    turn = F.concat(X.action_turn(index, action), F.lit(X.BLOCK_GAP))
-    return [(counter.step(None, index, None, None, action, None)[1]
-             if hasattr(counter, "step") else counter(turn)).alias(f"joined_{i}")
+def _at_once(counter, layout):
+    """A counter may know how to count a step of the coded layout by reading its texts once."""
+    return getattr(counter, "step", None) if layout == "coded" else None
+
+
+def _joined_counts(index, action, counters, layout="coded"):
+    turn = F.concat(X.action_turn(index, action, layout), F.lit(X.BLOCK_GAP))
+    return [(_at_once(counter, layout)(None, index, None, None, action, None)[1]
+             if _at_once(counter, layout) else counter(turn)).alias(f"joined_{i}")
             for i, counter in enumerate(counters)]
 
 
-def _step_counts(level, index, value, counters):
-    """block, joined and target per counter; a counter may know how to count a step at once."""
+def _step_counts(level, index, value, counters, layout="coded"):
+    """block, joined and target per counter."""
     texts = [value[c] for c in ("observation", "thought", "action", "code")]
-    turn = X.action_turn(index, value["action"])
+    turn = X.action_turn(index, value["action"], layout)
     out = []
     for i, counter in enumerate(counters):
-        if hasattr(counter, "step"):
+        if _at_once(counter, layout):
             block, joined, target = counter.step(level, index, *texts)
         else:
             block = counter(turn)
             joined = counter(F.concat(turn, F.lit(X.BLOCK_GAP)))
-            target = counter(X.target_turn(level, index, *texts))
+            target = counter(X.target_turn(level, index, *texts, layout))
         out += [block.alias(f"block_{i}"), joined.alias(f"joined_{i}"),
                 target.alias(f"target_{i}")]
     return out
@@ -72,56 +79,102 @@ STEPS = ("joined", "block", "target")
 
 
 def measure_trajectories(trajectories: DataFrame, level, counters, prompts=None,
-                         image_root=None, keep=()) -> DataFrame:
+                         image_root=None, keep=(), layout="coded") -> DataFrame:
     """One row of sizes per step of nested trajectories; narrow."""
     heads = _names(HEADS, len(counters))
     tasks = (trajectories.filter(F.size("traj") > 0)
              .select("task_id", *keep, F.size("traj").cast("long").alias("n_steps"), "traj",
-                     *_head_counts(level, prompts, counters)))
+                     *_head_counts(level, prompts, counters, layout)))
     steps = tasks.select("task_id", *keep, "n_steps", *heads, F.posexplode("traj"))
     step = F.col("col")
     return steps.select("task_id", *keep, "n_steps", *heads,
                         F.col("pos").cast("long").alias("pos"),
                         X.join_root(image_root, step["image"]).alias("image"),
-                        *_step_counts(level, step["index"], step["value"], counters))
+                        *_step_counts(level, step["index"], step["value"], counters, layout))
+
+
+def _counted_steps(steps, level, counters, image_root, layout):
+    value = {c: F.col(c) for c in ("observation", "thought", "action", "code")}
+    return steps.select("task_id", F.col("pos").cast("long").alias("pos"),
+                        X.join_root(image_root, F.col("image")).alias("image"),
+                        *_step_counts(level, F.col("index"), value, counters, layout))
 
 
 def flat_parts(tasks: DataFrame, steps: DataFrame, level, counters, prompts=None,
-               image_root=None, keep=(), chunk=CHUNK):
+               image_root=None, keep=(), chunk=CHUNK, layout="coded"):
     """(sizes per step, heads per task and chunk) from flat tables: tasks(task_id, instruction,
     *keep) and steps(task_id, pos, index, image, observation, thought, action, code).
 
     Text is counted before it meets a shuffle, so only numbers and image names travel. Heads
     come once per chunk, so the steps of one long task can meet their task in many places; they
     also bring the history counted up to the chunk. For that the actions are read and counted a
-    second time, unless those columns are not used, as in totals.
+    second time.
     """
-    value = {c: F.col(c) for c in ("observation", "thought", "action", "code")}
-    counted = steps.select("task_id", F.col("pos").cast("long").alias("pos"),
-                           X.join_root(image_root, F.col("image")).alias("image"),
-                           *_step_counts(level, F.col("index"), value, counters))
-    chunks = chunk_sums(
-        steps.select("task_id", "pos", *_joined_counts(F.col("index"), F.col("action"), counters)),
-        _names(("joined",), len(counters)), chunk)
-    heads = tasks.select("task_id", *keep, *_head_counts(level, prompts, counters))
+    counted = _counted_steps(steps, level, counters, image_root, layout)
+    joined = _joined_counts(F.col("index"), F.col("action"), counters, layout)
+    chunks = chunk_sums(steps.select("task_id", "pos", *joined),
+                        _names(("joined",), len(counters)), chunk)
+    heads = tasks.select("task_id", *keep, *_head_counts(level, prompts, counters, layout))
     return counted, heads.join(chunks, "task_id")
 
 
 def measure_steps(tasks: DataFrame, steps: DataFrame, level, counters, prompts=None,
-                  image_root=None, keep=(), chunk=CHUNK) -> DataFrame:
-    """The sizes of `measure_trajectories` from flat tables."""
-    counted, heads = flat_parts(tasks, steps, level, counters, prompts, image_root, keep, chunk)
+                  image_root=None, keep=(), chunk=CHUNK, layout="coded") -> DataFrame:
+    """The sizes of `measure_trajectories` from flat tables, for totals.
+
+    Totals need the length of a task but no history before a chunk: one partial aggregate per
+    task, and the head of a task is repeated per chunk without a window.
+    """
+    lengths = steps.groupBy("task_id").agg(
+        (F.max("pos") + 1).cast("long").alias("n_steps"))
+    heads = tasks.select("task_id", *keep, *_head_counts(level, prompts, counters, layout)).join(
+        lengths, "task_id")
+    heads = heads.withColumn("chunk", F.explode(F.sequence(
+        F.lit(0).cast("long"), chunk_of("(n_steps - 1)", chunk))))
+    counted = _counted_steps(steps, level, counters, image_root, layout)
     return (counted.withColumn("chunk", chunk_of("pos", chunk))
             .join(heads, ["task_id", "chunk"]).drop("chunk"))
 
 
-def offsets_of_trajectories(trajectories, counters, chunk=CHUNK):
+def flat_problems(tasks: DataFrame, steps: DataFrame, image_dims: DataFrame,
+                  level=DEFAULT_LEVEL) -> DataFrame:
+    """(problem, key, n) of flat tables that would be measured wrongly: positions of a task that
+    are not 0, 1, 2 ... once each, repeated tasks, paths with several sizes, steps with a null
+    text that their level shows, and steps of no task. An empty result means all is well."""
+    key = F.col("task_id").cast("string").alias("key")
+    positions = steps.groupBy("task_id").agg(
+        F.count(F.lit(1)).alias("n"), F.min("pos").alias("first"), F.max("pos").alias("last"),
+        F.sum("pos").alias("total"), F.sum(F.col("pos") * F.col("pos")).alias("squares"))
+    # Sum and sum of squares tell a gap closed by a repeat from a dense sequence.
+    last = F.col("n") - 1
+    dense = ((F.col("first") == 0) & (F.col("last") == last)
+             & (F.col("total") * 2 == last * F.col("n"))
+             & (F.col("squares") * 6 == last * F.col("n") * (2 * last + 1)))
+    uneven = positions.filter(~F.coalesce(dense, F.lit(False))).select(
+        F.lit("positions").alias("problem"), key, "n")
+    twice = tasks.groupBy("task_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(
+        F.lit("repeated task").alias("problem"), key, "n")
+    doubled = image_dims.groupBy("path").agg(F.count(F.lit(1)).alias("n")).filter(
+        "n > 1").select(F.lit("repeated path").alias("problem"), F.col("path").alias("key"), "n")
+    shown = {"L1": ("action", "code"), "L2": ("thought", "action", "code"),
+             "L3": ("observation", "thought", "action", "code")}[check_level(level)]
+    missing = F.lit(False)
+    for name in ("index", "image", *shown):
+        missing = missing | F.col(name).isNull()
+    nulls = steps.filter(missing).groupBy("task_id").agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit("null in a step").alias("problem"), key, "n")
+    lost = steps.join(tasks.select("task_id"), "task_id", "left_anti").groupBy("task_id").agg(
+        F.count(F.lit(1)).alias("n")).select(F.lit("steps of no task").alias("problem"), key, "n")
+    return uneven.union(twice).union(doubled).union(nulls).union(lost)
+
+
+def offsets_of_trajectories(trajectories, counters, chunk=CHUNK, layout="coded"):
     """History counted up to each chunk but the first, of tasks longer than one chunk only."""
     step, joined = F.col("col"), _names(("joined",), len(counters))
     rows = (trajectories.filter(F.size("traj") > chunk)
             .select("task_id", F.posexplode("traj"))
             .select("task_id", "pos",
-                    *_joined_counts(step["index"], step["value"]["action"], counters)))
+                    *_joined_counts(step["index"], step["value"]["action"], counters, layout)))
     return chunk_sums(rows, joined, chunk).filter(F.col("chunk") > 0).select(
         "task_id", "chunk", *offset_names(joined))
 
@@ -204,27 +257,36 @@ def prefix_sizes(measures: DataFrame, image_dims: DataFrame, n_counters=1, offse
         shown_images(F.col("images"), window, first_image).alias("images"))
 
 
-def prefix_shares(measures: DataFrame, n_counters=1, window=WINDOW,
-                  first_image="coded") -> DataFrame:
-    """What each step adds to the totals over all prefixes of its task, in closed form.
+def prefix_shares(measures: DataFrame, n_counters=1, window=WINDOW, first_image="coded",
+                  min_prefix=0, full_only=False) -> DataFrame:
+    """What each step adds to the totals over the emitted prefixes of its task, in closed form.
 
-    With L steps, the step at position p is in the history of L-p-k-1 later prefixes, a recent
-    turn of up to k more and the last turn of one. Narrow, so totals need no window at all.
+    A prefix is named by the position p of its last step; p runs from `min_prefix` (from the
+    last position with `full_only`) to the end of the task. The step at position j is the last
+    turn of prefix j, a recent turn of the next k and in the history of all later ones; the
+    shares count how many of each are emitted. Narrow, so totals need no window at all.
     """
     check_first_image(first_image)
-    left = F.col("n_steps") - F.col("pos")
-    zero = F.lit(0)
-    as_history = F.greatest(left - window - 1, zero)
-    as_recent = F.least(left - 1, F.lit(window))
-    shown = F.least(left, F.lit(window if first_image == "aligned" else window - 1))
-    if first_image == "coded":
-        shown = (shown + F.when(left > window, 1).otherwise(0)
-                 + F.when((F.col("pos") == 0) & (left >= window), 1).otherwise(0))
+    pos, last = F.col("pos"), F.col("n_steps") - 1
+    first = F.lit(min_prefix).cast("long")
+    first = F.greatest(first, last) if full_only else first
+
+    def emitted(low, high):
+        return F.greatest(F.least(high, last) - F.greatest(low, first) + 1, F.lit(0))
+    own = emitted(pos, pos)
+    as_history, as_recent = emitted(pos + window + 1, last), emitted(pos + 1, pos + window)
+    if first_image == "aligned":
+        shown = emitted(pos, pos + window - 1)
+    else:
+        start = F.lit(window - 1)
+        shown = (emitted(pos, pos + window - 2) + emitted(pos + window, pos + window)
+                 + F.when(pos == 0, emitted(start, start)).otherwise(0))
     texts = []
     for i in range(n_counters):
         head = F.when(F.col("pos") < window, F.col(f"head_first_{i}")).otherwise(
             F.col(f"head_rest_{i}"))
-        texts.append((head + F.col(f"target_{i}") + as_history * F.col(f"joined_{i}")
+        texts.append((own * (head + F.col(f"target_{i}")) + as_history * F.col(f"joined_{i}")
                       + as_recent * F.col(f"block_{i}")).cast("long").alias(tokens_column(i)))
     return measures.select(*[c for c in measures.columns if not c.startswith(
-        ("head_", "joined_", "block_", "target_"))], *texts, shown.cast("long").alias("shown"))
+        ("head_", "joined_", "block_", "target_"))], *texts, shown.cast("long").alias("shown"),
+        own.cast("long").alias("rows"))

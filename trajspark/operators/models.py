@@ -37,10 +37,11 @@ def with_models(rows: DataFrame, models, keys=None, counters=None) -> DataFrame:
 
 
 def with_config(rows: DataFrame, models) -> DataFrame:
-    """Adds the configuration of each row's `model`; null for an unknown label."""
+    """Adds the configuration of each row's `model`; an unknown label fails the query."""
     cases = " ".join(f"WHEN {_quoted(name)} THEN named_struct({_config(m)})"
                      for name, m in models.items())
-    return rows.withColumn("_config", F.expr(f"CASE model {cases} END")).select(
+    return rows.withColumn("_config", F.expr(
+        f"CASE model {cases} ELSE raise_error(concat('no rates for model ', model)) END")).select(
         "*", "_config.*").drop("_config")
 
 

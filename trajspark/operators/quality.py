@@ -54,8 +54,27 @@ def split_valid(trajectories: DataFrame, level, strict=False, min_prefix=0, full
 
 
 def corrupt_records(frame: DataFrame) -> DataFrame:
-    """Lines the reader could not parse, kept aside instead of vanishing in a filter."""
-    return frame.filter(F.col(CORRUPT_COLUMN).isNotNull())
+    """Lines the reader could not parse, kept aside instead of vanishing in a filter.
+
+    Spark refuses to read nothing but that column, so the filter needs another one as well.
+    """
+    other = next(c for c in frame.columns if c != CORRUPT_COLUMN)
+    always = F.xxhash64(other) >= F.lit(-(1 << 63))
+    return frame.filter(F.col(CORRUPT_COLUMN).isNotNull() & always)
+
+
+def split_readable(frame: DataFrame, strict=False):
+    """(parsed rows, unparsed lines with `reason`) of a frame whose reader kept broken lines;
+    (frame, None) of any other. `strict` raises on the first broken line."""
+    if CORRUPT_COLUMN not in frame.columns:
+        return frame, None
+    broken = corrupt_records(frame)
+    if strict:
+        first = broken.take(1)
+        if first:
+            raise ValueError(f"unreadable line: {first[0][CORRUPT_COLUMN][:200]}")
+    return (frame.filter(F.col(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN),
+            broken.withColumn("reason", F.lit("unreadable")))
 
 
 def missing_images(needed: DataFrame, image_dims: DataFrame, path="path") -> DataFrame:

@@ -8,7 +8,8 @@ from trajspark.operators.measure import prefix_shares, with_dims
 from trajspark.operators.models import pricing, with_config, with_models
 from trajspark.operators.tokens import (nested_text_tokens, per_encoding, tokens_by_conversation,
                                         tokens_column)
-from trajspark.settings import MODELS, OUTPUT_TOKENS, WINDOW
+from trajspark.operators.sequences import dense_ids
+from trajspark.settings import MIN_PREFIX_INDEX, MODELS, OUTPUT_TOKENS, WINDOW
 
 ROW_KEYS = ("task_id", "prefix_len")
 
@@ -45,20 +46,24 @@ def row_sizes(rows: DataFrame, image_dims: DataFrame, models=None, counters=None
     """Sizes of ready-made training rows (messages, images), for `usage_rows`.
 
     Text is counted inside the row. Images are looked up one by one and put back together per
-    row; a group is no larger than the image list it came from.
+    row; a group is no larger than the image list it came from. Rows are told apart by a number
+    of their own, so that rows with equal, null or no keys stay rows; `keys` are carried along
+    and must exist.
     """
     distinct, _ = per_encoding(MODELS if models is None else models, counters)
     texts = [tokens_column(i) for i in range(len(distinct))]
-    counted = rows.select(*keys, "images", *[
-        nested_text_tokens(F.col("messages"), c).alias(n) for c, n in zip(distinct, texts)])
+    counted = rows.select(
+        *keys, "images", F.monotonically_increasing_id().alias("_place"),
+        *[nested_text_tokens(F.col("messages"), c).alias(n) for c, n in zip(distinct, texts)])
     exploded = with_dims(
-        counted.select(*keys, *texts, F.posexplode_outer("images").alias("pos", "image")),
+        counted.select(*keys, "_place", *texts,
+                       F.posexplode_outer("images").alias("pos", "image")),
         image_dims)
     image = F.struct("pos", F.col("image").alias("path"), "tile_tokens", "status")
-    return (exploded.groupBy(*keys)
-            .agg(*[F.first(n).alias(n) for n in texts],
+    return (exploded.groupBy("_place")
+            .agg(*[F.first(n).alias(n) for n in (*keys, *texts)],
                  F.array_sort(F.collect_list(F.when(F.col("pos").isNotNull(), image)))
-                 .alias("images")))
+                 .alias("images")).drop("_place"))
 
 
 def flat_usage(messages: DataFrame, images: DataFrame, image_dims: DataFrame, keys, models=None,
@@ -112,49 +117,72 @@ def _summary(sums, by, models, output_tokens):
 
 def usage_totals(usage: DataFrame, models=None, by=(), output_tokens=OUTPUT_TOKENS):
     """Totals and averages per model (and per `by`) from usage rows. Conversations that could
-    not be counted are left out, also from the number of conversations.
+    not be counted are left out, also from the number of conversations. Rows of a model outside
+    `models` fail the query: give the table they were priced with.
 
     Costs come from the integer sums in one expression, so they do not depend on row order.
     """
     models = MODELS if models is None else models
-    sums = usage.filter(F.col("text_tokens").isNotNull()).groupBy(*by, "model").agg(
+    return _summary(_sums(usage, by), by, models, output_tokens)
+
+
+def _sums(usage, by):
+    return usage.filter(F.col("text_tokens").isNotNull()).groupBy(*by, "model").agg(
         F.count(F.lit(1)).alias("total_conversations"),
         F.sum("text_tokens").alias("total_text_tokens"),
         F.sum("image_tokens").alias("total_image_tokens"),
         F.sum("image_count").alias("total_images"))
-    return _summary(sums, by, models, output_tokens)
 
 
 def corpus_totals(measures: DataFrame, image_dims: DataFrame, models=None, counters=None,
-                  window=WINDOW, first_image="coded", by=(), output_tokens=OUTPUT_TOKENS):
+                  window=WINDOW, first_image="coded", by=(), output_tokens=OUTPUT_TOKENS,
+                  min_prefix=MIN_PREFIX_INDEX, full_only=False, sizes_of=None):
     """Totals over all prefixes straight from step sizes, equal to summing the usage rows.
 
     One pass: shares are summed per image path before the size lookup (a hot screenshot becomes
     one row per task), then per tile count, and only those few rows are spread over the models.
+
+    A counter that may fail (returns null) leaves out the prefixes it cannot count. The closed
+    form does not know which those are, so tasks with such a step go through `sizes_of`, a
+    function from their task_ids to `prefix_sizes` rows. Counters marked `never_null` spare
+    that branch.
     """
     models = MODELS if models is None else models
     distinct, _ = per_encoding(models, counters)
     texts = [tokens_column(i) for i in range(len(distinct))]
+    failing = [i for i, c in enumerate(distinct) if not getattr(c, "never_null", False)]
+    rest = None
+    if failing:
+        if sizes_of is None:
+            raise ValueError("a counter that may fail needs sizes_of")
+        gap = F.lit(False)
+        for i in failing:
+            for part in ("head_first", "head_rest", "joined", "block", "target"):
+                gap = gap | F.col(f"{part}_{i}").isNull()
+        broken = measures.filter(gap).select("task_id").distinct()
+        measures = measures.join(broken, "task_id", "left_anti")
+        rest = _sums(usage_rows(sizes_of(broken), models, counters, by, False), by)
 
     def added_up(rows, keys):
-        # An uncountable step leaves the text total null instead of too small.
         return rows.groupBy(*by, *keys).agg(
             F.sum("shown").alias("shown"), F.sum("rows").alias("rows"),
-            *[F.when(F.count_if(F.col(c).isNull()) == 0, F.sum(c)).alias(c) for c in texts])
+            *[F.sum(c).alias(c) for c in texts])
 
-    shares = prefix_shares(measures, len(distinct), window, first_image).withColumn(
-        "rows", F.lit(1).cast("long"))
+    shares = prefix_shares(measures, len(distinct), window, first_image, min_prefix, full_only)
     per_path = added_up(shares, ["image"])
     per_tile = added_up(with_dims(per_path, image_dims), ["tile_tokens", "status"])
 
     # A handful of rows is left to spread over the models.
     sums = with_models(per_tile, models, counters=counters).groupBy(*by, "model").agg(
         F.sum("rows").alias("total_conversations"),
-        F.expr("CASE WHEN count_if(text_tokens IS NULL) = 0 THEN sum(text_tokens) END")
-        .alias("total_text_tokens"),
+        F.sum("text_tokens").alias("total_text_tokens"),
         F.expr(f"sum(shown * {I.billed()})").alias("total_image_tokens"),
         F.sum("shown").alias("total_images"))
-    return _summary(sums, by, models, output_tokens)
+    if rest is not None:
+        names = [c for c in sums.columns if c.startswith("total_")]
+        sums = sums.unionByName(rest).groupBy(*by, "model").agg(
+            *[F.sum(c).alias(c) for c in names])
+    return _summary(sums.filter("total_conversations > 0"), by, models, output_tokens)
 
 
 def image_detail_rows(usage: DataFrame, keys=ROW_KEYS) -> DataFrame:
@@ -189,13 +217,49 @@ def cost_estimates(averages: DataFrame, models=None, by=(), output_tokens=OUTPUT
 
 def first_conversations(rows: DataFrame, n, keys=ROW_KEYS) -> DataFrame:
     """First n rows in key order; None and 0 mean no limit."""
-    if n is None or n == 0:
+    if not check_limit(n):
         return rows
-    if n < 0:
-        raise ValueError("limit must not be negative")
     return rows.orderBy(*keys).limit(n)
 
 
+def check_limit(n):
+    if n is not None and n < 0:
+        raise ValueError("limit must not be negative")
+    return n or None
+
+
+def last_of_first(rows: DataFrame, n, order):
+    """The values of `order` in the n-th row in that order, or None if there are no more rows.
+
+    Only these columns are sorted, in ranges, so no task gets all n rows.
+    """
+    placed = dense_ids(rows.select(*order), order, name="_nth")
+    return placed.filter(F.col("_nth") == n - 1).select(*order).first()
+
+
+def _literal(rows, last, order):
+    return F.struct(*[F.lit(last[c]).cast(rows.schema[c].dataType).alias(c) for c in order])
+
+
+def up_to(rows: DataFrame, last, order) -> DataFrame:
+    """Rows that do not come after `last` in the given order; a filter, no shuffle."""
+    return rows.filter(F.struct(*order) <= _literal(rows, last, order))
+
+
+def first_rows(rows: DataFrame, n, keys=ROW_KEYS) -> DataFrame:
+    """First n rows in key order, ties by content: a filter on the n-th key. Only rows that are
+    equal to the n-th in everything are counted off one by one."""
+    order = (*keys, "_content")
+    rows = rows.withColumn("_content", F.xxhash64(*rows.columns))
+    last = last_of_first(rows, n, order)
+    if last is None:
+        return rows.drop("_content")
+    place = F.struct(*order)
+    before = rows.filter(place < _literal(rows, last, order))
+    equal = rows.filter(place == _literal(rows, last, order)).limit(n - before.count())
+    return before.union(equal).drop("_content")
+
+
 def usage_sample(usage: DataFrame, n=3, images=2, keys=ROW_KEYS) -> DataFrame:
     """A few rows for inspection with the first images of each, shown by base name."""
     shown = F.transform(F.slice("image_details", 1, images), lambda d: F.struct(

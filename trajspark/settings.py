@@ -40,6 +40,10 @@ PROMPTS = {
 }
 
 
+# Fixed value: the question of the documented layout.
+ASK = "Please generate the next move."
+
+
 def check_level(level):
     if level not in LEVELS:
         raise ValueError(f"unknown level {level!r}, expected one of {', '.join(LEVELS)}")

@@ -1,17 +1,18 @@
 """Image sizes from file headers.
 
-Listing is cheap, reading is not: run `read_image_dims` once, keep the table as parquet, and
-add only newer files with `modified_after`.
+Only files that are named are opened, and only their heads are read. Keep the table as parquet if
+the same images are priced again.
 """
 
 import struct
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from trajspark.functions import images as I
 
 SIZE = T.StructType([T.StructField("width", T.LongType()), T.StructField("height", T.LongType())])
+HEAD = 1 << 16           # bytes of a file that are read first
 # Start-of-frame markers that carry a size.
 JPEG_FRAMES = frozenset(range(0xC0, 0xD0)) - {0xC4, 0xC8, 0xCC}
 
@@ -63,25 +64,48 @@ def _other_size(contents: pd.Series) -> pd.DataFrame:
                          "height": pd.array([s and s[1] for s in sizes], "Int64")})
 
 
-def _files(spark, root, modified_after):
-    if not root.startswith("/") and "://" not in root:
-        raise ValueError("the image root must be an absolute path or a URI")
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
-    if modified_after:
-        reader = reader.option("modifiedAfter", modified_after)
-    return reader.load(root)
-
-
-def _below(root, path):
-    """File path in the form training rows use: root folder, slash, name below it."""
-    root = root.rstrip("/") + "/"
-    tail = F.substring(path, F.locate(root, path) + F.lit(len(root)), F.length(path))
-    return F.concat(F.lit(root), tail)
-
-
-def list_images(spark: SparkSession, root) -> DataFrame:
-    """Existing image paths; file contents are not read."""
-    return _files(spark, root, None).select(_below(root, F.col("path")).alias("path"))
+def _place(path, systems):
+    """(file system, place in it) of a plain path or a URI; one client per authority."""
+    import re
+    from pyarrow import fs
+    match = re.match(r"([A-Za-z][A-Za-z0-9+.-]*):(//([^/]*))?(/.*)$", path)
+    scheme, host = (match[1].lower(), match[3] or "") if match else ("file", "")
+    if (scheme, host) not in systems:
+        systems[scheme, host] = ((fs.LocalFileSystem(), "") if scheme == "file"
+                                 else fs.FileSystem.from_uri(f"{match[1]}://{host}/"))
+    system, base = systems[scheme, host]
+    return system, base.rstrip("/") + (match[4] if match else path)
+
+
+def _head(system, place):
+    """The first bytes of a file: enough for its size, or all of it if there is none."""
+    with system.open_input_stream(place) as stream:
+        content = stream.read(HEAD)
+        while content[:2] == b"\xff\xd8" and header_size(content) is None:
+            more = stream.read(len(content))
+            if not more:
+                break
+            content += more
+    return content
+
+
+def _heads(batches):
+    import pyarrow as pa
+    systems = {}
+    for batch in batches:
+        paths = batch.column(0).to_pylist()
+        for k in range(0, len(paths), 128):
+            found = {}
+            for path in paths[k:k + 128]:
+                try:
+                    found[path] = _head(*_place(path, systems))
+                except FileNotFoundError:
+                    pass
+                except OSError:
+                    found[path] = b""
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.binary())],
+                ["path", "content"])
 
 
 def image_dims(files: DataFrame) -> DataFrame:
@@ -102,13 +126,15 @@ def image_dims(files: DataFrame) -> DataFrame:
                         F.when(readable, I.OK).otherwise(I.CORRUPT).alias("status"))
 
 
-def read_image_dims(spark: SparkSession, root, modified_after=None) -> DataFrame:
-    files = _files(spark, root, modified_after)
-    return image_dims(files.select(_below(root, F.col("path")).alias("path"), "content"))
-
+def read_image_dims(paths: DataFrame, path="path", partitions=None) -> DataFrame:
+    """Sizes of the files that `paths` names, once per distinct path: path, width, height, status.
 
-def refreshed_dims(known: DataFrame, newer: DataFrame) -> DataFrame:
-    """Known sizes with newer ones in their place; still one row per path."""
-    tagged = known.withColumn("_new", F.lit(0)).unionByName(newer.withColumn("_new", F.lit(1)))
-    last = F.max_by(F.struct("width", "height", "status"), F.col("_new"))
-    return tagged.groupBy("path").agg(last.alias("_d")).select("path", "_d.*")
+    Paths are plain or URIs of any file system the workers' Arrow can open, and come back as
+    they were given. Only the head of a file is read. A file that is not there has no row; one
+    that is empty, unreadable or no image has the status `corrupt`.
+    """
+    wanted = paths.select(F.col(path).cast("string").alias("path")).filter(
+        F.col("path").isNotNull()).distinct()
+    if partitions:
+        wanted = wanted.repartition(partitions)
+    return image_dims(wanted.mapInArrow(_heads, "path string, content binary"))

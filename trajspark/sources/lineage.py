@@ -1,23 +1,18 @@
 """Reliable checkpoints in the folder the cluster names."""
 
-import tempfile
-
 from pyspark.sql import DataFrame
 
 
 def cut_lineage(frame: DataFrame) -> DataFrame:
     """Eager reliable checkpoint; survives the loss of executors.
 
-    Uses `spark.checkpoint.dir`. Only a local session without that setting gets a scratch
-    folder of its own.
+    Uses `spark.checkpoint.dir`; a session that does not name one gets a folder in its
+    warehouse, which the executors share as well.
     """
     spark = frame.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None and context.master.startswith("local"):
-            folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        if folder is None:
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        context.setCheckpointDir(folder)
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None)
+                                 or f"{warehouse}/_checkpoints")
     return frame.checkpoint()

@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from trajspark import schemas as S
 from trajspark.functions.text import model_from_file
+from trajspark.operators.compare import last_per_label
 from trajspark.operators.quality import CORRUPT_COLUMN
 
 
@@ -15,23 +16,29 @@ def read_trajectories(spark: SparkSession, path, quarantine=False) -> DataFrame:
             .option("columnNameOfCorruptRecord", CORRUPT_COLUMN).json(path))
 
 
-def read_training_rows(spark: SparkSession, path, json_array=False,
-                       partitions=None) -> DataFrame:
+def read_training_rows(spark: SparkSession, path, json_array=False, partitions=None,
+                       quarantine=False) -> DataFrame:
     """Training rows from sharded JSONL, or from one JSON array, with a `conversation_id`.
 
     Rows written elsewhere have no task_id and prefix_len; the id is unique for any input, and
     the position for a single array (`sequences.dense_ids` gives positions for shards too). An
     array file is one partition whatever its size, so its rows are spread out again; write
     JSONL or parquet to read in parallel.
+
+    A broken line fails the read. With `quarantine` it stays, in `_corrupt_record`; the jobs
+    leave it out, and `quality.split_readable` tells both apart.
     """
-    reader = spark.read.schema(S.TRAINING_ROW).option("multiLine", json_array)
+    schema = S.TRAINING_ROW + (f", {CORRUPT_COLUMN} string" if quarantine else "")
+    reader = (spark.read.schema(schema).option("multiLine", json_array)
+              .option("mode", "PERMISSIVE" if quarantine else "FAILFAST")
+              .option("columnNameOfCorruptRecord", CORRUPT_COLUMN))
     rows = reader.json(path).withColumn("conversation_id", F.monotonically_increasing_id())
     if not json_array:
         return rows
     return rows.repartition(partitions) if partitions else rows.repartition("conversation_id")
 
 
-def _flat(results: DataFrame, *extra) -> DataFrame:
+def flat_results(results: DataFrame, *extra) -> DataFrame:
     return results.select(
         "model", *[F.col("model_config")[c].alias(c) for c in S.CONFIG_FIELDS],
         "total_conversations", *[F.col("totals")[c].alias(c)
@@ -54,7 +61,7 @@ def _problem():
 
 def read_result_set(spark: SparkSession, path) -> DataFrame:
     """Summary part of one result document; its per-conversation array is never parsed."""
-    return _flat(_raw_results(spark, path))
+    return flat_results(_raw_results(spark, path))
 
 
 def read_result_sets(spark: SparkSession, paths):
@@ -79,17 +86,19 @@ def read_result_sets(spark: SparkSession, paths):
     if absent:
         skipped = skipped.unionByName(spark.createDataFrame(
             absent, "model string, path string, reason string"))
-    return _flat(found.filter(F.col("reason").isNull()), "input_ord"), skipped
+    return last_per_label(flat_results(found.filter(F.col("reason").isNull()), "input_ord")), skipped
 
 
-def discover_result_sets(spark: SparkSession, folder, pattern="*_tokens*.json") -> DataFrame:
-    """All result documents of a folder. The label is the `model` field, else the file name.
+def discover_result_sets(spark: SparkSession, folder, pattern="*_tokens*.json"):
+    """(results, skipped) of all result documents of a folder. The label is the `model` field,
+    else the file name; a repeated label keeps the document that comes last by file name.
 
-    `input_ord` follows the file names.
+    `input_ord` follows the file names. Unreadable and incomplete documents are in `skipped`.
     """
     raw = _raw_results(spark, f"{folder.rstrip('/')}/{pattern}")
     found = raw.select("*", F.col("_metadata.file_path").alias("path"),
                        F.col("_metadata.file_name").alias("_file"), _problem().alias("reason"))
-    found = (found.filter(F.col("reason").isNull())
-             .withColumn("model", F.coalesce("model", model_from_file(F.col("path")))))
-    return _flat(found, F.col("_file").alias("input_ord"))
+    found = found.withColumn("model", F.coalesce("model", model_from_file(F.col("path"))))
+    skipped = found.filter(F.col("reason").isNotNull()).select("model", "path", "reason")
+    results = flat_results(found.filter(F.col("reason").isNull()), F.col("_file").alias("input_ord"))
+    return last_per_label(results), skipped
