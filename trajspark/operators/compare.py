@@ -150,6 +150,7 @@ def total_multipliers(results: DataFrame) -> DataFrame:
 
 def summary_report(results: DataFrame) -> DataFrame:
     """Printable lines per model: totals, averages and prices as text."""
+    # Labels of the report, in its order.
     text = {"Conversations processed": D.counted(F.col("total_conversations"))}
     for label, name in (("Text tokens", "text_tokens"), ("Image tokens", "image_tokens"),
                         ("Total input tokens", "input_tokens"),
