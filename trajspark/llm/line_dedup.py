@@ -88,7 +88,7 @@ def _lines(batches):
                 if words:
                     rows.append((row, doc_id is None, doc_id, k, *line_hash(words),
                                  half_keys(words) if len(words) >= LEAST_WORDS else None))
-            if len(rows) >= 20_000:
+            if len(rows) >= 4_000:
                 yield _flush(list(shape), shape.values(), rows)
                 rows = []
         if rows:
@@ -103,7 +103,7 @@ def _texts(batches):
         for text, wanted in zip(batch.column("text"), batch.column("wanted").to_pylist()):
             lines = text.as_py().split("\n")
             rows += [(c["id"], b" ".join(line_words(lines[c["line"]]))) for c in wanted]
-            if len(rows) >= 5_000:
+            if len(rows) >= 1_000:
                 yield _flush(["id", "norm"], [pa.int64(), pa.binary()], rows)
                 rows = []
         if rows:
@@ -117,7 +117,7 @@ def _variants(batches):
         rows = []
         for id_, norm in zip(batch.column("id").to_pylist(), batch.column("norm").to_pylist()):
             rows += [(id_, *v) for v in variant_keys(norm.split(b" "))]
-            if len(rows) >= 100_000:
+            if len(rows) >= 20_000:
                 yield _flush(list(shape), shape.values(), rows)
                 rows = []
         if rows:

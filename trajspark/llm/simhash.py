@@ -10,7 +10,7 @@ bit counts. A tile pair emits a spanning forest of its links instead of all of t
 import itertools
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
@@ -44,10 +44,10 @@ def fingerprint(text, words=WORDS):
 
 def fingerprints(docs: DataFrame, text="text", name="fp", words=WORDS) -> DataFrame:
     """Adds the fingerprint as a signed long; null and blank texts have fingerprint zero."""
-    @F.pandas_udf("long")
-    def of(texts: pd.Series) -> pd.Series:
-        out = np.fromiter((fingerprint(t, words) for t in texts), np.uint64, len(texts))
-        return pd.Series(out.view(np.int64))
+    @F.arrow_udf("long")
+    def of(texts: pa.Array) -> pa.Array:
+        out = np.fromiter((fingerprint(t.as_py(), words) for t in texts), np.uint64, len(texts))
+        return pa.array(out.view(np.int64))
     return docs.withColumn(name, of(F.col(text)))
 
 
@@ -68,8 +68,6 @@ def _neighbours(radius):
 
 def _forest(radius):
     """Tile pairs -> the links of a spanning forest of each."""
-    import pyarrow as pa
-
     def run(batches):
         for batch in batches:
             left, right = batch.column("left"), batch.column("right")

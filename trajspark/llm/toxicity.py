@@ -16,7 +16,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from trajspark.llm.common import stored
@@ -69,7 +69,7 @@ class Voters:
         found = ({0: any(w in INSULTS for w in words), 1: any(w in THREATS for w in words),
                   2: bool(MASKED.search(token))},
                  [f for f in features(token) if f in self.stems])
-        if len(self.silent) + len(self.known) > 300_000:
+        if len(self.silent) + len(self.known) > 100_000:
             self.silent, self.known = set(), {}
         if found[1] or any(found[0].values()):
             self.known[token] = found
@@ -173,13 +173,11 @@ def held_out(doc_id="doc_id"):
 
 
 def _count_features(batches):
-    import pyarrow as pa
     counts = {0: Counter(), 1: Counter()}
     for batch in batches:
-        for text, toxic in zip(batch.column("text").to_pylist(),
-                               batch.column("toxic").to_pylist()):
+        for text, toxic in zip(batch.column("text"), batch.column("toxic").to_pylist()):
             found = Counter()
-            for token, n in Counter((text or "").lower().split()).items():
+            for token, n in Counter((text.as_py() or "").lower().split()).items():
                 found.update(dict.fromkeys(features(token), n))
             counts[toxic].update((f, times) for f, n in found.items() for times in TIMES
                                  if n >= times)
@@ -195,10 +193,9 @@ def _count_features(batches):
 
 def _cast_votes(stems):
     def run(batches):
-        import pyarrow as pa
         votes = Voters(stems)
         for batch in batches:
-            found = [votes(t) for t in batch.column("text").to_pylist()]
+            found = [votes(t.as_py()) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([f[0] for f in found], pa.list_(pa.int32())),
                  pa.array([f[1] for f in found], pa.int64()),
@@ -249,15 +246,15 @@ def score(docs: DataFrame, model, text="text") -> DataFrame:
     stems, weights, base = model["stems"], model["weights"], model["base"]
     size = len(VOTERS) + len(stems)
 
-    @F.pandas_udf("double")
-    def of(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         votes = Voters(stems)
         for texts in batches:
             out = np.empty(len(texts))
             for k, t in enumerate(texts):
-                ids, hits, rate = votes(t)
+                ids, hits, rate = votes(t.as_py())
                 out[k] = base + weights[ids].sum() + weights[size:] @ np.log1p((hits, rate))
-            yield pd.Series(1 / (1 + np.exp(-np.clip(out, -30, 30))))
+            yield pa.array(1 / (1 + np.exp(-np.clip(out, -30, 30))))
     return docs.withColumn("score", of(F.col(text))).withColumn(
         "predicted", (F.col("score") >= THRESHOLD).cast("int"))
 

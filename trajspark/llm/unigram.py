@@ -10,6 +10,7 @@ units of a batch at a time.
 """
 
 import re
+from itertools import islice
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
@@ -17,8 +18,8 @@ from pyspark.sql import DataFrame, functions as F
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARKER = "▁"
 UNIT_LIMIT = 64          # bytes of units that are searched together; longer ones go alone
-CACHE = 400_000          # distinct units that a task remembers
-CHUNK = 1 << 21          # characters that are encoded at a time
+CACHE = 100_000          # distinct units that a task remembers
+CHUNK = 1 << 18          # characters that are encoded at a time
 
 
 class Vocabulary:
@@ -195,8 +196,8 @@ class Encoder:
         short = [k for k, u in enumerate(units) if len(u) <= UNIT_LIMIT]
         parts, counts = [], np.zeros(len(units), int)
         order = short + [k for k, u in enumerate(units) if len(u) > UNIT_LIMIT]
-        for k in range(0, len(short), 50_000):
-            some = short[k:k + 50_000]
+        for k in range(0, len(short), 5_000):
+            some = short[k:k + 5_000]
             flat, counts[some] = self._search([units[i] for i in some])
             parts.append(flat)
         for k in order[len(short):]:
@@ -219,7 +220,7 @@ class Encoder:
             codes += [known.setdefault(u, len(known)) for u in units]
             sizes.append(len(units))
         if len(known) > old:
-            self._learn(list(known)[old:])
+            self._learn(list(islice(known, old, None)))
         codes = np.array(codes, int)
         counts = self.count[codes]
         total = counts.sum()
@@ -239,30 +240,30 @@ def decode(table, ids):
     return text[text[:1] == b" ":].decode("utf-8", "replace")
 
 
-def _runs(texts, limit=CHUNK):
-    """Slices of the list, each of about `limit` characters at most, or one text."""
+def _runs(lengths, limit=CHUNK):
+    """Slices that hold lengths of `limit` in sum at most, or one."""
     start = size = 0
-    for k, text in enumerate(texts):
-        if k > start and size + len(text) > limit:
+    for k, length in enumerate(lengths):
+        if k > start and size + length > limit:
             yield start, k
             start, size = k, 0
-        size += len(text)
-    if start < len(texts):
-        yield start, len(texts)
+        size += length
+    if start < len(lengths):
+        yield start, len(lengths)
 
 
 def _encoded(coder):
     def run(batches):
         import pyarrow as pa
+        import pyarrow.compute as pc
         for batch in batches:
-            column = batch.column("text")
-            lengths = column.fill_null("").to_pylist()
-            for a, b in _runs(lengths):
-                texts = lengths[a:b]
+            column = batch.column("text").fill_null("")
+            for a, b in _runs(pc.binary_length(column).to_pylist()):
+                texts = column.slice(a, b - a).to_pylist()
                 ids, counts = coder.encode(texts)
                 ends = np.concatenate(([0], np.cumsum(counts)))
-                raw, fallback = ids.tolist(), np.concatenate(([0], np.cumsum(coder.is_byte[ids])))
-                same = [coder.decode(raw[ends[k]:ends[k + 1]]) == text
+                fallback = np.concatenate(([0], np.cumsum(coder.is_byte[ids])))
+                same = [coder.decode(ids[ends[k]:ends[k + 1]].tolist()) == text
                         for k, text in enumerate(texts)]
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids))
                 yield pa.RecordBatch.from_arrays(
