@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from trajspark.functions import images as I, text as X
 from trajspark.operators.expand import check_first_image
-from trajspark.operators.sequences import (CHUNK, chunk_of, chunk_sums, chunk_window,
-                                           offset_names, with_halo)
+from trajspark.operators.sequences import (CHUNK, chunk_sums, chunk_window, offset_names,
+                                           with_halo)
 from trajspark.operators.tokens import message_tokens, tokens_column
 from trajspark.settings import ASK, DEFAULT_LEVEL, PROMPTS, WINDOW, check_level
 
@@ -119,21 +119,18 @@ def flat_parts(tasks: DataFrame, steps: DataFrame, level, counters, prompts=None
 
 
 def measure_steps(tasks: DataFrame, steps: DataFrame, level, counters, prompts=None,
-                  image_root=None, keep=(), chunk=CHUNK, layout="coded") -> DataFrame:
+                  image_root=None, keep=(), layout="coded") -> DataFrame:
     """The sizes of `measure_trajectories` from flat tables, for totals.
 
-    Totals need the length of a task but no history before a chunk: one partial aggregate per
-    task, and the head of a task is repeated per chunk without a window.
+    Totals need the length of a task but no history before a step: one partial aggregate per
+    task instead of windows. Steps meet their task by its key alone, in an inner join that
+    adaptive execution splits where a task is long; only sums per image follow.
     """
     lengths = steps.groupBy("task_id").agg(
         (F.max("pos") + 1).cast("long").alias("n_steps"))
     heads = tasks.select("task_id", *keep, *_head_counts(level, prompts, counters, layout)).join(
         lengths, "task_id")
-    heads = heads.withColumn("chunk", F.explode(F.sequence(
-        F.lit(0).cast("long"), chunk_of("(n_steps - 1)", chunk))))
-    counted = _counted_steps(steps, level, counters, image_root, layout)
-    return (counted.withColumn("chunk", chunk_of("pos", chunk))
-            .join(heads, ["task_id", "chunk"]).drop("chunk"))
+    return _counted_steps(steps, level, counters, image_root, layout).join(heads, "task_id")
 
 
 def flat_problems(tasks: DataFrame, steps: DataFrame, image_dims: DataFrame,
@@ -169,9 +166,11 @@ def flat_problems(tasks: DataFrame, steps: DataFrame, image_dims: DataFrame,
 
 
 def offsets_of_trajectories(trajectories, counters, chunk=CHUNK, layout="coded"):
-    """History counted up to each chunk but the first, of tasks longer than one chunk only."""
+    """History counted up to each chunk but the first, of tasks longer than one chunk only. A
+    stored column `n_steps` keeps this pass to the row groups that hold such a task."""
     step, joined = F.col("col"), _names(("joined",), len(counters))
-    rows = (trajectories.filter(F.size("traj") > chunk)
+    length = F.col("n_steps") if "n_steps" in trajectories.columns else F.size("traj")
+    rows = (trajectories.filter(length > chunk)
             .select("task_id", F.posexplode("traj"))
             .select("task_id", "pos",
                     *_joined_counts(step["index"], step["value"]["action"], counters, layout)))
