@@ -58,9 +58,12 @@ def corrupt_records(frame: DataFrame) -> DataFrame:
 
     Spark refuses to read nothing but that column, so the filter needs another one as well.
     """
+    return frame.filter(F.col(CORRUPT_COLUMN).isNotNull() & _always(frame))
+
+
+def _always(frame):
     other = next(c for c in frame.columns if c != CORRUPT_COLUMN)
-    always = F.xxhash64(other) >= F.lit(-(1 << 63))
-    return frame.filter(F.col(CORRUPT_COLUMN).isNotNull() & always)
+    return F.xxhash64(other) >= F.lit(-(1 << 63))
 
 
 def split_readable(frame: DataFrame, strict=False):
@@ -73,7 +76,7 @@ def split_readable(frame: DataFrame, strict=False):
         first = broken.take(1)
         if first:
             raise ValueError(f"unreadable line: {first[0][CORRUPT_COLUMN][:200]}")
-    return (frame.filter(F.col(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN),
+    return (frame.filter(F.col(CORRUPT_COLUMN).isNull() & _always(frame)).drop(CORRUPT_COLUMN),
             broken.withColumn("reason", F.lit("unreadable")))
 
 
