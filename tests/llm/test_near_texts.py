@@ -1,0 +1,79 @@
+import random
+
+import corpus_pipeline
+import numpy as np
+from tests.llm.helpers import SMALL, documents, least_reachable, rows
+from trajspark.llm import near_texts
+
+
+def shingles(text):
+    words = (text or "").lower().split()
+    return {tuple(words[k:k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a or b else 1.0
+
+
+def slow(docs):
+    """Ids left when all pairs of texts are compared."""
+    sets = {(k, i): shingles(t) for k, (i, t) in enumerate(docs)}
+    keys = list(sets)
+    links = [(a, b) for a in keys for b in keys if a < b and jaccard(sets[a], sets[b]) >= 0.8]
+    roots, out = least_reachable(keys, links), {}
+    for key in keys:
+        out.setdefault(roots[key], []).append((key[1] is None, key[1] or 0, key[1]))
+    return sorted((min(ids)[2] for ids in out.values()), key=repr)
+
+
+def corpus():
+    """Texts with up to a tenth of their words changed, so that similarities lie on both sides
+    of 0.8, and a group of near copies of one text."""
+    draw = random.Random(5)
+    word = lambda: f"w{draw.randrange(4000)}"
+    texts = [[word() for _ in range(draw.choice((4, 8, 9, 60, 150, 400)))] for _ in range(50)]
+    for words in list(texts):
+        for _ in range(3):
+            other = list(words)
+            for _ in range(draw.randrange(1, 2 + len(words) // 25)):
+                at = draw.randrange(len(other))
+                other[at:at + draw.randrange(2)] = [word()] * draw.randrange(2)
+            texts.append(other)
+    for k in range(60):
+        other = list(texts[5]) * 3
+        other[k % len(other)] = "other"
+        texts.append(other)
+    draw.shuffle(texts)
+    docs = [(1000 - k, " ".join(t)) for k, t in enumerate(texts)]
+    return docs + [(1, None), (2, ""), (3, " \n"), (None, docs[0][1]), (None, "alone here"),
+                   (4, "A b  c"), (5, "a B\tc"), (5, "a B\tc"), (6, "tok " * 30000)]
+
+
+def test_stage_against_all_pairs(spark):
+    docs = corpus()
+    frame = documents(spark, [(i, t, "s") for i, t in docs], "_marks _row name node root")
+    wanted = slow(docs)
+    assert len(wanted) < len(docs) - 100
+    for got in (corpus_pipeline.simhash_stage(spark, frame, SMALL),
+                near_texts.near_dedup(frame, tile=20, set_tile=900)):
+        assert got.columns == frame.columns
+        assert sorted((i for i, in rows(got, "doc_id")), key=repr) == wanted
+    assert near_texts.near_dedup(documents(spark, [])).count() == 0
+
+
+def test_radius_reaches_similar_texts():
+    draw = np.random.default_rng(7)
+    far, lost = [], 0
+    for n in (8, 20, 100, 500):
+        for _ in range(400):
+            a = draw.integers(0, 1 << 63, n, dtype=np.uint64)
+            b = a.copy()
+            b[:n // 9] = draw.integers(0, 1 << 63, n // 9, dtype=np.uint64)     # about 0.8
+            apart = np.bitwise_count(near_texts.wide_fingerprint(np.sort(a))
+                                     ^ near_texts.wide_fingerprint(np.sort(b)))
+            lost += apart[0] > near_texts.FIRST_BITS or apart.sum() > near_texts.ALL_BITS
+            c = draw.integers(0, 1 << 63, n, dtype=np.uint64)
+            far.append(np.bitwise_count(near_texts.wide_fingerprint(np.sort(a))
+                                        ^ near_texts.wide_fingerprint(np.sort(c))).sum())
+    assert lost == 0
+    assert min(far) > near_texts.ALL_BITS

@@ -1,0 +1,220 @@
+"""Near copies by the Jaccard similarity of their word shingles, found by SimHash.
+
+Fingerprints have 256 bits and are taken over the set of shingles, so that their distance follows
+the similarity of the sets. Texts with equal sets are one node. Nodes are dealt into tiles, all
+pairs of tiles are compared in numpy and emit a spanning forest of the pairs within the radius:
+first on 64 bits, then on all. At a radius this wide the population counts of nearly all tiles
+lie within it, so none is skipped; the work is quadratic in the distinct sets.
+
+What a forest connects is a cluster, never cut too small. Within each cluster pairs within the
+radius are verified on the sets themselves, again tile by tile, and emit a spanning forest of the
+true links. So a large group of near copies is not expanded into its pairs.
+"""
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame, functions as F
+
+from trajspark.llm.common import cut, free_name, numbered, stored
+from trajspark.llm.components import components, merged
+
+WORDS = 5            # words of a shingle
+SIMILAR = 0.8        # Jaccard similarity of linked texts
+FIRST_BITS = 22      # differing bits of the first 64, at most
+ALL_BITS = 72        # and of all 256
+TILE = 2048          # nodes of a tile, at least on average unless all fit
+TILES = 32           # so that every node is shuffled so many times at most
+SET_TILE = 1 << 18   # shingles of a tile of a cluster, on average at most
+SEED = 42
+MIXES = (0x9E3779B97F4A7C15, 0xD1B54A32D192ED03, 0x8CB92BA72F3D8DD7)
+
+
+def shingle_set(text, words=WORDS):
+    """Sorted distinct 64-bit hashes of the shingles of `text`; a shorter text is one shingle."""
+    tokens = (text or "").encode("utf-8", "replace").lower().split()    # ASCII only, both
+    if not tokens:
+        return np.zeros(0, np.uint64)
+    joined, n = b" ".join(tokens), max(1, len(tokens) - words + 1)
+    ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1) - 1
+    starts = np.concatenate(([0], ends[:-1] + 1))[:n].tolist()
+    ends = ends[min(words, len(tokens)) - 1:].tolist()
+    digest = xxhash.xxh64_intdigest
+    return np.unique(np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts, ends)),
+                                 np.uint64, n))
+
+
+def _mixed(hashes, by):
+    h = hashes ^ np.uint64(by)
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def wide_fingerprint(hashes):
+    """256-bit SimHash of a set of hashes, as four unsigned longs; zeros for an empty one."""
+    ones, n = np.zeros(256, np.int64), len(hashes)
+    for k in range(0, n, 255):                 # as many as a byte can count
+        part = hashes[k:k + 255]
+        bits = np.stack([part, *(_mixed(part, m) for m in MIXES)], axis=1).astype("<u8")
+        ones += np.unpackbits(bits.view(np.uint8), axis=1, bitorder="little").sum(
+            axis=0, dtype=np.uint8)
+    return np.packbits(ones * 2 > n, bitorder="little").view("<u8")
+
+
+def _marks(words):
+    """text -> two longs that tell its set from others, and the four of its fingerprint."""
+    @F.arrow_udf("array<long>")
+    def of(texts: pa.Array) -> pa.Array:
+        out = np.zeros((len(texts), 6), np.uint64)
+        for k, text in enumerate(texts):
+            hashes = shingle_set(text.as_py(), words)
+            name = xxhash.xxh3_128_intdigest(hashes.astype("<u8").tobytes())
+            out[k, 0], out[k, 1] = name >> 64, name & ((1 << 64) - 1)
+            out[k, 2:] = wide_fingerprint(hashes)
+        return pa.array(list(out.view(np.int64)), pa.list_(pa.int64()))
+    return of
+
+
+def _within(a, b, first, bits):
+    """Yields (i, j, differing bits) of rows of `a` and `b`, of four longs, within the radius."""
+    rows, left, right = max(1, (1 << 16) // max(1, len(b))), a[:, 0].copy(), b[:, 0].copy()
+    for r in range(0, len(a), rows):
+        near = np.bitwise_count(left[r:r + rows, None] ^ right[None, :]) <= first
+        at = np.flatnonzero(near)
+        i, j = at // len(b) + r, at % len(b)
+        apart = np.bitwise_count(a[i] ^ b[j]).sum(axis=1, dtype=np.int64)
+        close = apart <= bits
+        if close.any():
+            yield i[close], j[close], apart[close]
+
+
+def _numbers(value):
+    return value.values.to_numpy(zero_copy_only=False).view(np.uint64)
+
+
+def _forest(first, bits):
+    """Tile pairs -> the links of a spanning forest of the pairs within the radius."""
+    def run(batches):
+        for batch in batches:
+            for left, right in zip(batch.column("left"), batch.column("right")):
+                # Every node is five longs: its number and its fingerprint.
+                a, b = (_numbers(v).reshape(-1, 5) for v in (left, right))
+                nodes, at = np.unique(np.concatenate((a[:, 0], b[:, 0])), return_inverse=True)
+                at_a, at_b, label = at[:len(a)], at[len(a):], np.arange(len(nodes))
+                for i, j, _ in _within(a[:, 1:], b[:, 1:], first, bits):
+                    label = merged(label, at_a[i], at_b[j])
+                own = np.flatnonzero(label != np.arange(len(nodes)))
+                if len(own):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(nodes[own].view(np.int64)),
+                         pa.array(nodes[label[own]].view(np.int64))], ["a", "b"])
+    return run
+
+
+def _paired(tiles, key):
+    """Tiles (`key`, tile, tiles, held) -> left and right of every pair of tiles of a key."""
+    keys = [*key, "i", "j"]
+    left = tiles.select(*key, F.col("tile").alias("i"), F.explode(
+        F.sequence("tile", F.col("tiles") - 1)).alias("j"), F.col("held").alias("left"))
+    right = tiles.select(*key, F.explode(F.sequence(F.lit(0).cast("long"), "tile")).alias("i"),
+                         F.col("tile").alias("j"), F.col("held").alias("right"))
+    return left.join(right, keys).select("left", "right")
+
+
+def _clusters(nodes, count, tile, first, bits):
+    """(node, fp) -> (node, root) of all nodes with another one within the radius."""
+    n = max(1, min(TILES, -(-count // tile)))
+    dealt = cut(nodes.groupBy(F.pmod(F.xxhash64("node"), F.lit(n)).alias("tile")).agg(
+        F.flatten(F.collect_list(F.concat(F.array("node"), "fp"))).alias("held"))
+        .withColumn("tiles", F.lit(n).cast("long")))
+    pairs = _paired(dealt, [])
+    roots = components(pairs.mapInArrow(_forest(first, bits), "a long, b long"))
+    return cut(roots.union(roots.select("root", "root")).distinct())
+
+
+def _sets(words):
+    def run(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):        # one text at a time
+                found = shingle_set(batch.column("text")[k].as_py(), words).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(c).slice(k, 1) for c in ("node", "root", "fp")),
+                     pa.array([found], pa.list_(pa.int64()))], ["node", "root", "fp", "found"])
+    return run
+
+
+def _shared(one, values, owners, count):
+    """How many of the hashes `one` each of `count` sets holds; `values` of all sets, sorted."""
+    start, end = np.searchsorted(values, one), np.searchsorted(values, one, "right")
+    long = end - start
+    at = np.repeat(start - np.concatenate(([0], np.cumsum(long)[:-1])), long)
+    return np.bincount(owners[at + np.arange(len(at))], minlength=count)
+
+
+def _verified(similar, first, bits):
+    """Tile pairs of a cluster -> the links of a spanning forest of the similar pairs."""
+    def read(held):
+        fps = np.array([_numbers(x["fp"]) for x in held]).reshape(-1, 4)
+        names = np.array([x["node"].as_py() for x in held], np.int64)
+        return names, fps, [_numbers(x["found"]) for x in held]
+
+    def run(batches):
+        for batch in batches:
+            for left, right in zip(batch.column("left"), batch.column("right")):
+                (names_a, a, sets_a), (names_b, b, sets_b) = read(left), read(right)
+                sizes = np.array([len(x) for x in sets_b])
+                values, owners = np.concatenate(sets_b), np.repeat(np.arange(len(b)), sizes)
+                order = np.argsort(values, kind="stable")
+                values, owners = values[order], owners[order]
+                nodes, at = np.unique(np.concatenate((names_a, names_b)), return_inverse=True)
+                at_a, at_b, label = at[:len(a)], at[len(a):], np.arange(len(nodes))
+                for i, j, _ in _within(a, b, first, bits):
+                    for k in np.unique(i):
+                        n, to = len(sets_a[k]), j[i == k]
+                        to = to[label[at_b[to]] != label[at_a[k]]]
+                        to = to[np.minimum(n, sizes[to]) >= similar * np.maximum(n, sizes[to])]
+                        if len(to):
+                            both = _shared(sets_a[k], values, owners, len(b))[to]
+                            to = to[both >= similar * (n + sizes[to] - both)]
+                            label = merged(label, np.full(len(to), at_a[k]), at_b[to])
+                own = np.flatnonzero(label != np.arange(len(nodes)))
+                if len(own):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(nodes[own]), pa.array(nodes[label[own]])], ["a", "b"])
+    return run
+
+
+def _true_links(texts, clusters, words, similar, set_tile, first, bits):
+    """(node, text, fp) and clusters -> (a, b), enough similar pairs to join all reachable."""
+    held = stored(texts.join(clusters, "node").select("node", "root", "fp", "text").mapInArrow(
+        _sets(words), "node long, root long, fp array<long>, found array<long>"))
+    sizes = held.groupBy("root").agg(
+        F.ceil(F.sum(F.size("found")) / set_tile).alias("n")).select(
+        "root", F.greatest("n", F.lit(1).cast("long")).alias("tiles"))
+    tiles = held.join(sizes, "root").groupBy(
+        "root", "tiles", F.pmod(F.xxhash64("node"), "tiles").alias("tile")).agg(
+        F.collect_list(F.struct("node", "fp", "found")).alias("held"))
+    return _paired(stored(tiles), ["root"]).mapInArrow(
+        _verified(similar, first, bits), "a long, b long")
+
+
+def near_dedup(docs: DataFrame, words=WORDS, similar=SIMILAR, tile=TILE, set_tile=SET_TILE,
+               first=FIRST_BITS, bits=ALL_BITS) -> DataFrame:
+    """The rows of `docs`, all columns, with one row left of every group of texts that links of
+    at least `similar` join: that of its smallest doc_id, nulls last, and one only of repeated
+    rows. Null and blank texts are one group. An empty table gives an empty result."""
+    mark, row = free_name(docs, "_marks"), free_name(docs, "_row")
+    full = stored(numbered(docs.withColumn(mark, _marks(words)(F.col("text"))), row))
+    rows = full.select(F.col(mark).alias("m"), "doc_id", F.col(row).alias("_row"))
+    own = cut(rows.groupBy(F.slice("m", 1, 2).alias("name")).agg(
+        F.first(F.slice("m", 3, 4)).alias("fp"),
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row"))
+        .alias("least")).withColumn("node", F.col("least._row")))
+    clusters = _clusters(own.select("node", "fp"), own.count(), tile, first, bits)
+    texts = full.select(F.col(row).alias("node"), F.slice(mark, 3, 4).alias("fp"), "text")
+    roots = components(_true_links(texts, clusters, words, similar, set_tile, first, bits))
+    kept = (own.join(roots, "node", "left")
+            .groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("least").alias("least"))
+            .select(F.col("least._row").alias(row)))
+    return full.join(kept, row, "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
