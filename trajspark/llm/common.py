@@ -50,7 +50,11 @@ def let(value, body):
     return F.transform(F.array(value), body)[0]
 
 
-def broadcast_if_small(frame: DataFrame, row_bytes, limit=32 << 20) -> DataFrame:
-    """A broadcast of a stored or checkpointed frame whose counted rows stay under `limit` bytes;
-    above it the plain frame, which Spark joins by a shuffle with the same rows."""
-    return F.broadcast(frame) if frame.count() * row_bytes <= limit else frame
+def broadcast_if_small(frame: DataFrame, row_bytes, limit=32 << 20, entries=None,
+                       entry_bytes=0) -> DataFrame:
+    """A broadcast of a stored or checkpointed frame whose counted rows, and counted entries of
+    its array column `entries`, stay under `limit` bytes; above it the plain frame, which Spark
+    joins by a shuffle with the same rows."""
+    held = F.greatest(F.size(entries), F.lit(0)) if entries else F.lit(0)
+    count = frame.agg(F.count("*").alias("n"), F.coalesce(F.sum(held), F.lit(0)).alias("m")).first()
+    return F.broadcast(frame) if count.n * row_bytes + count.m * entry_bytes <= limit else frame

@@ -136,7 +136,8 @@ def _near_lines(full, first):
     candidates = cut(candidates.withColumnRenamed("r", "_row"))      # id: the order of lines
     wanted = cut(candidates.groupBy("_row").agg(
         F.collect_list(F.struct("id", "line")).alias("wanted")))
-    texts = stored(full.join(broadcast_if_small(wanted, 200), "_row").select("text", "wanted")
+    texts = stored(full.join(broadcast_if_small(wanted, 200, entries="wanted", entry_bytes=64),
+                             "_row").select("text", "wanted")
                    .mapInArrow(_texts, "id long, norm binary"))
     variants = stored(texts.mapInArrow(_variants, "id long, key long, place int"))
     deleted, whole = variants.filter("place >= 0"), variants.filter("place = -1")
@@ -208,7 +209,8 @@ def deduped(docs: DataFrame) -> DataFrame:
     lost = F.col("dropped" + row)
     kept = F.filter(F.split("text", "\n"), lambda line, k: ~F.array_contains(lost, k))
     text = F.when(lost.isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    out = full.join(broadcast_if_small(found, 200), row, "left").filter(
+    out = full.join(broadcast_if_small(found, 200, entries="dropped" + row, entry_bytes=16),
+                    row, "left").filter(
         ~F.coalesce(F.col("empty" + row), F.lit(False))).withColumn("text", text)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
