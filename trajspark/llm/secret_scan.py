@@ -5,7 +5,9 @@ the text before it and is trained on labelled findings: candidates that a patter
 those that none covers. Scores are calibrated on findings kept out of the training; the
 threshold is the lowest one that is precise on those, and never misses more than a share of them.
 
-The network is fitted on at most `sample` candidates; every candidate is scored.
+The network is fitted on at most `sample` candidates; calibration and threshold come from a
+histogram of the scores of all kept-out ones, in their natural mix, and every candidate is scored.
+A candidate that no pattern covers counts as false there, also if it is a secret.
 """
 
 import hashlib
@@ -23,6 +25,7 @@ LEAST_THRESHOLD = 0.5
 LEAST_CHARS = 12         # of a candidate
 BEFORE, INSIDE = 24, 40  # characters that the network sees
 FILTERS, WIDTH, ROUNDS, SEED = 24, 5, 12, 42
+STEPS = 64               # of the histogram of raw scores, to one unit
 KINDS = ("assign", "access", "hex", "model")
 
 # The base patterns.
@@ -146,29 +149,52 @@ def fit(windows, labels, kept_out):
     """A calibrated network with its threshold, or None without findings of both labels on both
     sides of the split."""
     labels, kept_out = np.asarray(labels, int), np.asarray(kept_out, bool)
-    sides = [set(labels[kept_out]), set(labels[~kept_out])]
-    if any(len(s) < 2 for s in sides):
+    if len(set(labels[~kept_out])) < 2:
         return None
     windows = np.array(windows, object)
     net = train_network(windows[~kept_out], labels[~kept_out])
-    raw, y = logits(net, windows[kept_out]).astype(float), labels[kept_out]
-    slope, shift = 1.0, 0.0
+    raw = logits(net, windows[kept_out]).astype(float)
+    return calibrated(net, raw, labels[kept_out], np.ones(len(raw)))
+
+
+def calibrated(net, raw, y, weight):
+    """The network with its calibration and threshold by raw scores of kept-out findings, each
+    standing for `weight` of them; None if they lack a label."""
+    raw, y, weight = np.asarray(raw, float), np.asarray(y, int), np.asarray(weight, float)
+    if len(set(y)) < 2:
+        return None
+    slope, shift, share = 1.0, 0.0, weight / weight.sum()
     for _ in range(200):         # a logistic curve over the raw scores, with smoothed labels
         p = 1 / (1 + np.exp(-np.clip(slope * raw + shift, -30, 30)))
-        off = p - (y * 0.98 + 0.01)
-        slope, shift = slope - 0.1 * (off * raw).mean(), shift - 0.1 * off.mean()
+        off = (p - (y * 0.98 + 0.01)) * share
+        slope, shift = slope - 0.1 * (off * raw).sum(), shift - 0.1 * off.sum()
     chance = 1 / (1 + np.exp(-np.clip(slope * raw + shift, -30, 30)))
     # The lowest threshold from LEAST_THRESHOLD on that is precise enough, unless it must be
     # lower still to find the wanted share.
-    found = np.quantile(chance[y == 1], 1 - RECALL, method="lower")
+    true = np.flatnonzero(y == 1)
+    true = true[np.argsort(chance[true], kind="stable")]
+    upto = np.cumsum(weight[true])
+    found = chance[true[np.searchsorted(upto, (upto[-1] - 1) * (1 - RECALL) // 1, "right")]]
     order = np.append(np.unique(chance), 0)
     order.sort()                        # thresholds lie halfway between neighbouring scores
     precise = [(t + below) / 2 for below, t in zip(order, order[1:])
-               if y[chance >= t].mean() >= PRECISION]
+               if np.average(y[chance >= t], weights=weight[chance >= t]) >= PRECISION]
     threshold = min(float(found), max(LEAST_THRESHOLD, min(precise, default=1.0)))
     return {"net": net, "slope": slope, "shift": shift, "threshold": threshold}
 
 
+def _bins(net):
+    """(window, known) -> known and the raw score in steps of 1 / STEPS."""
+    def run(batches):
+        import pyarrow as pa
+        for batch in batches:
+            raw = np.clip(logits(net, batch.column("window").to_pylist()), -30, 30)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("known"), pa.array(np.rint(raw * STEPS).astype(np.int32))],
+                ["known", "bin"])
+    return run
+
+
 def _findings(batches):
     import pyarrow as pa
     place = pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32())])
@@ -230,12 +256,19 @@ def secret_scan(docs: DataFrame, sample=SAMPLE) -> DataFrame:
     found = stored(docs.select("doc_id", "text").mapInArrow(
         _findings, f"doc_id {doc_id}, base array<struct<kind:int,start:int,end:int>>, "
                    "seen array<struct<start:int,end:int,window:string,known:boolean>>"))
-    each = found.select(F.inline("seen")).select(
+    each = stored(found.select(F.inline("seen")).select(
         "window", F.col("known").cast("int").alias("known")).distinct().withColumn(
-        "h", F.xxhash64("window", F.lit(SEED)))
-    halves = [each.filter(F.col("known") == k).orderBy("h", "window").limit(sample // 2)
-              for k in (0, 1)]
+        "h", F.xxhash64("window", F.lit(SEED))))
+    kept_out = F.pmod("h", F.lit(10)) < 3
+    halves = [each.filter(~kept_out & (F.col("known") == k)).orderBy("h", "window")
+              .limit(sample // 2) for k in (0, 1)]
     rows = halves[0].union(halves[1]).toPandas().sort_values(["h", "window", "known"])
-    model = fit(rows["window"].tolist(), rows["known"], rows["h"] % 10 < 3)
+    model = None
+    if rows["known"].nunique() == 2:
+        net = train_network(rows["window"].tolist(), rows["known"])
+        counts = (each.filter(kept_out).select("window", "known")
+                  .mapInArrow(_bins(net), "known int, bin int")
+                  .groupBy("bin", "known").count().toPandas().sort_values(["bin", "known"]))
+        model = calibrated(net, counts["bin"] / STEPS, counts["known"], counts["count"])
     return found.mapInArrow(_judged(model), f"doc_id {doc_id}, n_assign long, n_access long, "
                             "n_hex long, base_sha256 string, spans string, n_model long")
