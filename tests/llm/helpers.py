@@ -34,7 +34,7 @@ def same_rows(got: pd.DataFrame, wanted: pd.DataFrame):
 
 def oracle(sql, sf_dir):
     con = duckdb.connect()
-    for name in ("documents", "conversations"):
+    for name in ("documents", "conversations", "pages"):
         con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf_dir}/{name}.parquet'")
     return con.execute(sql).df()
 
