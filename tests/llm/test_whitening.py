@@ -1,0 +1,129 @@
+import math
+
+import numpy as np
+import pytest
+from hypothesis import given, settings, strategies as st
+
+from tests.llm.helpers import MIDDLE
+from trajspark.llm import queries, whitening
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def slow(vectors, found, components=32):
+    """Checks found rows {vec_id: [rows]} against plain numpy over vectors {vec_id: entries}."""
+    ids = list(vectors)
+    x = np.array([[math.floor(64 * float(np.float32(c))) + 1_000_000 for c in vectors[i]] for i in ids])
+    n, sums = len(ids), [int(s) for s in x.sum(axis=0)]
+    y = x - x.mean(axis=0)
+    v = y.T @ y / n
+    values, axes = np.linalg.eigh(v)
+    values, axes = values[::-1], axes[:, ::-1]
+    k = min(components, int((values > 1e-9 * values[0]).sum()))
+    assert set(found) == set(ids)
+    whitened = np.zeros((n, k))
+    for row, i in enumerate(ids):
+        got = sorted(found[i], key=lambda r: r.component)
+        assert [r.component for r in got] == list(range(1, k + 1))
+        assert {r.n for r in got} == {n}
+        exact = sum((n * int(a) - s) ** 2 for a, s in zip(x[row], sums))
+        assert {r.deviation for r in got} == {exact}
+        whitened[row] = [r.whitened for r in got]
+    some = [found[ids[0]][j] for j in range(k)]
+    for r in some:
+        assert r.explained == pytest.approx(values[r.component - 1] / np.trace(v), rel=1e-6)
+    wanted = y @ axes[:, :k] / np.sqrt(values[:k])
+    apart = np.abs(np.diff(values[:k + 1])) > 1e-6 * values[0]
+    for j in range(k):          # eigenvalues that stand alone have one vector but for its sign
+        if (j == 0 or apart[j - 1]) and (j >= len(apart) or apart[j]):
+            sign = np.sign(whitened[:, j] @ wanted[:, j])
+            assert np.allclose(whitened[:, j] * sign, wanted[:, j], atol=1e-7)
+    error = np.abs(np.cov(whitened.T, bias=True).reshape(k, k) - np.eye(k)).max()
+    assert error < 1e-8 and {r.identity_error for r in some} == {some[0].identity_error}
+    assert abs(some[0].identity_error - error) < 1e-9
+
+
+def by_id(frame):
+    out = {}
+    for r in frame.collect():
+        out.setdefault(r.vec_id, []).append(r)
+    return out
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.integers(1, 9), st.integers(0, 9), st.integers(0, 1000))
+def test_eigenvectors(dims, rank, seed):
+    draw = np.random.default_rng(seed)
+    half = draw.normal(size=(dims, min(rank, dims))) * 10.0 ** draw.integers(-3, 4)
+    a = half @ half.T
+    factor, order = whitening.cholesky(a)
+    size = max(np.abs(a).max(initial=0), 1e-300)
+    assert factor.shape == (dims, min(rank, dims)) and np.allclose(np.triu(factor, 1), 0)
+    assert np.abs(factor @ factor.T - a[np.ix_(order, order)]).max(initial=0) <= 1e-12 * size
+    values, vectors = whitening.principal(a)
+    assert (np.diff(values) <= 0).all()
+    assert np.allclose(vectors.T @ vectors, np.eye(len(values)), atol=1e-9)
+    assert np.allclose(values, np.linalg.eigvalsh(a)[::-1][:len(values)], rtol=1e-9, atol=1e-12 * size)
+    assert np.abs(vectors * values @ vectors.T - a).max(initial=0) <= 1e-10 * size
+
+
+def test_every_pair_of_columns_meets_once():
+    for n in range(2, 12):
+        met = [frozenset(x) for p, q in whitening._rounds(n) for x in zip(p.tolist(), q.tolist())]
+        assert len(met) == len(set(met)) == n * (n - 1) // 2
+
+
+def test_whole_table(spark):
+    rows = queries.table(spark, MIDDLE, "embeddings")
+    vectors = {r.vec_id: r.embedding for r in rows.collect() if r.embedding is not None
+               and all(c is not None and math.isfinite(c) for c in r.embedding)}
+    slow(vectors, by_id(queries.op12_embedding_whitening(spark, MIDDLE)))
+
+
+def test_cases(spark):
+    draw = np.random.default_rng(3)
+    good = {k: draw.normal(size=5).tolist() for k in range(40)}
+    good[40] = good[7]
+    bad = [(50, None), (51, []), (52, [1.0, None, 0.0, 0.0, 0.0]), (53, [float("nan")] * 5),
+           (54, [float("inf"), 0.0, 0.0, 0.0, 0.0]), (55, [1.0, 2.0]), (56, [0.5] * 6)]
+    rows = spark.createDataFrame([(k, v, 0) for k, v in [*good.items(), *bad]], SCHEMA)
+    rows = rows.selectExpr("*", "1 AS component", "2 AS n", "3 AS deviation", "4 AS part")
+    found = whitening.whitened(rows.repartition(5))
+    assert found.columns == ["vec_id", "component", "n", "deviation", "whitened", "explained",
+                             "identity_error"]
+    slow(good, by_id(found))
+    again = by_id(whitening.whitened(rows.repartition(2)))
+    assert {k: sorted(r) for k, r in again.items()}.keys() == by_id(found).keys()
+    two = by_id(whitening.whitened(rows, components=2))
+    slow(good, two, 2)
+
+
+def test_repeated_and_null_ids(spark):
+    rows = spark.createDataFrame(
+        [(None, [1.0, 0.0]), (None, [1.0, 0.0]), (3, [0.0, 2.0]), (3, [0.0, -1.0])],
+        "vec_id long, embedding array<double>")
+    found = by_id(whitening.whitened(rows))
+    assert len(found[None]) == 4 and len(found[3]) == 4
+    assert {r.n for r in found[3]} == {4}
+
+
+def test_low_rank_and_large_entries(spark):
+    line = spark.createDataFrame([(k, [k / 64, 2 * k / 64, 1.0]) for k in range(9)],
+                                 "vec_id long, embedding array<double>")
+    found = by_id(whitening.whitened(line))
+    assert all(len(r) == 1 for r in found.values())
+    assert found[0][0].explained == pytest.approx(1) and found[0][0].identity_error < 1e-9
+    assert found[8][0].whitened == pytest.approx(4 / math.sqrt(60 / 9))
+    huge = spark.createDataFrame([(k, [k * 1e9, 1e300 if k else 0.0]) for k in range(5)],
+                                 "vec_id long, embedding array<double>")
+    assert {r.deviation for r in whitening.whitened(huge).collect()} == {None}
+    equal = spark.createDataFrame([(1, [0.5, 0.5]), (2, [0.5, 0.5])],
+                                  "vec_id long, embedding array<double>")
+    assert whitening.whitened(equal).count() == 0
+
+
+def test_string_ids_and_empty_table(spark):
+    rows = spark.createDataFrame([("a", [1.0]), ("b", [3.0])], "vec_id string, embedding array<double>")
+    assert {r.vec_id: abs(r.whitened) for r in whitening.whitened(rows).collect()} == {
+        "a": pytest.approx(1), "b": pytest.approx(1)}
+    assert whitening.whitened(rows.filter("false")).count() == 0

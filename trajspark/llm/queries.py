@@ -1,7 +1,7 @@
 """The registered queries of this package: each applies its operator to its whole table."""
 
 from trajspark.llm import (embeddings, hosts, infill, licenses, line_dedup, mixing, preferences,
-                           secret_scan, simhash, toxicity, unigram, url_filter)
+                           secret_scan, simhash, toxicity, unigram, url_filter, whitening)
 
 
 def table(spark, sf_dir, name):
@@ -53,6 +53,10 @@ def op11_fill_in_middle(spark, sf_dir):
     return infill.infill_digests(table(spark, sf_dir, "documents"))
 
 
+def op12_embedding_whitening(spark, sf_dir):
+    return whitening.whitened(table(spark, sf_dir, "embeddings"))
+
+
 def op13_url_filter(spark, sf_dir):
     return url_filter.url_verdicts(table(spark, sf_dir, "pages"))
 
@@ -60,7 +64,7 @@ def op13_url_filter(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (
     op1_simhash_dedup, op2_preference_format, op3_source_mixing, op4_sentencepiece, op5_toxicity,
     op6_license_scan, op7_line_dedup, op8_embedding_dedup, op9_host_quality, op10_secret_scan,
-    op11_fill_in_middle, op13_url_filter)}
+    op11_fill_in_middle, op12_embedding_whitening, op13_url_filter)}
 ORACLE = {"op2_preference_format": preferences.ORACLE_SQL,
           "op6_license_scan": licenses.ORACLE_SQL, "op7_line_dedup": line_dedup.ORACLE_SQL,
           "op9_host_quality": hosts.ORACLE_SQL, "op11_fill_in_middle": infill.ORACLE_SQL,
