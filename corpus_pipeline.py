@@ -1,6 +1,6 @@
 """A training-corpus pipeline: every stage takes the documents that the stage before it kept."""
 
-from trajspark.llm import line_dedup, mixing, near_texts, toxicity, unigram
+from trajspark.llm import line_dedup, mixing, simhash, toxicity, unigram
 from trajspark.llm.common import stored
 
 
@@ -16,9 +16,9 @@ def line_stage(spark, docs, sf_dir):
 
 
 def simhash_stage(spark, docs, sf_dir):
-    """One document of each group of near copies stays, that with the smallest doc_id: five-word
-    shingles, Jaccard similarity of 0.8 and more."""
-    return near_texts.near_dedup(docs)
+    """One document of each group of near copies stays, that with the smallest doc_id: three-word
+    shingles, fingerprints linked at two bits or fewer."""
+    return simhash.simhash_dedup(docs)
 
 
 def mixing_stage(spark, docs, sf_dir):
