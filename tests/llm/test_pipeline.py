@@ -93,6 +93,6 @@ def test_run_is_the_stages(spark, results):
 
 def test_registered():
     assert LLM_QUERIES["pipeline"] is corpus_pipeline.run
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(q.startswith(f"op{n}_") for q in LLM_QUERIES) == 1
     assert set(LLM_ORACLE) <= set(LLM_QUERIES)
