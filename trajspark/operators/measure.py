@@ -27,7 +27,7 @@ from trajspark.operators.tokens import message_tokens, tokens_column
 from trajspark.settings import ASK, DEFAULT_LEVEL, PROMPTS, WINDOW, check_level
 
 
-def _head_counts(level, prompts, counters, layout="coded", ask=ASK):
+def head_counts(level, prompts, counters, layout="coded", ask=ASK):
     prompt = (PROMPTS if prompts is None else prompts)[check_level(level)]
     instruction = F.col("instruction")
     marked = F.concat(instruction, F.lit(X.IMAGE_MARK))
@@ -84,7 +84,7 @@ def measure_trajectories(trajectories: DataFrame, level, counters, prompts=None,
     heads = _names(HEADS, len(counters))
     tasks = (trajectories.filter(F.size("traj") > 0)
              .select("task_id", *keep, F.size("traj").cast("long").alias("n_steps"), "traj",
-                     *_head_counts(level, prompts, counters, layout)))
+                     *head_counts(level, prompts, counters, layout)))
     steps = tasks.select("task_id", *keep, "n_steps", *heads, F.posexplode("traj"))
     step = F.col("col")
     return steps.select("task_id", *keep, "n_steps", *heads,
@@ -93,7 +93,7 @@ def measure_trajectories(trajectories: DataFrame, level, counters, prompts=None,
                         *_step_counts(level, step["index"], step["value"], counters, layout))
 
 
-def _counted_steps(steps, level, counters, image_root, layout):
+def counted_steps(steps, level, counters, image_root, layout):
     value = {c: F.col(c) for c in ("observation", "thought", "action", "code")}
     return steps.select("task_id", F.col("pos").cast("long").alias("pos"),
                         X.join_root(image_root, F.col("image")).alias("image"),
@@ -110,29 +110,14 @@ def flat_parts(tasks: DataFrame, steps: DataFrame, level, counters, prompts=None
     also bring the history counted up to the chunk. For that the actions are read and counted a
     second time.
     """
-    counted = _counted_steps(steps, level, counters, image_root, layout)
+    counted = counted_steps(steps, level, counters, image_root, layout)
     joined = _joined_counts(F.col("index"), F.col("action"), counters, layout)
     chunks = chunk_sums(steps.select("task_id", "pos", *joined),
                         _names(("joined",), len(counters)), chunk)
-    heads = tasks.select("task_id", *keep, *_head_counts(level, prompts, counters, layout))
+    heads = tasks.select("task_id", *keep, *head_counts(level, prompts, counters, layout))
     return counted, heads.join(chunks, "task_id")
 
 
-def measure_steps(tasks: DataFrame, steps: DataFrame, level, counters, prompts=None,
-                  image_root=None, keep=(), layout="coded") -> DataFrame:
-    """The sizes of `measure_trajectories` from flat tables, for totals.
-
-    Totals need the length of a task but no history before a step: one partial aggregate per
-    task instead of windows. Steps meet their task by its key alone, in an inner join that
-    adaptive execution splits where a task is long; only sums per image follow.
-    """
-    lengths = steps.groupBy("task_id").agg(
-        (F.max("pos") + 1).cast("long").alias("n_steps"))
-    heads = tasks.select("task_id", *keep, *_head_counts(level, prompts, counters, layout)).join(
-        lengths, "task_id")
-    return _counted_steps(steps, level, counters, image_root, layout).join(heads, "task_id")
-
-
 def flat_problems(tasks: DataFrame, steps: DataFrame, image_dims: DataFrame,
                   level=DEFAULT_LEVEL) -> DataFrame:
     """(problem, key, n) of flat tables that would be measured wrongly: positions of a task that

@@ -9,6 +9,7 @@ from trajspark.operators.models import pricing, with_config, with_models
 from trajspark.operators.tokens import (nested_text_tokens, per_encoding, tokens_by_conversation,
                                         tokens_column)
 from trajspark.operators.sequences import dense_ids
+from trajspark.operators.summaries import by_class
 from trajspark.settings import MIN_PREFIX_INDEX, MODELS, OUTPUT_TOKENS, WINDOW
 
 ROW_KEYS = ("task_id", "prefix_len")
@@ -171,8 +172,12 @@ def corpus_totals(measures: DataFrame, image_dims: DataFrame, models=None, count
     shares = prefix_shares(measures, len(distinct), window, first_image, min_prefix, full_only)
     per_path = added_up(shares, ["image"])
     per_tile = added_up(with_dims(per_path, image_dims), ["tile_tokens", "status"])
+    return _billed(per_tile, rest, models, counters, by, output_tokens)
 
-    # A handful of rows is left to spread over the models.
+
+def _billed(per_tile, rest, models, counters, by, output_tokens):
+    """Totals from a handful of rows (shown, rows and texts by tile count), which are spread over
+    the models, and from finished sums `rest`."""
     sums = with_models(per_tile, models, counters=counters).groupBy(*by, "model").agg(
         F.sum("rows").alias("total_conversations"),
         F.sum("text_tokens").alias("total_text_tokens"),
@@ -185,6 +190,25 @@ def corpus_totals(measures: DataFrame, image_dims: DataFrame, models=None, count
     return _summary(sums.filter("total_conversations > 0"), by, models, output_tokens)
 
 
+def summary_totals(totals: DataFrame, models=None, counters=None, by=(),
+                   output_tokens=OUTPUT_TOKENS, sizes_of=None):
+    """Totals from one row per task (`summaries.task_totals`), equal to summing the usage rows.
+
+    Tasks that a counter could not count go through `sizes_of`, a function from their task_ids to
+    `prefix_sizes` rows. Counters marked `never_null` spare that branch.
+    """
+    models = MODELS if models is None else models
+    distinct, _ = per_encoding(models, counters)
+    rest = None
+    if not all(getattr(c, "never_null", False) for c in distinct):
+        if sizes_of is None:
+            raise ValueError("a counter that may fail needs sizes_of")
+        broken = totals.filter("gap").select("task_id")
+        totals = totals.filter("not gap")
+        rest = _sums(usage_rows(sizes_of(broken), models, counters, by, False), by)
+    return _billed(by_class(totals, len(distinct), by), rest, models, counters, by, output_tokens)
+
+
 def image_detail_rows(usage: DataFrame, keys=ROW_KEYS) -> DataFrame:
     """Flat form of image_details, one row per shown image."""
     return (usage.select(*keys, "model", F.posexplode("image_details"))

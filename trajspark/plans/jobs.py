@@ -2,7 +2,8 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from trajspark.operators import compare as C, expand as P, measure as M, quality as Q, usage as U
+from trajspark.operators import compare as C, expand as P, measure as M, quality as Q
+from trajspark.operators import summaries as Z, usage as U
 from trajspark.operators.sequences import CHUNK
 from trajspark.operators.tokens import per_encoding
 from trajspark.settings import (DEFAULT_LEVEL, MIN_PREFIX_INDEX, MIN_SCORE, MODELS, OUTPUT_TOKENS,
@@ -121,17 +122,16 @@ def step_totals(tasks: DataFrame, steps: DataFrame, image_dims: DataFrame, level
                 models=None, counters=None, prompts=None, image_root=None, window=WINDOW,
                 first_image="coded", by=(), layout="coded", min_prefix=MIN_PREFIX_INDEX,
                 full_only=False, min_score=None, output_tokens=OUTPUT_TOKENS) -> DataFrame:
-    """The same from flat tables."""
+    """The same from flat tables: steps are summed where they lie, and tasks meet one summary each."""
     distinct, _ = per_encoding(MODELS if models is None else models, counters)
     tasks = Q.keep_scored(tasks, min_score) if min_score is not None else tasks
-    measures = M.measure_steps(tasks, steps, level, distinct, prompts, image_root, by,
-                               layout=layout)
-    return U.corpus_totals(
-        measures, image_dims, models, counters, window, _shown(layout, first_image), by,
-        output_tokens, min_prefix, full_only, lambda ids: _flat_sizes(
-            tasks.join(ids, "task_id", "left_semi"), steps.join(ids, "task_id", "left_semi"),
-            image_dims, distinct, level, prompts, image_root, window, first_image, by, CHUNK,
-            layout, min_prefix, full_only))
+    shares = Z.Shares(window, _shown(layout, first_image), min_prefix, full_only)
+    totals = Z.summarize_steps(tasks, steps, image_dims, level, distinct, shares, prompts,
+                               image_root, by, layout)
+    return U.summary_totals(totals, models, counters, by, output_tokens, lambda ids: _flat_sizes(
+        tasks.join(ids, "task_id", "left_semi"), steps.join(ids, "task_id", "left_semi"),
+        image_dims, distinct, level, prompts, image_root, window, first_image, by, CHUNK,
+        layout, min_prefix, full_only))
 
 
 def row_usage(rows: DataFrame, image_dims: DataFrame, models=None, counters=None,
