@@ -433,3 +433,11 @@ ORACLE = {
     CASE WHEN status = 'ok' THEN width ELSE 0 END AS width,
     CASE WHEN status = 'ok' THEN height ELSE 0 END AS height FROM dims""",
 }
+# What is written and read back is the result itself.
+ORACLE.update({
+    "written_training_rows": ORACLE["parsed_training_rows"],
+    "array_training_rows": ORACLE["parsed_training_rows"],
+    "written_usage": ORACLE["conversation_usage"],
+    "written_usage_csv": ORACLE["conversation_usage"],
+    "discovered_result_sets": ORACLE["parsed_result_sets"],
+})

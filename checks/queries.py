@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from checks import views as V
+from checks import files, views as V
 from trajspark import schemas as S
 from trajspark.functions import images as I
 from trajspark.functions.text import estimate_tokens, model_from_file
@@ -409,3 +409,4 @@ QUERIES = {f.__name__: f for f in (
 QUERIES.update(training_messages_l1=_messages("L1"), training_messages_l2=_messages("L2"),
                training_messages_l3=_messages("L3"),
                training_messages_documented=_messages("L2", layout="documented"))
+QUERIES.update(files.QUERIES)

@@ -1,6 +1,8 @@
 """Sharded writers; nothing is collected."""
 
-from pyspark.sql import DataFrame, functions as F
+import json
+
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from trajspark import schemas as S
 
@@ -14,6 +16,44 @@ def write_training_rows(rows: DataFrame, path, fmt="json", mode="errorifexists",
     rows.write.mode(mode).option("maxRecordsPerFile", rows_per_file).format(fmt).save(path)
 
 
+def pretty(value, kind, depth=0):
+    """JSON text of a column of the given type, indented by four blanks a level; null is `null`."""
+    pad, close = "\n" + "    " * (depth + 1), "\n" + "    " * depth
+    if isinstance(kind, T.StructType):
+        parts = []
+        for k, f in enumerate(kind):
+            parts += [F.lit(("," if k else "") + f'{pad}{json.dumps(f.name)}: '),
+                      pretty(value.getField(f.name), f.dataType, depth + 1)]
+        text = F.concat(F.lit("{"), *parts, F.lit(close + "}"))
+    elif isinstance(kind, T.ArrayType):
+        items = F.array_join(F.transform(
+            value, lambda x: pretty(x, kind.elementType, depth + 1)), "," + pad)
+        text = F.when(F.size(value) == 0, F.lit("[]")).otherwise(
+            F.concat(F.lit("[" + pad), items, F.lit(close + "]")))
+    else:
+        listed = F.to_json(F.array(value))
+        text = F.substring(listed, F.lit(2), F.length(listed) - 2)
+    return F.when(value.isNull(), F.lit("null")).otherwise(text)
+
+
+def write_training_arrays(rows: DataFrame, path, shard, order, mode="errorifexists"):
+    """Training rows as indented JSON arrays, one file for each value of the column `shard`, in the
+    given order of columns; `readers.read_training_rows(json_array=True)` reads them in parallel.
+    A file is written by one task: choose shards of a size one task can write."""
+    from pyspark.sql import Window
+    kind = T.StructType([f for f in rows.schema if f.name != shard])
+    record = F.struct(*[F.col(f"`{f.name}`") for f in kind])
+    ordered = Window.partitionBy(shard).orderBy(*order)
+    numbered = rows.select(shard, F.row_number().over(ordered).alias("_k"),
+                           F.lead(F.lit(False), 1, True).over(ordered).alias("_last"),
+                           pretty(record, kind, 1).alias("value"))
+    text = F.concat(F.when(F.col("_k") == 1, F.lit("[\n    ")).otherwise(F.lit("    ")), "value",
+                    F.when(F.col("_last"), F.lit("\n]")).otherwise(F.lit(",")))
+    # The rows of a shard lie in one partition already, in order.
+    (numbered.withColumn("value", text).sortWithinPartitions(shard, "_k")
+     .select(shard, "value").write.mode(mode).partitionBy(shard).text(path))
+
+
 def write_usage(usage: DataFrame, path, mode="errorifexists", rebalance=True):
     """Per-conversation usage, one folder per model, so a reader of one model skips the rest.
 

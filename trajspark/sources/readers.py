@@ -7,6 +7,7 @@ from trajspark import schemas as S
 from trajspark.functions.text import model_from_file
 from trajspark.operators.compare import last_per_label
 from trajspark.operators.quality import CORRUPT_COLUMN
+from trajspark.sources.json_array import parse_pieces, read_pieces, record_end
 
 
 def read_trajectories(spark: SparkSession, path, quarantine=False) -> DataFrame:
@@ -18,21 +19,30 @@ def read_trajectories(spark: SparkSession, path, quarantine=False) -> DataFrame:
 
 def read_training_rows(spark: SparkSession, path, json_array=False, partitions=None,
                        quarantine=False) -> DataFrame:
-    """Training rows from sharded JSONL, or from one JSON array, with a `conversation_id`.
+    """Training rows from sharded JSONL, or from JSON arrays, with a `conversation_id`.
 
-    Rows written elsewhere have no task_id and prefix_len; the id is unique for any input, and
-    the position for a single array (`sequences.dense_ids` gives positions for shards too). An
-    array file is one partition whatever its size, so its rows are spread out again; write
-    JSONL or parquet to read in parallel.
+    Rows written elsewhere have no task_id and prefix_len; the id is unique for any input and
+    follows the order of a single file (`sequences.dense_ids` makes positions of it). An indented
+    array is cut between its records into as many tasks as its size asks for; one on a single line
+    is read by one task and its rows are spread out again. Arrays of other files at `path` may be
+    laid out otherwise, at the price of one task a file. A file that was cut off right after a
+    record cannot be told from a whole one.
 
-    A broken line fails the read. With `quarantine` it stays, in `_corrupt_record`; the jobs
-    leave it out, and `quality.split_readable` tells both apart.
+    A broken line or record fails the read. With `quarantine` it stays, in `_corrupt_record`; the
+    jobs leave it out, and `quality.split_readable` tells both apart.
     """
+    numbered = F.monotonically_increasing_id()
+    end = json_array and record_end(spark, path)
+    if end:
+        rows = parse_pieces(read_pieces(spark, path, end), S.TRAINING_ROW,
+                            CORRUPT_COLUMN if quarantine else None)
+        rows = rows.withColumn("conversation_id", numbered)
+        return rows.repartition(partitions) if partitions else rows
     schema = S.TRAINING_ROW + (f", {CORRUPT_COLUMN} string" if quarantine else "")
     reader = (spark.read.schema(schema).option("multiLine", json_array)
               .option("mode", "PERMISSIVE" if quarantine else "FAILFAST")
               .option("columnNameOfCorruptRecord", CORRUPT_COLUMN))
-    rows = reader.json(path).withColumn("conversation_id", F.monotonically_increasing_id())
+    rows = reader.json(path).withColumn("conversation_id", numbered)
     if not json_array:
         return rows
     return rows.repartition(partitions) if partitions else rows.repartition("conversation_id")
