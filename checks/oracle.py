@@ -348,6 +348,7 @@ ORACLE = {
     FROM tiles WHERE status = 'ok'""",
     "conversation_usage": ALL_USAGE,
     "trajectory_usage": ALL_USAGE,
+    "chunked_trajectory_usage": ALL_USAGE,
     "training_row_usage": ALL_USAGE,
     "chat_usage": f"WITH {VIEWS}, " + _usage(
         ("conv_id",), f"SELECT conv_id, sum({tok('text')})::BIGINT AS text_tokens "

@@ -146,6 +146,12 @@ def trajectory_usage(s, d):
     return _flat_usage(usage)
 
 
+def chunked_trajectory_usage(s, d):
+    """Chunks of four steps, so that history crosses chunks, and a column that means nothing."""
+    traj = V.trajectories(s, d).withColumn("n_steps", F.lit(1))
+    return _flat_usage(J.trajectory_usage(traj, V.image_dims(s, d), details=False, chunk=4))
+
+
 def training_row_usage(s, d):
     """The usage job on built training rows, counting every message as it stands."""
     rows = P.training_rows(V.trajectories(s, d))
@@ -294,6 +300,7 @@ def _failing(text):
     return F.when(~text.contains(V.UNCOUNTABLE), estimate_tokens(text))
 
 
+_failing.native = True
 COUNTERS = {"o200k_base": _failing}       # the other encoding counts everything
 
 
@@ -397,7 +404,7 @@ QUERIES = {f.__name__: f for f in (
     quarantined_trajectories, missing_images_strict, message_text_tokens,
     conversation_text_tokens, document_text_tokens, distinct_text_tokens, image_tile_tokens,
     image_model_tokens, legacy_image_delta, conversation_usage, trajectory_usage,
-    training_row_usage, chat_usage, image_details, usage_totals_by_model,
+    chunked_trajectory_usage, training_row_usage, chat_usage, image_details, usage_totals_by_model,
     usage_totals_from_rows, usage_totals_nested, usage_averages_by_model, usage_by_dataset,
     first_n_usage, usage_sample, conversation_ids, unknown_models, compare_token_matrix,
     compare_average_matrix, compare_pricing, compare_features, compare_rank,

@@ -148,3 +148,56 @@ def test_stored_lengths_prune_the_long_branch(spark, tasks, tmp_path):
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(n_steps,4)" in plan
     assert rows.count() == sum((1, 2, 3, 5, 9))
+
+
+def _counter(native):
+    from pyspark.sql import functions as F
+    from trajspark.functions.text import estimate_tokens
+
+    def count(text):
+        return F.when(~text.contains("do it 1"), estimate_tokens(text))
+    count.native = native
+    return count
+
+
+@pytest.mark.parametrize("fails", [False, True])
+def test_history_inside_the_row(spark, fails):
+    """Long tasks, chunk by chunk, whatever a column of the input says about their length."""
+    from pyspark.sql import functions as F
+    long = brute.task("long", 23)
+    if fails:
+        long["traj"][12]["value"]["action"] = "do it 1"
+    data = trajectories(spark, long, brute.task("t", 4), brute.task("u", 5))
+    want = sums(J.row_usage(J.training_set(data, min_score=None)[0], dims(spark), ONE, details=False))
+    assert len(want) == 32
+    for chunk, n_steps in ((4, 1), (7, None), (22, 99), (23, 1)):
+        given = data.withColumn("n_steps", F.lit(n_steps).cast("int"))
+        for counter in ((None,) if not fails else (_counter(True), _counter(False))):
+            rows = J.trajectory_usage(given, dims(spark), models=ONE, details=False, chunk=chunk,
+                                      counters=counter and {"o200k_base": counter}).collect()
+            found = [(r.task_id, r.prefix_len, r.text_tokens, r.image_count, r.total_tokens)
+                     for r in rows if r.text_tokens is not None]
+            lost = sorted((r.task_id, r.prefix_len) for r in rows if r.text_tokens is None)
+            # Every prefix that repeats a step without a count has none.
+            assert lost == ([("long", p) for p in range(13, 24)] if fails else [])
+            assert set(found) <= set(want) and len(found) == 32 - len(lost)
+
+
+def test_nested_usage_is_one_scan_without_a_join(spark, tasks, tmp_path):
+    tasks.write.parquet(str(tmp_path / "p"))
+    data = spark.read.parquet(str(tmp_path / "p"))
+    plan = J.trajectory_usage(data, dims(spark), details=False)._jdf.queryExecution(
+        ).executedPlan().toString()
+    assert plan.count("FileScan") == 1
+    # The one join left looks up image sizes.
+    assert sum("Join" in line for line in plan.splitlines()) == 1
+
+
+def test_a_stored_length_only_chooses_the_branch(spark, tasks):
+    from pyspark.sql import functions as F
+    want = sorted(P.training_rows(tasks.filter("task_id <> 't4'")).collect())
+    for n_steps in (None, 3):
+        given = tasks.filter("task_id <> 't4'").withColumn("n_steps", F.lit(n_steps).cast("int"))
+        assert sorted(P.training_rows(given, split_over=2).collect()) == want
+        assert sorted(P.training_rows(given, full_only=True).collect()) == sorted(
+            P.training_rows(tasks.filter("task_id <> 't4'"), full_only=True).collect())

@@ -108,6 +108,7 @@ def estimate_step(level, index, observation, thought, action, code):
 
 estimate_tokens.step = estimate_step
 estimate_tokens.never_null = True
+estimate_tokens.native = True         # made of built-in expressions, so it can run inside an array
 
 
 def asked(instruction, ask) -> Column:

@@ -25,10 +25,12 @@ def _ranges(trajectories, split_over):
     """Adds `start`: a row covers the prefixes ending at array positions start..size-1."""
     if split_over is None:
         return trajectories.withColumn("start", F.lit(0))
-    # A stored length lets the scan of the long branch pass over row groups without any.
-    size = F.col("n_steps")
-    short = trajectories.filter(size <= split_over).withColumn("start", F.lit(0))
-    long = (trajectories.filter(size > split_over)
+    # A stored length lets the scan of the long branch pass over row groups without any. It only
+    # chooses the branch: a task it calls short by mistake is expanded in one piece.
+    size, stored = F.col("n_steps"), F.col("_stored")
+    is_long = F.coalesce(stored > split_over, F.lit(False)) & (size > split_over)
+    short = trajectories.filter(~is_long).withColumn("start", F.lit(0))
+    long = (trajectories.filter(stored > split_over).filter(size > split_over)
             .withColumn("start", F.explode(F.sequence(F.lit(0), size - 1, F.lit(split_over))))
             .withColumn("traj", F.slice("traj", F.lit(1), F.col("start") + split_over))
             .repartition("task_id", "start"))
@@ -63,8 +65,8 @@ def prefixes_of_steps(steps: DataFrame, min_prefix=MIN_PREFIX_INDEX, full_only=F
 
 def _with_pieces(trajectories, layout, root, min_prefix, full_only, keep, split_over):
     """Prefix rows that carry the task's turn texts and image paths, built once per task."""
-    sized = (trajectories if "n_steps" in trajectories.columns
-             else trajectories.withColumn("n_steps", F.size("traj")))
+    stored = F.col("n_steps") if "n_steps" in trajectories.columns else F.size("traj")
+    sized = trajectories.withColumn("_stored", stored).withColumn("n_steps", F.size("traj"))
     turns = F.transform("traj", lambda s: X.action_turn(s["index"], s["value"]["action"], layout))
     paths = F.transform("traj", lambda s: X.join_root(root, s["image"]))
     todo = F.slice("traj", F.col("start") + 1, F.greatest(F.size("traj"), F.lit(1)))

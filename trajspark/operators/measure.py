@@ -78,18 +78,61 @@ HEADS = ("head_first", "head_rest")
 STEPS = ("joined", "block", "target")
 
 
+def in_row(counter):
+    """Whether a counter can run inside a row's array: one of built-in expressions can."""
+    return getattr(counter, "native", False)
+
+
+def _history_before(counters, chunk, layout):
+    """Per counter the history of a task up to each chunk, as an array of (before, gaps) that
+    `chunk_sums` would give; null for a task of one chunk, whose steps are not counted for it."""
+    size, out = F.size("traj"), []
+    chunks = F.sequence(F.lit(0), F.floor((size - 1) / chunk).cast("int"))
+
+    def total(numbers):
+        return F.aggregate(numbers, F.lit(0).cast("long"), lambda n, x: n + F.coalesce(x, F.lit(0)))
+
+    def once(value, body):
+        return F.transform(F.array(value), body)[0]
+
+    for k, counter in enumerate(counters):
+        def counts(c, counter=counter):
+            part = F.slice("traj", c * chunk + 1, F.lit(chunk))
+            return F.transform(part, lambda s: _joined_counts(
+                s["index"], s["value"]["action"], [counter], layout)[0])
+        sums = F.transform(chunks, lambda c: once(counts(c), lambda x: F.struct(
+            total(x).alias("n"),
+            F.size(F.filter(x, lambda y: y.isNull())).cast("long").alias("gaps"))))
+        before = once(sums, lambda parts: F.transform(chunks, lambda c: F.struct(
+            total(F.slice(parts, F.lit(1), c)["n"]).alias("before"),
+            total(F.slice(parts, F.lit(1), c)["gaps"]).alias("gaps"))))
+        out.append(F.when(size > chunk, before).alias(f"_history_{k}"))
+    return out
+
+
 def measure_trajectories(trajectories: DataFrame, level, counters, prompts=None,
-                         image_root=None, keep=(), layout="coded") -> DataFrame:
-    """One row of sizes per step of nested trajectories; narrow."""
+                         image_root=None, keep=(), layout="coded", history_by=None) -> DataFrame:
+    """One row of sizes per step of nested trajectories; narrow.
+
+    With `history_by`, a chunk length, each step also brings the history counted up to its chunk
+    (`offset_names`), summed inside the task's row; the counters must allow it (`in_row`).
+    """
     heads = _names(HEADS, len(counters))
+    inside = range(len(counters) if history_by else 0)
+    history = [f"_history_{i}" for i in inside]
     tasks = (trajectories.filter(F.size("traj") > 0)
              .select("task_id", *keep, F.size("traj").cast("long").alias("n_steps"), "traj",
-                     *head_counts(level, prompts, counters, layout)))
-    steps = tasks.select("task_id", *keep, "n_steps", *heads, F.posexplode("traj"))
-    step = F.col("col")
+                     *head_counts(level, prompts, counters, layout),
+                     *(_history_before(counters, history_by, layout) if history_by else ())))
+    steps = tasks.select("task_id", *keep, "n_steps", *heads, *history, F.posexplode("traj"))
+    step, offsets = F.col("col"), []
+    for i in inside:
+        at = F.get(F.col(f"_history_{i}"), F.floor(F.col("pos") / history_by).cast("int"))
+        offsets += [F.coalesce(at[kind], F.lit(0)).cast("long").alias(f"joined_{i}_{kind}")
+                    for kind in ("before", "gaps")]
     return steps.select("task_id", *keep, "n_steps", *heads,
                         F.col("pos").cast("long").alias("pos"),
-                        X.join_root(image_root, step["image"]).alias("image"),
+                        X.join_root(image_root, step["image"]).alias("image"), *offsets,
                         *_step_counts(level, step["index"], step["value"], counters, layout))
 
 
@@ -151,11 +194,10 @@ def flat_problems(tasks: DataFrame, steps: DataFrame, image_dims: DataFrame,
 
 
 def offsets_of_trajectories(trajectories, counters, chunk=CHUNK, layout="coded"):
-    """History counted up to each chunk but the first, of tasks longer than one chunk only. A
-    stored column `n_steps` keeps this pass to the row groups that hold such a task."""
+    """History counted up to each chunk but the first, of tasks longer than one chunk only, for
+    counters that cannot run inside a row: a second pass over the source."""
     step, joined = F.col("col"), _names(("joined",), len(counters))
-    length = F.col("n_steps") if "n_steps" in trajectories.columns else F.size("traj")
-    rows = (trajectories.filter(length > chunk)
+    rows = (trajectories.filter(F.size("traj") > chunk)
             .select("task_id", F.posexplode("traj"))
             .select("task_id", "pos",
                     *_joined_counts(step["index"], step["value"]["action"], counters, layout)))
@@ -204,8 +246,8 @@ def prefix_sizes(measures: DataFrame, image_dims: DataFrame, n_counters=1, offse
 
     Two shuffles of numbers: on the image path (none if the sizes are broadcast) and on
     (task, chunk). The second also serves the join with `heads`, the other part of flat sizes,
-    or with `offsets`, the history before each chunk of nested ones, which vanishes at run time
-    when no task is longer than a chunk.
+    or with `offsets`, the history before each chunk of nested ones whose counters cannot run
+    inside a row. Without both, the measures bring that history themselves.
     """
     w = chunk_window()
     previous, before = w.rowsBetween(-window, -1), w.rowsBetween(Window.unboundedPreceding, -1)

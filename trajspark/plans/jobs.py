@@ -54,10 +54,12 @@ def _emitted(sizes, lengths, min_prefix, full_only):
 
 def _nested_sizes(trajectories, image_dims, distinct, level, prompts, image_root, window,
                   first_image, keep, chunk, layout, min_prefix, full_only):
+    inside = all(M.in_row(c) for c in distinct)
     sizes = M.prefix_sizes(
-        M.measure_trajectories(trajectories, level, distinct, prompts, image_root, keep, layout),
+        M.measure_trajectories(trajectories, level, distinct, prompts, image_root, keep, layout,
+                               chunk if inside else None),
         image_dims, len(distinct),
-        M.offsets_of_trajectories(trajectories, distinct, chunk, layout),
+        None if inside else M.offsets_of_trajectories(trajectories, distinct, chunk, layout),
         None, window, _shown(layout, first_image), chunk, keep)
     lengths = trajectories.select("task_id", F.size("traj").cast("long").alias("n"))
     return _emitted(sizes, lengths, min_prefix, full_only)
