@@ -430,6 +430,10 @@ ORACLE = {
     "parsed_training_rows": f"""WITH {STEPS}, {TASKS}, {PREFIXES}, {HISTORY}, {_messages("L2")}
     SELECT * FROM messages""",
     "parsed_result_sets": TOTALS + SUMMED,
+    "image_changes": f"""WITH {STEPS}, files AS (SELECT image AS path, task_id * 31 + pos AS n
+      FROM steps) SELECT path, CASE WHEN n % 5 = 0 THEN 'deleted' WHEN n % 4 = 0 THEN 'new'
+      WHEN n % 9 = 0 OR n % 7 = 0 THEN 'changed' ELSE 'unchanged' END AS change
+    FROM files WHERE n % 5 > 0 OR n % 4 > 0""",
     "png_header_dims": f"""WITH {DIMS} SELECT path, status,
     CASE WHEN status = 'ok' THEN width ELSE 0 END AS width,
     CASE WHEN status = 'ok' THEN height ELSE 0 END AS height FROM dims""",

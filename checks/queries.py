@@ -398,7 +398,20 @@ def png_header_dims(s, d):
         {c: F.coalesce(c, F.lit(0)) for c in ("width", "height")})
 
 
+def image_changes(s, d):
+    """A stored table of sizes against what a later look at the files finds."""
+    conv, pos = F.col("task_id"), F.col("pos")
+    files = V.steps(s, d).select(F.col("image").alias("path"), (conv * 31 + pos).alias("n"),
+                                 F.length("action").cast("long").alias("size"))
+    stored = files.filter("n % 4 > 0").select("path", F.when(F.col("n") % 9 > 0, F.col("size"))
+                                              .alias("size"), F.col("n").alias("modified"))
+    found = files.filter("n % 5 > 0").select(
+        "path", "size", F.when(F.col("n") % 7 > 0, F.col("n")).otherwise(-1).alias("modified"))
+    return image_files.dims_changes(stored, found).select("path", "change")
+
+
 QUERIES = {f.__name__: f for f in (
+    image_changes,
     training_set_cost, alignment_filter, prefix_expand, prefix_expand_nested, prefix_full_only,
     prefix_min_length, history_block, image_window, image_window_aligned, training_images,
     quarantined_trajectories, missing_images_strict, message_text_tokens,

@@ -219,3 +219,50 @@ def test_score_filter_reaches_the_scan(spark, tmp_path):
     scans = [line for line in plan.splitlines() if "FileScan" in line]
     assert scans and all("GreaterThanOrEqual(alignment_score,5)" in s for s in scans)
     assert all("reflection" not in s and "efficiency_score" not in s for s in scans)
+
+
+def test_refresh_opens_new_and_changed_files_only(spark, tmp_path):
+    import os
+
+    def put(name, content, time=10**18):
+        (tmp_path / name).write_bytes(content)
+        os.utime(tmp_path / name, ns=(time, time))
+        return str(tmp_path / name)
+    same, touched, grown, gone = (put(n, png(10, 20)) for n in ("same", "touched", "grown", "gone"))
+    empty = spark.createDataFrame([], S.STORED_DIMS)
+    names = spark.createDataFrame([(p,) for p in (same, touched, grown, gone, same, None,
+                                                  str(tmp_path / "never"))], "name string")
+
+    def keep(frame, name):
+        frame.write.parquet(str(tmp_path / name))
+        return spark.read.parquet(str(tmp_path / name))
+    dims, changes = I.refresh_image_dims(empty, names, "name")
+    stored = keep(dims, "first")
+    assert {r.path: (r.width, r.height, r.status) for r in stored.collect()} == {
+        p: (10, 20, "ok") for p in (same, touched, grown, gone)}
+    assert {r.change for r in changes.collect()} == {"new"}
+
+    # Other bytes of the same size and time: whoever opened the file would see them.
+    put("same", png(11, 21))
+    put("touched", png(30, 40), 2 * 10**18)
+    put("grown", png(50, 60) + b"more")
+    (tmp_path / "gone").unlink()
+    fresh = put("fresh", png(7, 8))
+    broken = put("broken", b"")
+    dims, changes = I.refresh_image_dims(
+        stored, spark.createDataFrame([(fresh,), (broken,)], "path string"))
+    assert {r.path: r.change for r in changes.collect()} == {
+        same: "unchanged", touched: "changed", grown: "changed", gone: "deleted", fresh: "new",
+        broken: "new"}
+    again = keep(dims, "second")
+    assert {r.path: (r.width, r.height, r.status) for r in again.collect()} == {
+        same: (10, 20, "ok"), touched: (30, 40, "ok"), grown: (50, 60, "ok"), fresh: (7, 8, "ok"),
+        broken: (None, None, "corrupt")}
+    dims, changes = I.refresh_image_dims(again)
+    assert {r.change for r in changes.collect()} == {"unchanged"}
+    assert sorted(dims.collect(), key=repr) == sorted(again.collect(), key=repr)
+    # Rows without size or time, and contradicting ones, are looked at again.
+    odd = spark.createDataFrame([(same, 1, 1, "ok", None, None), (touched, 1, 1, "ok", 1, 1),
+                                 (touched, 2, 2, "ok", 2, 1)], S.STORED_DIMS)
+    dims, _ = I.refresh_image_dims(odd)
+    assert {r.path: (r.width, r.height) for r in dims.collect()} == {same: (11, 21), touched: (30, 40)}

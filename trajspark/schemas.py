@@ -23,6 +23,8 @@ TRAINING_ROW = (
 
 # status: ok | corrupt; a missing file has no row.
 IMAGE_DIMS = "path string, width bigint, height bigint, status string"
+# What a table that is refreshed keeps besides.
+STORED_DIMS = IMAGE_DIMS + ", size bigint, modified bigint"
 
 MODEL_CONFIG = (
     "struct<encoding:string, supports_vision:boolean, input_price_per_1m:double, "

@@ -1,7 +1,7 @@
 """Image sizes from file headers.
 
 Only files that are named are opened, and only their heads are read. Keep the table as parquet if
-the same images are priced again.
+the same images are priced again: `refresh_image_dims` then opens what is new or changed only.
 """
 
 import struct
@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from trajspark.functions import images as I
+from trajspark.sources.lineage import cut_lineage
 
 SIZE = T.StructType([T.StructField("width", T.LongType()), T.StructField("height", T.LongType())])
 HEAD = 1 << 16           # bytes of a file that are read first
@@ -138,3 +139,70 @@ def read_image_dims(paths: DataFrame, path="path", partitions=None) -> DataFrame
     if partitions:
         wanted = wanted.repartition(partitions)
     return image_dims(wanted.mapInArrow(_heads, "path string, content binary"))
+
+
+NEW, CHANGED, UNCHANGED, DELETED = "new", "changed", "unchanged", "deleted"
+
+
+def _stats(batches):
+    """Size and time of change of the files that are there; none is opened."""
+    import pyarrow as pa
+    from pyarrow import fs
+    systems = {}
+    for batch in batches:
+        rows = []
+        for path in batch.column(0).to_pylist():
+            system, place = _place(path, systems)
+            info = system.get_file_info(place)
+            if info.type == fs.FileType.File:
+                rows.append((path, info.size, info.mtime_ns))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r[k] for r in rows], t) for k, t in enumerate(
+                (pa.string(), pa.int64(), pa.int64()))], ["path", "size", "modified"])
+
+
+def stat_files(paths: DataFrame, path="path") -> DataFrame:
+    """path, size and modified (nanoseconds) of every file named and there, once each."""
+    wanted = paths.select(F.col(path).cast("string").alias("path")).filter(
+        F.col("path").isNotNull()).distinct()
+    return wanted.mapInArrow(_stats, "path string, size bigint, modified bigint")
+
+
+def dims_changes(stored: DataFrame, stats: DataFrame) -> DataFrame:
+    """path, size, modified and change of every path on either side: new, changed, unchanged or
+    deleted, by size and time. A stored path without them, or stored more than once with different
+    ones, counts as changed."""
+    known = stored.filter("path is not null").groupBy("path").agg(
+        F.when((F.min("size") == F.max("size")) & (F.count("size") == F.count("*")), F.max("size"))
+        .alias("old_size"),
+        F.when((F.min("modified") == F.max("modified")) & (F.count("modified") == F.count("*")),
+               F.max("modified")).alias("old_modified"), F.lit(True).alias("known"))
+    same = (F.col("size") == F.col("old_size")) & (F.col("modified") == F.col("old_modified"))
+    change = (F.when(F.col("size").isNull(), DELETED).when(F.col("known").isNull(), NEW)
+              .when(same, UNCHANGED).otherwise(CHANGED))
+    return known.join(stats, "path", "full").select("path", "size", "modified",
+                                                    change.alias("change"))
+
+
+def refresh_image_dims(stored: DataFrame, paths: DataFrame | None = None, path="path"):
+    """(dims, changes): a stored table of sizes brought up to date, for all its paths and those
+    that `paths` names besides.
+
+    `dims` has path, width, height, status, size and modified; start from an empty table of these.
+    Every file is asked for its size and time of change, but only new and changed ones are opened;
+    rows of deleted files are gone. `changes` tells all paths apart. A file that is written anew
+    while this runs keeps the older time, so the next refresh finds it; one that keeps both size and
+    time is taken for unchanged. Write the result to a folder of its own, not over `stored`.
+    """
+    named = stored.select("path")
+    if paths is not None:
+        named = named.union(paths.select(F.col(path).cast("string")))
+    # What the file system says now is asked once; only paths and numbers are kept.
+    changes = cut_lineage(dims_changes(stored, stat_files(named)))
+    again = changes.filter(F.col("change").isin(NEW, CHANGED))
+    opened = image_dims(again.select("path").mapInArrow(_heads, "path string, content binary"))
+    opened = opened.join(again.select("path", "size", "modified"), "path")
+    kept = stored.join(changes.filter(F.col("change") == UNCHANGED).select("path"), "path",
+                       "left_semi").dropDuplicates(["path"])
+    columns = ["path", "width", "height", "status", "size", "modified"]
+    return kept.select(*columns).unionByName(opened.select(*columns)), changes.select("path", "change")
