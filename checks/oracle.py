@@ -374,6 +374,13 @@ ORACLE = {
     WHERE m.model = 'gpt-4o-mini' AND s.img_pos <= 2""",
     "conversation_ids": f"""WITH {STEPS} SELECT task_id, pos + 1 AS prefix_len,
     row_number() OVER (ORDER BY task_id, pos) - 1 AS conversation_id FROM steps""",
+    "nth_document": """WITH placed AS (SELECT lang, source, n_chars,
+      row_number() OVER (ORDER BY lang, source, n_chars) AS k, count(*) OVER () AS n FROM documents),
+    middle AS (SELECT * FROM placed WHERE k = (n + 1) // 2)
+    SELECT p.lang, p.source, p.n_chars FROM placed p JOIN middle m
+    ON p.lang = m.lang AND p.source = m.source AND p.n_chars = m.n_chars""",
+    "document_ids": """SELECT lang, n_chars, doc_id,
+    row_number() OVER (ORDER BY lang, n_chars, doc_id) - 1 AS number FROM documents""",
     "unknown_models": """SELECT 'custom-' || source AS model, count(*) AS requests
     FROM documents WHERE lang NOT IN ('en', 'de') GROUP BY 1""",
     "compare_token_matrix": _matrix(TOKEN_METRICS, "BIGINT"),

@@ -8,7 +8,7 @@ from trajspark.functions import images as I
 from trajspark.functions.text import estimate_tokens, model_from_file
 from trajspark.operators import compare as C, expand as P, measure as M, quality as Q
 from trajspark.operators import tokens as T, usage as U
-from trajspark.operators.sequences import dense_ids
+from trajspark.operators.selection import dense_numbers, nth_key
 from trajspark.plans import jobs as J
 from trajspark.settings import MIN_SCORE, MODELS, Model, select_models
 from trajspark.sinks import writers as W
@@ -211,7 +211,21 @@ def usage_sample(s, d):
 
 def conversation_ids(s, d):
     keys = V.steps(s, d).select("task_id", (F.col("pos") + 1).alias("prefix_len"))
-    return dense_ids(keys, ["task_id", "prefix_len"])
+    return dense_numbers(keys, ["task_id", "prefix_len"], rows_per_range=100_000)
+
+
+def nth_document(s, d):
+    """The document in the middle by language, source and length, however many are equal."""
+    docs = V.table(s, d, "documents").select("lang", "source", "n_chars")
+    last = nth_key(docs, -(-docs.count() // 2), docs.columns)
+    return docs.filter(F.struct(*docs.columns) == F.struct(
+        *[F.lit(last[c]).cast(docs.schema[c].dataType).alias(c) for c in docs.columns]))
+
+
+def document_ids(s, d):
+    """Numbers in the order of all columns but the text; short ranges, so that there are some."""
+    docs = V.table(s, d, "documents").select("lang", "n_chars", "doc_id")
+    return dense_numbers(docs, ["lang", "n_chars", "doc_id"], "number", rows_per_range=100)
 
 
 def unknown_models(s, d):
@@ -411,7 +425,7 @@ def image_changes(s, d):
 
 
 QUERIES = {f.__name__: f for f in (
-    image_changes,
+    image_changes, nth_document, document_ids,
     training_set_cost, alignment_filter, prefix_expand, prefix_expand_nested, prefix_full_only,
     prefix_min_length, history_block, image_window, image_window_aligned, training_images,
     quarantined_trajectories, missing_images_strict, message_text_tokens,

@@ -8,7 +8,7 @@ from trajspark.operators.measure import prefix_shares, with_dims
 from trajspark.operators.models import pricing, with_config, with_models
 from trajspark.operators.tokens import (nested_text_tokens, per_encoding, tokens_by_conversation,
                                         tokens_column)
-from trajspark.operators.sequences import dense_ids
+from trajspark.operators.selection import nth_key
 from trajspark.operators.summaries import by_class
 from trajspark.settings import MIN_PREFIX_INDEX, MODELS, OUTPUT_TOKENS, WINDOW
 
@@ -252,15 +252,6 @@ def check_limit(n):
     return n or None
 
 
-def last_of_first(rows: DataFrame, n, order):
-    """The values of `order` in the n-th row in that order, or None if there are no more rows.
-
-    Only these columns are sorted, in ranges, so no task gets all n rows.
-    """
-    placed = dense_ids(rows.select(*order), order, name="_nth")
-    return placed.filter(F.col("_nth") == n - 1).select(*order).first()
-
-
 def _literal(rows, last, order):
     return F.struct(*[F.lit(last[c]).cast(rows.schema[c].dataType).alias(c) for c in order])
 
@@ -275,7 +266,7 @@ def first_rows(rows: DataFrame, n, keys=ROW_KEYS) -> DataFrame:
     equal to the n-th in everything are counted off one by one."""
     order = (*keys, "_content")
     rows = rows.withColumn("_content", F.xxhash64(*rows.columns))
-    last = last_of_first(rows, n, order)
+    last = nth_key(rows, n, order)
     if last is None:
         return rows.drop("_content")
     place = F.struct(*order)

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from trajspark.operators import compare as C, expand as P, measure as M, quality as Q
 from trajspark.operators import summaries as Z, usage as U
+from trajspark.operators.selection import nth_key
 from trajspark.operators.sequences import CHUNK
 from trajspark.operators.tokens import per_encoding
 from trajspark.settings import (DEFAULT_LEVEL, MIN_PREFIX_INDEX, MIN_SCORE, MODELS, OUTPUT_TOKENS,
@@ -161,7 +162,7 @@ def first_step_usage(tasks: DataFrame, steps: DataFrame, image_dims: DataFrame,
         return step_usage(tasks, steps, image_dims, **chosen)
     keys = P.prefixes_of_steps(steps.join(tasks.select("task_id"), "task_id", "left_semi"),
                                min_prefix, full_only)
-    last = U.last_of_first(keys, n, list(U.ROW_KEYS))
+    last = nth_key(keys, n, U.ROW_KEYS)
     if last is None:
         return step_usage(tasks, steps, image_dims, **chosen)
     usage = step_usage(U.up_to(tasks, last, ["task_id"]), U.up_to(steps, last, ["task_id"]),
