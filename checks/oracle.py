@@ -350,6 +350,7 @@ ORACLE = {
     "trajectory_usage": ALL_USAGE,
     "chunked_trajectory_usage": ALL_USAGE,
     "training_row_usage": ALL_USAGE,
+    "placed_row_usage": ALL_USAGE,
     "chat_usage": f"WITH {VIEWS}, " + _usage(
         ("conv_id",), f"SELECT conv_id, sum({tok('text')})::BIGINT AS text_tokens "
         "FROM conversations GROUP BY 1", "SELECT task_id AS conv_id, image FROM steps")

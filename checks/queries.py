@@ -158,6 +158,12 @@ def training_row_usage(s, d):
     return _flat_usage(J.row_usage(rows, V.image_dims(s, d), details=False))
 
 
+def placed_row_usage(s, d):
+    """The same with images looked up in place, as on a stream."""
+    rows = P.training_rows(V.trajectories(s, d))
+    return _flat_usage(J.row_usage(rows, V.image_dims(s, d), details=False, most_images=3))
+
+
 def chat_usage(s, d):
     """The usage job on the given conversations as they are, with one image per later turn."""
     images = V.steps(s, d).select(F.col("task_id").alias("conv_id"), F.col("image").alias("path"))
@@ -431,7 +437,7 @@ QUERIES = {f.__name__: f for f in (
     quarantined_trajectories, missing_images_strict, message_text_tokens,
     conversation_text_tokens, document_text_tokens, distinct_text_tokens, image_tile_tokens,
     image_model_tokens, legacy_image_delta, conversation_usage, trajectory_usage,
-    chunked_trajectory_usage, training_row_usage, chat_usage, image_details, usage_totals_by_model,
+    chunked_trajectory_usage, training_row_usage, placed_row_usage, chat_usage, image_details, usage_totals_by_model,
     usage_totals_from_rows, usage_totals_nested, usage_averages_by_model, usage_by_dataset,
     first_n_usage, usage_sample, conversation_ids, unknown_models, compare_token_matrix,
     compare_average_matrix, compare_pricing, compare_features, compare_rank,

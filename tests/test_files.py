@@ -266,3 +266,25 @@ def test_refresh_opens_new_and_changed_files_only(spark, tmp_path):
                                  (touched, 2, 2, "ok", 2, 1)], S.STORED_DIMS)
     dims, _ = I.refresh_image_dims(odd)
     assert {r.path: (r.width, r.height) for r in dims.collect()} == {same: (11, 21), touched: (30, 40)}
+
+
+def test_usage_of_one_model_is_written_by_many_tasks(spark, tmp_path):
+    """With adaptive execution off; files are bounded and every row is there."""
+    usage = spark.range(9_000).selectExpr("cast(id as string) AS task_id", "id % 7 AS prefix_len",
+                                          "'one' AS model", "map('a', id) AS m")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        W.write_usage(usage, str(tmp_path / "u"), least_rows=100)
+        both = usage.unionByName(usage.limit(50).withColumn("model", F.lit("two")))
+        W.write_usage(both, str(tmp_path / "b"), rows_per_file=2_000, least_rows=1_000)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(list((tmp_path / "u" / "model=one").glob("*.parquet"))) == 8
+    back = spark.read.parquet(str(tmp_path / "u"))
+    assert back.count() == 9_000 and back.select("task_id").distinct().count() == 9_000
+    sizes = [spark.read.parquet(str(f)).count() for f in (tmp_path / "b" / "model=one").glob("*.parquet")]
+    assert sum(sizes) == 9_000 and 5 <= len(sizes) <= 10 and max(sizes) <= 2_000
+    assert len(list((tmp_path / "b" / "model=two").glob("*.parquet"))) == 1
+    W.write_usage(usage.limit(0), str(tmp_path / "none"))
+    slots = W.usage_slots(both, 2_000, 1_000, 8)
+    assert slots == {"one": (0, 5), "two": (5, 1)}

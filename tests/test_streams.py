@@ -1,0 +1,72 @@
+"""Usage rows of a stream equal those of a batch."""
+
+import pytest
+
+from tests import brute
+from trajspark.operators import expand as P, usage as U
+from trajspark.plans import jobs as J
+from trajspark.schemas import IMAGE_DIMS, TRAINING_ROW, TRAJECTORY
+from trajspark.settings import select_models
+
+MODELS = select_models(["gpt-4o", "gpt-4o-mini"])
+
+
+@pytest.fixture(scope="module")
+def tasks(spark):
+    return spark.createDataFrame([brute.task(f"t{n}", n) for n in (1, 2, 3, 4, 7)], TRAJECTORY)
+
+
+@pytest.fixture(scope="module")
+def sizes(spark):
+    return spark.createDataFrame(
+        [(f"t{n}_{p}.png", 100 * p + 1, 900 + n, "ok" if p % 3 else "corrupt")
+         for n in (2, 3, 4, 7) for p in range(6)], IMAGE_DIMS)
+
+
+def streamed(spark, frame, build, tmp_path, name):
+    """Everything `build` makes of the rows of `frame`, written as files and read as a stream."""
+    frame.repartition(4).write.json(str(tmp_path / f"{name}_in"))
+    stream = (spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1)
+              .json(str(tmp_path / f"{name}_in")))
+    query = (build(stream).writeStream.format("parquet").outputMode("append")
+             .option("checkpointLocation", str(tmp_path / f"{name}_log"))
+             .option("path", str(tmp_path / f"{name}_out")).trigger(availableNow=True).start())
+    query.awaitTermination(120)
+    assert not query.isActive and query.exception() is None
+    return spark.read.parquet(str(tmp_path / f"{name}_out"))
+
+
+def test_usage_of_streamed_trajectories(spark, tasks, sizes, tmp_path):
+    """From trajectories to prices in one stateless stream."""
+    def build(frame):
+        return J.row_usage(P.training_rows(frame), sizes, MODELS, most_images=3)
+    got = streamed(spark, tasks, build, tmp_path, "t")
+    wanted = J.row_usage(P.training_rows(tasks), sizes, MODELS)
+    order = lambda rows: sorted(map(repr, rows.select(wanted.columns).collect()))
+    assert order(got) == order(wanted) and got.count() == 2 * (1 + 2 + 3 + 4 + 7)
+    details = [U.image_detail_rows(r).count() for r in (got, wanted)]
+    assert details[0] == details[1] > 0
+
+
+ROWS = [("a", 1, "L2", [("user", "x y")], ["t2_0.png", "t7_5.png", "none"]),
+        ("a", 1, "L2", [("user", "x y")], ["t2_0.png", "t7_5.png", "none"]),
+        (None, None, "L2", [("user", "z")], []), (None, None, "L2", [("user", "z")], None),
+        (None, None, "L2", [("user", "w")], ["t7_5.png", None]), ("b", 2, "L1", [], ["t7_4.png"])]
+
+
+def test_places_equal_the_regrouped_rows(spark, sizes, tmp_path):
+    """Equal rows, null keys, null and empty lists, null paths."""
+    rows = spark.createDataFrame(ROWS, TRAINING_ROW)
+    wanted = sorted(map(repr, J.row_usage(rows, sizes, MODELS).collect()))
+    assert sorted(map(repr, J.row_usage(rows, sizes, MODELS, most_images=3).collect())) == wanted
+    assert sorted(map(repr, J.row_usage(rows, sizes, MODELS, most_images=9).collect())) == wanted
+    got = streamed(spark, rows, lambda r: J.row_usage(r, sizes, MODELS, most_images=3), tmp_path, "r")
+    assert got.count() == len(wanted)
+    with pytest.raises(Exception, match="more images than most_images"):
+        J.row_usage(rows, sizes, MODELS, most_images=2).collect()
+
+
+def test_nothing_is_regrouped(spark, tasks, sizes):
+    plan = J.row_usage(P.training_rows(tasks), sizes, MODELS, most_images=3)._jdf.queryExecution(
+        ).executedPlan().toString()
+    assert "Aggregate" not in plan and plan.count("LeftOuter") == 3

@@ -10,6 +10,7 @@ from trajspark.operators.tokens import (nested_text_tokens, per_encoding, tokens
                                         tokens_column)
 from trajspark.operators.selection import nth_key
 from trajspark.operators.summaries import by_class
+from trajspark.sources.lineage import cut_lineage
 from trajspark.settings import MIN_PREFIX_INDEX, MODELS, OUTPUT_TOKENS, WINDOW
 
 ROW_KEYS = ("task_id", "prefix_len")
@@ -43,19 +44,23 @@ def usage_rows(sizes: DataFrame, models=None, counters=None, keys=ROW_KEYS, deta
 
 
 def row_sizes(rows: DataFrame, image_dims: DataFrame, models=None, counters=None,
-              keys=ROW_KEYS) -> DataFrame:
+              keys=ROW_KEYS, most_images=None) -> DataFrame:
     """Sizes of ready-made training rows (messages, images), for `usage_rows`.
 
-    Text is counted inside the row. Images are looked up one by one and put back together per
-    row; a group is no larger than the image list it came from. Rows are told apart by a number
-    of their own, so that rows with equal, null or no keys stay rows; `keys` are carried along
-    and must exist.
+    Text is counted inside the row. Without `most_images` the images are looked up one by one and
+    put back together per row; a group is no larger than the image list it came from. Rows are told
+    apart by a number of their own, which is stored with the counts, so that rows with equal, null
+    or no keys stay rows; `keys` are carried along and must exist. With `most_images` see
+    `images_in_place`, which also serves a stream.
     """
     distinct, _ = per_encoding(MODELS if models is None else models, counters)
     texts = [tokens_column(i) for i in range(len(distinct))]
     counted = rows.select(
-        *keys, "images", F.monotonically_increasing_id().alias("_place"),
+        *keys, "images",
         *[nested_text_tokens(F.col("messages"), c).alias(n) for c, n in zip(distinct, texts)])
+    if most_images is not None:
+        return images_in_place(counted, image_dims, most_images)
+    counted = cut_lineage(counted.withColumn("_place", F.monotonically_increasing_id()))
     exploded = with_dims(
         counted.select(*keys, "_place", *texts,
                        F.posexplode_outer("images").alias("pos", "image")),
@@ -67,6 +72,29 @@ def row_sizes(rows: DataFrame, image_dims: DataFrame, models=None, counters=None
                  .alias("images")).drop("_place"))
 
 
+def images_in_place(rows: DataFrame, image_dims: DataFrame, most_images) -> DataFrame:
+    """Rows whose `images`, paths, become (pos, path, tile_tokens, status), one lookup per place.
+
+    No row is taken apart, so nothing is regrouped and nothing is remembered: on a stream each
+    lookup joins the stream with the table of sizes. A row with more than `most_images` images
+    fails the query. Paths must be unique in the table (`measure.flat_problems`).
+    """
+    size = F.size("images")
+    rows = rows.withColumn("images", F.when(size > most_images, F.raise_error(F.concat(
+        F.lit("a row has more images than most_images: "), size.cast("string"))).cast(
+        "array<string>")).otherwise(F.col("images")))
+    plain, found = rows.columns, []
+    for k in range(most_images):
+        rows = with_dims(rows.withColumn(f"_path_{k}", F.get("images", F.lit(k))), image_dims,
+                         f"_path_{k}")
+        rows = rows.withColumn(f"_image_{k}", F.struct(
+            F.lit(k).alias("pos"), F.col(f"_path_{k}").alias("path"), "tile_tokens", "status"))
+        found.append(f"_image_{k}")
+        rows = rows.select(*plain, *found)
+    images = F.slice(F.array(*found), F.lit(1), F.greatest(size, F.lit(0))) if found else F.array()
+    return rows.withColumn("images", F.coalesce(images, F.array())).drop(*found)
+
+
 def flat_usage(messages: DataFrame, images: DataFrame, image_dims: DataFrame, keys, models=None,
                counters=None, content="content", path="path",
                output_tokens=OUTPUT_TOKENS) -> DataFrame:

@@ -139,14 +139,17 @@ def step_totals(tasks: DataFrame, steps: DataFrame, image_dims: DataFrame, level
 
 def row_usage(rows: DataFrame, image_dims: DataFrame, models=None, counters=None,
               keys=U.ROW_KEYS, details=True, limit=None,
-              output_tokens=OUTPUT_TOKENS) -> DataFrame:
+              output_tokens=OUTPUT_TOKENS, most_images=None) -> DataFrame:
     """Usage of ready-made training rows, one per row and model whatever the keys hold; `limit`
-    takes the first rows in key order. Lines that could not be parsed, if kept, are left out."""
+    takes the first rows in key order. Lines that could not be parsed, if kept, are left out.
+
+    `most_images`, a bound that the rows keep (training rows have `window` images at most), looks
+    images up in place: no regrouping, and `rows` may be a stream (without `limit`)."""
     rows, _ = Q.split_readable(rows)
     if U.check_limit(limit):
         rows = U.first_rows(rows, limit, keys)
-    return U.usage_rows(U.row_sizes(rows, image_dims, models, counters, keys), models, counters,
-                        keys, details, output_tokens)
+    return U.usage_rows(U.row_sizes(rows, image_dims, models, counters, keys, most_images), models,
+                        counters, keys, details, output_tokens)
 
 
 def first_step_usage(tasks: DataFrame, steps: DataFrame, image_dims: DataFrame, n,

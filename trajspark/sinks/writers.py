@@ -54,13 +54,38 @@ def write_training_arrays(rows: DataFrame, path, shard, order, mode="errorifexis
      .select(shard, "value").write.mode(mode).partitionBy(shard).text(path))
 
 
-def write_usage(usage: DataFrame, path, mode="errorifexists", rebalance=True):
+def usage_slots(usage: DataFrame, rows_per_file, least_rows, cores):
+    """{model: (first slot, slots)}: as many files for each model as its counted rows ask for, and
+    tasks for all cores if files of `least_rows` allow it. The count reads no text."""
+    counts, slots, first = usage.groupBy("model").count().collect(), {}, 0
+    for model, n in sorted(counts, key=lambda r: (r[0] is not None, r[0])):
+        own = max(-(-n // rows_per_file), min(-(-cores // len(counts)), -(-n // least_rows)), 1)
+        slots[model], first = (first, own), first + own
+    return slots
+
+
+def write_usage(usage: DataFrame, path, mode="errorifexists", rebalance=True,
+                rows_per_file=1_000_000, least_rows=10_000):
     """Per-conversation usage, one folder per model, so a reader of one model skips the rest.
 
-    Rebalancing lets AQE size the files; without it every task writes a file per model.
+    The rows of a model are dealt by hash into as many files as their number asks for, each written
+    by a task of its own and none above `rows_per_file`; rows that agree in everything lie
+    together. Without rebalancing every task writes a file per model.
     """
-    rows = usage.hint("rebalance", "model") if rebalance else usage
-    rows.write.mode(mode).partitionBy("model").parquet(path)
+    rows = usage
+    if rebalance:
+        slots = usage_slots(usage, rows_per_file, least_rows,
+                            usage.sparkSession.sparkContext.defaultParallelism)
+        hashed = [f.name for f in usage.schema if not isinstance(f.dataType, T.MapType)]
+        salt = F.xxhash64(*[F.col(f"`{c}`") for c in hashed])
+        slot = F.lit(0)
+        for model, (first, own) in slots.items():
+            slot = F.when(F.col("model").eqNullSafe(F.lit(model)),
+                          F.lit(first) + F.pmod(salt, F.lit(own))).otherwise(slot)
+        total = sum(own for _, own in slots.values())
+        rows = usage.repartitionById(max(total, 1), slot.cast("int"))
+    (rows.write.mode(mode).option("maxRecordsPerFile", rows_per_file).partitionBy("model")
+     .parquet(path))
 
 
 def result_documents(summary: DataFrame, input_file=None) -> DataFrame:
