@@ -16,7 +16,7 @@ def slow_base(doc_id, text):
             ",".join(sorted({label for _, label in found})))
 
 
-MIT = licenses.TEMPLATES[0][1]
+MIT = licenses.TEXTS[0][1]
 CASES = [
     (1, "Released under the MIT License."), (2, "under  the\nMIT--license under THE mit license"),
     (3, "cc by nc cc-by-NC, CC BY N C"), (4, None), (5, ""), (6, "under the mitlicense"),
@@ -58,3 +58,50 @@ def test_own_templates(spark):
         docs, phrases=(("one two three", "p"),),
         templates=(("t", "two three four five six"),)).collect()}
     assert got == {1: (1, "p,t"), 2: (1, "p")}
+
+
+COMMONS = "This work is licensed under a Creative Commons {} 4.0 International License."
+GNU = ("This {} is free software; you can redistribute it and/or modify it under the terms of the GNU "
+       "{} Public License as published by the Free Software Foundation; either version 3")
+CLOSE = [
+    (COMMONS.format("Attribution"), "cc-by"), (COMMONS.format("Attribution-ShareAlike"), "cc-by-sa"),
+    (COMMONS.format("Attribution-NonCommercial"), "cc-by-nc"),
+    (COMMONS.format("Attribution-NoDerivatives"), "cc-by-nd"),
+    (COMMONS.format("Attribution-NonCommercial-ShareAlike"), "cc-by-nc-sa"),
+    (COMMONS.format("Attribution-Something"), ""),
+    ("licensed under a Creative Commons Attribution-NoDerivs 3.0 Unported License", "cc-by-nd"),
+    (GNU.format("program", "General"), "gpl"), (GNU.format("library", "Lesser General"), "lgpl"),
+    (GNU.format("program", "Lesser General"), "lgpl"), (GNU.format("program", "Affero General"), "agpl"),
+    ("Licensed under the GNU Lesser General Public License", "lgpl"),
+    ("Licensed under the GNU General Public License", "gpl"),
+    ("under the gnu " * 3, ""), ("under the gnu " * 4000, ""),
+    ("licensed under the apache license of the apache license version", ""),
+    (" ".join(MIT.split()[::-1]), ""),
+    (GNU.format("program", "General") + " x " + COMMONS.format("Attribution"), "cc-by,gpl"),
+    (COMMONS.format("Attribution") + " " + COMMONS.format("Attribution-ShareAlike"), "cc-by,cc-by-sa"),
+    ("Licensed under the Apache License, Version 2.0 (the License); you may not use this file except "
+     "in compliance with the License.", "apache-2")]
+
+
+def test_close_licenses_are_told_apart(spark):
+    docs = documents(spark, [(k, t, "s") for k, (t, _) in enumerate(CLOSE)])
+    got = {r.doc_id: r.labels for r in licenses.license_scan(docs).collect()}
+    assert [(t, got[k], wanted) for k, (t, wanted) in enumerate(CLOSE) if got[k] != wanted] == []
+
+
+def test_cases_by_sql(spark):
+    import duckdb
+    import pandas as pd
+    cases = [(1000 + k, t) for k, (t, _) in enumerate(CLOSE)] + [c for c in CASES if c[0] not in (1, None)]
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame(cases, columns=["doc_id", "text"]).convert_dtypes())
+    docs = documents(spark, [(i, t, "s") for i, t in cases if i != 11])
+    twin = con.execute(licenses.ORACLE_SQL).df()
+    same_rows(licenses.license_scan(docs).toPandas(), twin[twin.doc_id != 11])
+
+
+def test_hot_copies(spark):
+    """Rows that agree in doc_id and text are counted once and come back each."""
+    docs = documents(spark, [(None, CLOSE[0][0], "s")] * 300 + [(None, CLOSE[7][0], "s")] * 2)
+    got = [r.labels for r in licenses.license_scan(docs).collect()]
+    assert sorted(got) == ["cc-by"] * 300 + ["gpl"] * 2
