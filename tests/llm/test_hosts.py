@@ -59,6 +59,31 @@ def test_hosts_are_judged(spark):
     assert {i for i, kept in got.items() if kept} == {*range(450), 3001}
 
 
+def uneven():
+    """Twenty hosts of 100 pages with one bad page each but for one with 40, and small hosts of which
+    most pages are bad."""
+    docs = [(1000 * h + k, "bad page" if k < (40 if h == 7 else 1) else good(k), f"host{h}")
+            for h in range(20) for k in range(100)]
+    return docs + [(90_000 + 10 * h + k, "bad page" if k < 2 else good(k), f"small{h}")
+                   for h in range(3) for k in range(3)]
+
+
+def test_a_host_beyond_the_others_goes(spark):
+    docs = documents(spark, uneven())
+    got = {r.doc_id: r.kept for r in hosts.host_quality(docs).collect()}
+    gone = {i for i, t, h in uneven() if not got[i] and t != "bad page"}
+    assert gone == {7000 + k for k in range(40, 100)}
+
+
+def test_uneven_hosts_by_sql(spark):
+    import duckdb
+    import pandas as pd
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame(uneven(), columns=["doc_id", "text", "source"]))
+    same_rows(hosts.host_quality(documents(spark, uneven())).toPandas(),
+              con.execute(hosts.ORACLE_SQL).df())
+
+
 def test_one_host_and_empty_table(spark):
     docs = documents(spark, [(k, good(k), "only") for k in range(5)] + [(9, "bad", "only")])
     got = {r.doc_id: r.kept for r in hosts.host_quality(docs).collect()}

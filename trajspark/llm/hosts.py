@@ -2,14 +2,21 @@
 fail, and a rejected host takes its documents with it.
 
 The shares are shrunk by a beta prior that is fitted to all hosts by its moments, so that a host
-with few documents is close to the average of the corpus. DataFrame functions only.
+with few documents is close to the average of the corpus. A host goes if its shrunk share, less what
+its number of documents leaves uncertain, lies in the upper tail of that prior, that is, beyond what
+hosts of this corpus show, and is not small in itself. DataFrame functions only.
 """
 
+import math
+
 from pyspark.sql import DataFrame, functions as F
 
 from trajspark.llm.common import SPACES, broadcast_if_small, cut, let
 
-REJECT_OVER = 0.5        # shrunk share of documents failing one rule, above which a host goes
+TAIL = 3.0               # standard deviations of the prior above its mean, where the tail begins
+SURE = 1.645             # standard deviations of a host's own share that are taken off it
+LEAST_SHARE = 0.2        # no host goes for a smaller share of documents failing a rule
+ANYHOW = 0.5             # a host surely above this share goes wherever the tail begins
 LEAST_WORDS = 10
 REPEATED_PERCENT = 20    # of words in repeated 5-word windows
 WINDOW = 5
@@ -73,7 +80,7 @@ def failures():
 
 
 def rejected_hosts(rows: DataFrame) -> DataFrame:
-    """Hosts (`source`) of `measures` rows whose shrunk share for some rule is over the limit."""
+    """Hosts (`source`) of `measures` rows whose share for some rule is surely in the prior's tail."""
     hosts = cut(rows.groupBy("source").agg(
         F.count("*").alias("n"), *[F.count_if(rule).alias(name)
                                    for name, rule in failures().items()]))
@@ -89,7 +96,11 @@ def rejected_hosts(rows: DataFrame) -> DataFrame:
         noise = mean[r] * (1 - mean[r])
         between = spread[r] / total.n - total.hosts * noise / total.n
         prior = min(max(noise / between - 1, 1e-3), 1e6) if between > 0 else 1e6
-        over = over | ((F.col(r) + mean[r] * prior) / (F.col("n") + prior) > REJECT_OVER)
+        tail = mean[r] + TAIL * math.sqrt(noise / (prior + 1))
+        limit = min(ANYHOW, max(LEAST_SHARE, tail))
+        share = (F.col(r) + mean[r] * prior) / (F.col("n") + prior)
+        doubt = F.sqrt(share * (1 - share) / (F.col("n") + prior + 1))
+        over = over | (share - SURE * doubt > limit)
     return hosts.filter(over).select("source")
 
 
@@ -115,6 +126,16 @@ _RATES = ", ".join(
     f"greatest(least(coalesce(m.{r} * (1 - m.{r}) / nullif(greatest(s.{r} - m.hosts * m.{r} * "
     f"(1 - m.{r}) / m.n, 0), 0) - 1, 1e6), 1e6), 1e-3) AS {r}" for r in RULES)
 
+
+
+def _surely(r):
+    """The share of a host for rule r, less its doubt, above the limit of the rule."""
+    share = f"((h.{r} + m.{r} * p.{r}) / (h.n + p.{r}))"
+    tail = f"m.{r} + {TAIL} * sqrt(m.{r} * (1 - m.{r}) / (p.{r} + 1))"
+    limit = f"least({ANYHOW}, greatest({LEAST_SHARE}, {tail}))"
+    return f"{share} - {SURE} * sqrt({share} * (1 - {share}) / (h.n + p.{r} + 1)) > {limit}"
+
+
 ORACLE_SQL = f"""
 WITH texts AS (SELECT doc_id, source, coalesce(text, '') AS text FROM documents),
 split AS (
@@ -149,7 +170,7 @@ s AS (SELECT {', '.join(f'sum(h.n * pow(h.{r} / h.n - m.{r}, 2)) / any_value(m.n
   FROM hosts h, m),
 p AS (SELECT {_RATES} FROM m, s),
 bad AS (SELECT source FROM hosts h, m, p
-  WHERE {' OR '.join(f'(h.{r} + m.{r} * p.{r}) / (h.n + p.{r}) > 0.5' for r in RULES)})
+  WHERE {' OR '.join(map(_surely, RULES))})
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
   short OR repeated AS base_failed,
   NOT (short OR repeated) AND NOT EXISTS (
