@@ -14,9 +14,9 @@ def test_threshold_covers_all_kept_out_findings(spark, monkeypatch):
         trained.append(len(windows)), train(windows, labels, rounds=2))[1])
     monkeypatch.setattr(secret_scan, "calibrated", lambda net, raw, y, weight: (
         counted.append((sum(weight), np.dot(y, weight))), calibrate(net, raw, y, weight))[1])
-    found = {(secret_scan.window(t, a, b), any(a < d and c < b for _, c, d in
-                                               secret_scan.base_spans(t)))
-             for _, t, _ in docs for a, b in secret_scan.candidates(t)}
+    found = [(w, sort) for _, t, _ in docs for a, b in secret_scan.candidates(t)
+             for sort in [secret_scan.sort_of(t, a, b, secret_scan.base_spans(t))]
+             if sort is not None for w in secret_scan.windows(t, a, b)]
     secret_scan.secret_scan(documents(spark, docs), sample=40).collect()
     assert trained == [40]
     (n, true), = counted

@@ -52,10 +52,28 @@ def test_whole_table(spark):
 
 
 def test_candidates():
-    text = "ab12 abcdefghijkl1 12345678901 x=y/z+1234-5_6 é123456789012é"
+    text = "ab12 abcdefghijkl1 12345678 x=y/z+1234-5_6 é123456789012é a1b2c3d"
     assert [text[a:b] for a, b in secret_scan.candidates(text)] == [
-        "abcdefghijkl1", "x=y/z+1234-5_6", "123456789012"]
-    assert len(secret_scan.window("", 0, 0)) == secret_scan.BEFORE + secret_scan.INSIDE
+        "abcdefghijkl1", "12345678", "x=y/z+1234-5_6", "123456789012"]
+    size = secret_scan.BEFORE + secret_scan.INSIDE + secret_scan.AFTER
+    assert len(secret_scan.window("", 0, 0)) == size
+    for n in (8, 39, 40, 41, 60, 61, 200, 1000):
+        run = "".join(chr(97 + k % 26) for k in range(n - 1)) + "1"
+        seen = secret_scan.windows(f"before {run} after", 7, 7 + n)
+        assert {len(w) for w in seen} == {size}
+        inner = [w[24:64].rstrip("\0") for w in seen]
+        places = [run.index(inner[0])] + [20 * k for k in range(1, len(inner) - 1)]
+        covered = {p + k for p, w in zip(places + [n - len(inner[-1])], inner) for k in range(len(w))}
+        assert covered == set(range(n)) and inner[-1] == run[-len(inner[-1]):]
+
+
+def test_plain_candidates_are_known_ones():
+    for text in ("12345678", "2024-01-02", "1.22.333.4", "mail23.example.com", "docs/page12/part3",
+                 "Chapter12", "VERSION10", "www2.example.org/en/12"):
+        assert secret_scan.sort_of(text, 0, len(text), []) == 0, text
+    for text in ("aB3dE5gH7", "9f8e7d6c5b4a", "key=Zx9Kd82hQw", "x7q9z2w4"):
+        assert secret_scan.sort_of(text, 0, len(text), []) is None, text
+        assert secret_scan.sort_of(text, 0, len(text), [("hex", 3, 5)]) == 1
 
 
 def corpus(n=900, seed=3):
@@ -80,14 +98,14 @@ def test_network_finds_what_patterns_miss(spark):
     # The labelled findings of the fit come from texts without bare keys.
     known = [d for d in docs if d[0] not in bare]
     found = [(d[1], a, b) for d in known for a, b in secret_scan.candidates(d[1])]
-    windows = [secret_scan.window(*f) for f in found]
+    windows = [secret_scan.windows(*f)[0] for f in found]
     labels = [any(a < d and c < b for _, c, d in secret_scan.base_spans(t)) for t, a, b in found]
     model = secret_scan.fit(windows, labels, np.arange(len(labels)) % 4 == 0)
     new, new_bare = corpus(600, 8)
     hits = {}
     for k, text, _ in new:
         spans = secret_scan.candidates(text)
-        raw = secret_scan.logits(model["net"], [secret_scan.window(text, *s) for s in spans])
+        raw = secret_scan.logits(model["net"], [w for s in spans for w in secret_scan.windows(text, *s)])
         chance = 1 / (1 + np.exp(-(model["slope"] * raw + model["shift"])))
         hits[k] = (chance >= model["threshold"]).any()
     assert np.mean([hits[k] for k in new_bare]) > 0.9
@@ -110,7 +128,7 @@ def test_added_spans_leave_base_ones(spark):
 
 def test_network_learns_what_is_in_the_window():
     draw = np.random.default_rng(1)
-    windows = ["".join(draw.choice(["a", "b", "1", "=", "X", "-"], 64)) for _ in range(60)]
+    windows = ["".join(draw.choice(["a", "b", "1", "=", "X", "-"], 80)) for _ in range(60)]
     labels = draw.integers(0, 2, 60)
     windows = [w[:40] + ("q7q" if y else "z9z") + w[43:] for w, y in zip(windows, labels)]
     net = secret_scan.train_network(windows, labels, rounds=40)
@@ -120,7 +138,7 @@ def test_network_learns_what_is_in_the_window():
 def test_slopes_fit_differences():
     """The first step of the training goes down the loss for every parameter."""
     draw = np.random.default_rng(2)
-    windows = ["".join(draw.choice(["a", "1", "=", "X"], 64)) for _ in range(64)]
+    windows = ["".join(draw.choice(["a", "1", "=", "X"], 80)) for _ in range(64)]
     labels = draw.integers(0, 2, 64)
 
     def loss(rounds):
@@ -129,3 +147,23 @@ def test_slopes_fit_differences():
         return np.mean(np.log1p(np.exp(np.where(labels == 1, -raw, raw))))
     losses = [loss(n) for n in (0, 10, 30, 60)]
     assert losses == sorted(losses, reverse=True)
+
+
+def test_planted_secrets_that_no_pattern_covers(spark):
+    """Bare keys, some deep in a long run, among texts whose findings teach the network; they are in
+    the scanned table themselves and are not held against it."""
+    draw = random.Random(12)
+    docs, bare = corpus(900)
+    key = lambda n=40: "".join(draw.choice("0123456789ABCDEF") for _ in range(n))
+    planted = {}
+    for k in range(200):
+        inner = ("config/prod/region-eu-west-1/service-account/" * 5 + "key=" + key() if k % 2
+                 else key())
+        planted[5000 + k] = f"some words {k} here {inner} and so on"
+    got = {r.doc_id: r for r in secret_scan.secret_scan(documents(
+        spark, docs + [(i, t, "s") for i, t in planted.items()])).collect()}
+    deep = np.mean([got[i].n_model > 0 for i in planted if i % 2])
+    plain = np.mean([got[i].n_model > 0 for i in planted if not i % 2])
+    clean = np.mean([got[i].n_model > 0 for i, _, _ in docs if i % 6 > 1])
+    print(deep, plain, clean)
+    assert deep >= 0.9 and plain >= 0.9 and clean < 0.02

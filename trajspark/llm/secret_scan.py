@@ -1,13 +1,14 @@
 """Secret scans: fixed patterns, and a character convolutional network for what they miss.
 
-Candidates are runs of token characters with a digit. The network (numpy) sees a candidate with
-the text before it and is trained on labelled findings: candidates that a pattern covers against
-those that none covers. Scores are calibrated on findings kept out of the training; the
-threshold is the lowest one that is precise on those, and never misses more than a share of them.
-
-The network is fitted on at most `sample` candidates; calibration and threshold come from a
-histogram of the scores of all kept-out ones, in their natural mix, and every candidate is scored.
-A candidate that no pattern covers counts as false there, also if it is a secret.
+Candidates are runs of eight and more token characters with a digit. The network (numpy) sees a
+candidate in windows that cover all of it, each with the text before and after, and the highest score
+counts. It is trained on labelled findings: candidates that a pattern covers against plain ones, that
+is, numbers and names with numbers. Candidates that are neither are unlabelled: they are scored, but
+neither trained on nor counted as false. Scores are calibrated on findings kept out of the training;
+the threshold is the lowest one that is precise on those, and never misses more than a share of them.
+
+The network is fitted on at most `sample` windows; calibration and threshold come from a histogram of
+the scores of all kept-out labelled ones, each as often as it occurs, and every candidate is scored.
 """
 
 import hashlib
@@ -22,8 +23,9 @@ SAMPLE = 6000            # labelled candidates that the network is fitted on, at
 RECALL = 0.98            # share of known findings that the threshold must keep
 PRECISION = 0.99         # share of true findings that it should have
 LEAST_THRESHOLD = 0.5
-LEAST_CHARS = 12         # of a candidate
-BEFORE, INSIDE = 24, 40  # characters that the network sees
+LEAST_CHARS = 8          # of a candidate
+BEFORE, INSIDE, AFTER = 24, 40, 16      # characters of a window
+STRIDE = 20              # between the windows of a longer candidate
 FILTERS, WIDTH, ROUNDS, SEED = 24, 5, 12, 42
 STEPS = 64               # of the histogram of raw scores, to one unit
 KINDS = ("assign", "access", "hex", "model")
@@ -35,6 +37,9 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 DIGITS = re.compile(r"[0-9]+")
+# Numbers, versions, hosts, paths and names with a short number, in one case.
+PLAIN = re.compile(r"(?:[A-Z]?[a-z]*|[A-Z]+)[0-9]{0,4}(?:[-+.=_/](?:[a-z]*[0-9]{0,4}|[0-9]+))*|[0-9]+"
+                   r"(?:[-+.=_/][0-9]+)*[-+.=_/]*")
 TOKEN = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-")
 
 ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789 \n\"'=:;,.-_+/@#"
@@ -72,19 +77,27 @@ def candidates(text):
 
 
 def window(text, start, end):
-    """What the network sees: the text before, padded with NUL, and the candidate's beginning."""
+    """What the network sees of a stretch: the text before, the stretch and the text after, padded
+    with NUL."""
     before = text[max(0, start - BEFORE):start]
-    return before.rjust(BEFORE, "\0") + text[start:min(end, start + INSIDE)].ljust(INSIDE, "\0")
+    after = text[end:end + AFTER]
+    return before.rjust(BEFORE, "\0") + text[start:end].ljust(INSIDE, "\0") + after.ljust(AFTER, "\0")
+
+
+def windows(text, start, end):
+    """The windows of a candidate: one, or overlapping ones that cover it all."""
+    starts = [start] if end - start <= INSIDE else [*range(start, end - INSIDE, STRIDE), end - INSIDE]
+    return [window(text, a, min(end, a + INSIDE)) for a in starts]
 
 
 def pixels(windows):
     """Windows -> (count, length, channels) of zeros and ones."""
-    out = np.zeros((len(windows), BEFORE + INSIDE, CHANNELS), np.float32)
+    out = np.zeros((len(windows), BEFORE + INSIDE + AFTER, CHANNELS), np.float32)
     for k, text in enumerate(windows):
         codes = [0 if c == "\0" else CODE.get(c.lower(), len(ALPHABET) + 1) for c in text]
         out[k, np.arange(len(codes)), codes] = 1
         out[k, :, -2] = [c.isupper() for c in text]
-    out[:, BEFORE:, -1] = 1
+    out[:, BEFORE:BEFORE + INSIDE, -1] = 1
     out[:, :, 0] = 0
     return out
 
@@ -108,7 +121,7 @@ def logits(net, windows):
 
 def train_network(windows, labels, rounds=ROUNDS, seed=SEED):
     """A network fitted with Adam on cross-entropy. In every round half of the windows lose
-    the text before them, so that the candidate itself must tell."""
+    the text around them, so that the candidate itself must tell."""
     draw = np.random.default_rng(seed)
     shape = {"filters": (WIDTH * CHANNELS, FILTERS), "shifts": (FILTERS,),
              "weights": (2 * FILTERS,), "base": ()}
@@ -121,7 +134,9 @@ def train_network(windows, labels, rounds=ROUNDS, seed=SEED):
         for k in range(0, len(order), 64):
             some = order[k:k + 64]
             x, y = pixels(windows[some]), labels[some]
-            x[draw.random(len(some)) < 0.5, :BEFORE] = 0
+            bare = draw.random(len(some)) < 0.5
+            x[bare, :BEFORE] = 0
+            x[bare, BEFORE + INSIDE:] = 0
             hidden, pooled, out = _forward(net, x)
             error = (1 / (1 + np.exp(-np.clip(out, -30, 30))) - y) / len(some)
             back = error[:, None] * net["weights"][None, :]
@@ -184,31 +199,37 @@ def calibrated(net, raw, y, weight):
 
 
 def _bins(net):
-    """(window, known) -> known and the raw score in steps of 1 / STEPS."""
+    """(window, known, n) -> known, the raw score in steps of 1 / STEPS, and n."""
     def run(batches):
         import pyarrow as pa
         for batch in batches:
             raw = np.clip(logits(net, batch.column("window").to_pylist()), -30, 30)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("known"), pa.array(np.rint(raw * STEPS).astype(np.int32))],
-                ["known", "bin"])
+                [batch.column("known"), pa.array(np.rint(raw * STEPS).astype(np.int32)),
+                 batch.column("n")], ["known", "bin", "n"])
     return run
 
 
+def sort_of(text, start, end, base):
+    """1 for a candidate that a pattern covers, 0 for a plain one, None for an unlabelled one."""
+    if any(c < end and start < d for _, c, d in base):
+        return 1
+    return 0 if PLAIN.fullmatch(text, start, end) else None
+
+
 def _findings(batches):
     import pyarrow as pa
     place = pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32())])
-    seen = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("window", pa.string()),
-                      ("known", pa.bool_())])
+    seen = pa.struct([("start", pa.int32()), ("end", pa.int32()),
+                      ("windows", pa.list_(pa.string())), ("known", pa.int32())])
     for batch in batches:
         bases, others = [], []
         for text in batch.column("text"):
             text = text.as_py() or ""
             base = base_spans(text)
             bases.append([{"kind": KINDS.index(k), "start": a, "end": b} for k, a, b in base])
-            others.append([{"start": a, "end": b, "window": window(text, a, b),
-                            "known": any(c < b and a < d for _, c, d in base)}
-                           for a, b in candidates(text)])
+            others.append([{"start": a, "end": b, "windows": windows(text, a, b),
+                            "known": sort_of(text, a, b, base)} for a, b in candidates(text)])
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(bases, pa.list_(place)),
              pa.array(others, pa.list_(seen))], ["doc_id", "base", "seen"])
@@ -224,10 +245,12 @@ def _judged(model):
         import pyarrow as pa
         for batch in batches:
             bases, seen = batch.column("base").to_pylist(), batch.column("seen").to_pylist()
-            open_ = [(k, s) for k, found in enumerate(seen) for s in found if not s["known"]]
+            open_ = [(k, s) for k, found in enumerate(seen) for s in found if s["known"] != 1]
             added = [[] for _ in bases]
             if model and open_:
-                raw = logits(model["net"], [s["window"] for _, s in open_])
+                each = logits(model["net"], [w for _, s in open_ for w in s["windows"]])
+                first = np.cumsum([0] + [len(s["windows"]) for _, s in open_])[:-1]
+                raw = np.maximum.reduceat(each, first)
                 chance = 1 / (1 + np.exp(-np.clip(model["slope"] * raw + model["shift"], -30, 30)))
                 for (k, s), p in zip(open_, chance):
                     if p >= model["threshold"]:
@@ -255,10 +278,11 @@ def secret_scan(docs: DataFrame, sample=SAMPLE) -> DataFrame:
     doc_id = docs.schema["doc_id"].dataType.simpleString()
     found = stored(docs.select("doc_id", "text").mapInArrow(
         _findings, f"doc_id {doc_id}, base array<struct<kind:int,start:int,end:int>>, "
-                   "seen array<struct<start:int,end:int,window:string,known:boolean>>"))
-    each = stored(found.select(F.inline("seen")).select(
-        "window", F.col("known").cast("int").alias("known")).distinct().withColumn(
-        "h", F.xxhash64("window", F.lit(SEED))))
+                   "seen array<struct<start:int,end:int,windows:array<string>,known:int>>"))
+    # Copies of a window lie on one side of the split and count as often as they occur.
+    each = stored(found.select(F.inline("seen")).filter("known is not null").select(
+        F.explode("windows").alias("window"), "known").groupBy("window", "known").agg(
+        F.count("*").alias("n")).withColumn("h", F.xxhash64("window", F.lit(SEED))))
     kept_out = F.pmod("h", F.lit(10)) < 3
     halves = [each.filter(~kept_out & (F.col("known") == k)).orderBy("h", "window")
               .limit(sample // 2) for k in (0, 1)]
@@ -266,9 +290,10 @@ def secret_scan(docs: DataFrame, sample=SAMPLE) -> DataFrame:
     model = None
     if rows["known"].nunique() == 2:
         net = train_network(rows["window"].tolist(), rows["known"])
-        counts = (each.filter(kept_out).select("window", "known")
-                  .mapInArrow(_bins(net), "known int, bin int")
-                  .groupBy("bin", "known").count().toPandas().sort_values(["bin", "known"]))
-        model = calibrated(net, counts["bin"] / STEPS, counts["known"], counts["count"])
+        counts = (each.filter(kept_out).select("window", "known", "n")
+                  .mapInArrow(_bins(net), "known int, bin int, n long")
+                  .groupBy("bin", "known").agg(F.sum("n").alias("n")).toPandas()
+                  .sort_values(["bin", "known"]))
+        model = calibrated(net, counts["bin"] / STEPS, counts["known"], counts["n"])
     return found.mapInArrow(_judged(model), f"doc_id {doc_id}, n_assign long, n_access long, "
                             "n_hex long, base_sha256 string, spans string, n_model long")
