@@ -113,3 +113,21 @@ def test_bound_and_shared_keys(a, b):
         whole = [{k for k, place in ks if place == -1} for ks in keys]
         assert set(keys[0]) & set(keys[1]) or any(
             whole[i] & {k for k, place in keys[1 - i] if place >= 0} for i in (0, 1))
+
+
+def test_any_ids_and_any_input(spark, tmp_path):
+    from pyspark.sql import functions as F
+    line = " ".join(f"w{k}" for k in range(12))
+    data = [("b", line + "\nonly here"), ("a", line.replace("w5", "x5")), ("c", line.upper()),
+            (None, "only here")]
+    docs = spark.createDataFrame(data, "doc_id string, text string")
+    wanted = {"a": "", "b": "0", "c": "0", None: "0"}
+    assert {r.doc_id: r.dropped for r in line_dedup.line_dedup(docs).collect()} == wanted
+    docs.write.parquet(str(tmp_path / "d"))
+    files = spark.read.parquet(str(tmp_path / "d"))
+    assert line_dedup.is_plain_scan(files.filter("text <> ''").select("doc_id", "text"))
+    shuffled = files.repartition(3, F.rand()).union(files.limit(0))
+    assert not line_dedup.is_plain_scan(shuffled)
+    assert {r.doc_id: r.dropped for r in line_dedup.line_dedup(shuffled).collect()} == wanted
+    kept = {r.doc_id: r.text for r in line_dedup.deduped(docs).collect()}
+    assert kept == {"a": line.replace("w5", "x5"), "b": "only here"}

@@ -19,7 +19,7 @@ from trajspark.llm.common import broadcast_if_small, cut, free_name, numbered, s
 from trajspark.operators.sequences import dense_ids
 
 LEAST_WORDS = 8
-LINES = ("_row long, no_id boolean, doc_id long, line int, hi long, lo long, "
+LINES = ("_row long, no_id boolean, doc_id {}, line int, hi long, lo long, "
          "halves array<long>")
 PLACE = ("no_id", "doc_id", "line", "_row")      # the order that "earliest" means
 
@@ -76,9 +76,10 @@ def _flush(names, types, rows):
 def _lines(batches):
     """One row per line with a word, and one per document at line -1."""
     import pyarrow as pa
-    shape = {"_row": pa.int64(), "no_id": pa.bool_(), "doc_id": pa.int64(), "line": pa.int32(),
-             "hi": pa.int64(), "lo": pa.int64(), "halves": pa.list_(pa.int64())}
     for batch in batches:
+        shape = {"_row": pa.int64(), "no_id": pa.bool_(), "doc_id": batch.column("doc_id").type,
+                 "line": pa.int32(), "hi": pa.int64(), "lo": pa.int64(),
+                 "halves": pa.list_(pa.int64())}
         rows = []
         for row, doc_id, text in zip(batch.column("_row").to_pylist(),
                                      batch.column("doc_id").to_pylist(), batch.column("text")):
@@ -168,7 +169,8 @@ def line_verdicts(full: DataFrame) -> DataFrame:
 
     `_row` must not change when the rows are read again: number a plain scan of files, or store.
     """
-    lines = stored(full.select("_row", "doc_id", "text").mapInArrow(_lines, LINES))
+    kind = full.schema["doc_id"].dataType.simpleString()
+    lines = stored(full.select("_row", "doc_id", "text").mapInArrow(_lines, LINES.format(kind)))
     first = stored(lines.filter("line >= 0").groupBy("hi", "lo").agg(
         F.min(F.struct(*PLACE)).alias("at"), F.first("halves").alias("halves")))
     near = cut(_near_lines(full, first)).select(
@@ -184,15 +186,25 @@ def line_verdicts(full: DataFrame) -> DataFrame:
         F.array_sort(F.collect_list(F.when(F.col("gone"), F.col("line")))).alias("dropped"))
 
 
+def is_plain_scan(frame: DataFrame) -> bool:
+    """Whether the rows come from files as they are, perhaps with columns or rows left out, so that
+    a lost task numbers them the same again."""
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    nodes = [line.lstrip(" :+-") for line in plan.splitlines() if line.strip()]
+    return all(n.startswith(("Project", "Filter", "Relation")) for n in nodes) and any(
+        n.startswith("Relation") for n in nodes)
+
+
 def line_dedup(docs: DataFrame) -> DataFrame:
     """doc_id, n_lines, n_dropped and dropped (line numbers from 0, comma-joined) of every row.
 
     Lines are parted by newlines; lines without words are never dropped. "Earlier" is by doc_id,
     null last, then line number; of equal rows either may come first, and the others lose their
     lines. Null and blank texts have no lines. Other columns are ignored; an empty table gives
-    an empty result. `docs` must be read from files as they are.
+    an empty result. Rows that do not come from files as they are get stored with their numbers.
     """
-    found = line_verdicts(numbered(docs.select("doc_id", "text")))
+    docs = docs.select("doc_id", "text")
+    found = line_verdicts(numbered(docs) if is_plain_scan(docs) else stored(numbered(docs)))
     return found.select("doc_id", "n_lines", F.size("dropped").cast("long").alias("n_dropped"),
                         F.array_join("dropped", ",").alias("dropped"))
 
