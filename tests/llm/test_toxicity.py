@@ -100,3 +100,13 @@ def test_logistic_regression():
     y = (draw.random(20_000) < 1 / (1 + np.exp(-(2 * x[:, 0] - x[:, 1] + 0.5)))).astype(float)
     weights, base = toxicity.logistic(x, y, 1e-3)
     assert np.abs(np.append(weights, base) - [2, -1, 0.5]).max() < 0.1
+
+
+def test_many_different_hits_take_linear_time():
+    import time
+    voters = toxicity.Voters([("idio", 1), ("nothing$", 2)])
+    text = " ".join(f"idio{chr(97 + k % 26)}_{k}" for k in range(40_000))
+    start = time.time()
+    ids, hits, _ = voters(f"{text} {text} idio$ idio$")
+    assert time.time() - start < 5 and hits == 80_002 and len(toxicity.VOTERS) in ids
+    assert voters("idio_1 idio_1 x")[1] == 2

@@ -83,14 +83,17 @@ class Voters:
         text = text or ""
         tokens = text.lower().split()
         said, stems, hits = dict.fromkeys((0, 1, 2), False), Counter(), 0
-        for token in set(tokens).difference(self.silent):
-            found = self.known.get(token) or self._token(token)
-            if found:
-                times = tokens.count(token)
-                for k, yes in found[0].items():
-                    said[k] = said[k] or yes
-                stems.update(dict.fromkeys(found[1], times))
-                hits += times
+        found = {token: self.known.get(token) or self._token(token)
+                 for token in set(tokens).difference(self.silent)}
+        found = {token: f for token, f in found.items() if f}
+        # A few tokens are counted one by one, many in one go.
+        counts = Counter(tokens) if len(found) > 8 else {t: tokens.count(t) for t in found}
+        for token, (votes, its_stems) in found.items():
+            times = counts[token]
+            for k, yes in votes.items():
+                said[k] = said[k] or yes
+            stems.update(dict.fromkeys(its_stems, times))
+            hits += times
         ids = {k for stem, n in stems.items() for k, times in self.stems[stem] if n >= times}
         chars = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
         upper = np.count_nonzero((chars >= 65) & (chars <= 90))
