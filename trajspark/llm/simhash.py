@@ -95,7 +95,7 @@ def links(fps: DataFrame, radius=RADIUS, tile=TILE) -> DataFrame:
     The counts of cells are broadcast: there are at most 17^4 of them, whatever the input.
     """
     cells = fps.select("fp", _cell(F.col("fp")).alias("cell"))
-    counts = cells.groupBy("cell").agg(F.ceil(F.count("*") / tile).alias("tiles"))
+    counts = cut(cells.groupBy("cell").agg(F.ceil(F.count("*") / tile).alias("tiles")))
     tiles = (cells.join(F.broadcast(counts), "cell")
              .groupBy("cell", F.pmod(F.xxhash64("fp"), "tiles").alias("tile"))
              .agg(F.collect_list("fp").alias("left")))
@@ -104,7 +104,12 @@ def links(fps: DataFrame, radius=RADIUS, tile=TILE) -> DataFrame:
         F.explode(F.array(*[F.lit(s) for s in _neighbours(radius)])).alias("step"),
         (F.col("cell") + F.col("step")).alias("cell"), F.col("tile").alias("other"),
         F.col("left").alias("right"))
-    pairs = tiles.join(others, "cell").filter("step != 0 or other >= tile")
+    # The counts say which tiles a tile meets: it goes to each of them by cell and tile, so that
+    # a cell of any size is spread over as many keys as it has tiles.
+    last = F.when(F.col("step") == 0, F.col("other")).otherwise(F.col("tiles") - 1)
+    others = others.join(F.broadcast(counts), "cell").select(
+        "cell", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("tile"), "right")
+    pairs = tiles.join(others, ["cell", "tile"])
     return pairs.select("left", "right").mapInArrow(_forest(radius), "a long, b long")
 
 
