@@ -1,3 +1,4 @@
+import math
 import zlib
 
 import numpy as np
@@ -90,8 +91,67 @@ def test_label_model_discounts_copies():
     good = [vote(0.9, 0.05), vote(0.9, 0.05), vote(0.9, 0.05)]
     votes = np.column_stack([noisy] * 10 + good)
     start = np.where(draw.random(4000) < 0.1, ~y, y).astype(float)
-    post = toxicity.label_model(votes, start, 0.3)
+    post, (hit, false) = toxicity.label_model(votes, start, 0.3)
     assert ((post > 0.5) == y).mean() > 0.97
+    # One given label in ten is wrong, which the model finds out.
+    assert abs(hit - start[y].mean()) < 0.02 and abs(false - start[~y].mean()) < 0.02
+
+
+def slow_label_model(votes, label, prior, rounds):
+    """The estimation row by row and voter by voter."""
+    n, m = len(votes), len(votes[0])
+    mean = [sum(v[k] for v in votes) / n for k in range(m)]
+    post, hit, false = [float(x) for x in label], toxicity.TRUST, 1 - toxicity.TRUST
+    more = toxicity.BELIEF
+    for turn in range(rounds):
+        bad, good = sum(post), n - sum(post)
+        p1 = [(sum(p * v[k] for p, v in zip(post, votes)) + mean[k]) / (bad + 1) for k in range(m)]
+        p0 = [(sum((1 - p) * v[k] for p, v in zip(post, votes)) + mean[k]) / (good + 1)
+              for k in range(m)]
+        if turn:
+            hit = (sum(p * x for p, x in zip(post, label)) + more * toxicity.TRUST) / (bad + more)
+            false = (sum((1 - p) * x for p, x in zip(post, label))
+                     + more * (1 - toxicity.TRUST)) / (good + more)
+        rest = [[v[k] - p * p1[k] - (1 - p) * p0[k] for k in range(m)]
+                for p, v in zip(post, votes)]
+        spread = [math.sqrt(sum(r[k] ** 2 for r in rest) / n) + 1e-6 for k in range(m)]
+        weight = []
+        for j in range(m):
+            near = [sum(r[j] * r[k] for r in rest) / n / spread[j] / spread[k] for k in range(m)]
+            weight.append(1 / (1 + sum(c for k, c in enumerate(near) if k != j and c >= 0.1)))
+        post = []
+        for v, x in zip(votes, label):
+            odds = math.log(prior / (1 - prior))
+            odds += math.log(hit / false) if x else math.log((1 - hit) / (1 - false))
+            for k in range(m):
+                a, b = (min(max(p[k], 1e-4), 1 - 1e-4) for p in (p1, p0))
+                odds += weight[k] * (math.log(a / b) if v[k] else math.log((1 - a) / (1 - b)))
+            post.append(1 / (1 + math.exp(-min(max(odds, -30), 30))))
+    return post, hit, false
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_label_model_by_definition(seed):
+    draw = np.random.default_rng(seed)
+    y = draw.random(80) < 0.35
+    votes = (draw.random((80, 5)) < np.where(y[:, None], 0.7, 0.2)).astype(float)
+    votes[:, 4] = votes[:, 0]
+    label = np.where(draw.random(80) < 0.15, ~y, y).astype(float)
+    for rounds in (1, 2, 6):
+        post, rates = toxicity.label_model(votes, label, 0.35, rounds)
+        slow, *slow_rates = slow_label_model(votes.tolist(), label.tolist(), 0.35, rounds)
+        # Estimation that stops early is within its own last step.
+        assert np.allclose(post, slow, atol=1e-3) and np.allclose(rates, slow_rates, atol=1e-3)
+
+
+def test_lexicons_and_patterns_vote():
+    voters = toxicity.Voters([])
+    said = lambda text: {toxicity.VOTERS[k] for k in voters(text)[0]}
+    assert said("an Idiot!") >= {"insult", "no stem"} and "no insult" not in said("an Idiot!")
+    assert "threat" in said("they will kill, it says") and "profane" in said("oh, shit happens")
+    assert "contempt" in said("mere VERMIN.") and "masked" in said("an id*ot")
+    assert "drawn out" in said("nooooo way") and "drawn out" not in said("1111 aaa")
+    assert said("") == said("a calm walk") == {"no stem", "no insult"}
 
 
 def test_logistic_regression():

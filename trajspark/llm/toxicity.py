@@ -25,20 +25,33 @@ SAMPLE = 8000            # labelled rows that the model is fitted on, at most
 STEMS = 200              # mined features, at most
 LEAST_DOCS = 4           # toxic sampled documents with a mined feature, at least
 TIMES = (1, 2)           # occurrences in a text that a mined voter may ask for
-TRUST = 0.95             # share of given labels taken to be right
+TRUST = 0.95             # share of given labels taken to be right before any is seen,
+BELIEF = 20              # as if it had been seen in so many rows of each class
 THRESHOLD = 0.7
 SEED = 42
 
-# Word lists of the lexicon voters.
-INSULTS = frozenset("""idiot idiots moron morons stupid dumb fool clown loser losers scum trash
+# Word lists of the lexicon voters and patterns of the pattern voters, by token.
+LEXICONS = {
+    "insult": frozenset("""idiot idiots moron morons stupid dumb fool clown loser losers scum trash
 garbage worthless pathetic disgusting imbecile cretin jerk bastard bitch asshole pervert
 idiota idiotas imbecil estupido estupida basura idiote imbécile stupide ordure connard salaud
-salope dummkopf trottel abschaum arschloch schwachkopf""".split())
-THREATS = frozenset("kill murder stab strangle slaughter lynch rape hurt tuer töten matar".split())
-
+salope dummkopf trottel abschaum arschloch schwachkopf""".split()),
+    "threat": frozenset("""kill murder stab strangle slaughter lynch rape hurt tuer töten matar
+""".split()),
+    "profane": frozenset("""fuck fucking fucked fucker shit shitty bullshit crap damn piss dick cunt
+whore slut wanker merde putain mierda puta joder scheisse scheiße ficken cazzo stronzo""".split()),
+    "contempt": frozenset("""hate hates hated despise loathe vermin parasite parasites subhuman filth
+savages inferior degenerate degenerates freak freaks deport hasse odio haine""".split()),
+}
+PATTERNS = {
+    "masked": re.compile(r"[^\W\d_][*@$#]+[^\W\d_]"),
+    "drawn out": re.compile(r"([^\W\d_])\1{3}"),
+}
+SHAPES = ("shout", "bang", "no stem", "no insult")
+VOTERS = (*LEXICONS, *PATTERNS, *SHAPES)
+INSULT = VOTERS.index("insult")
+BY_TOKEN = len(LEXICONS) + len(PATTERNS)
 LETTERS = re.compile(r"[^\W\d_]+")
-MASKED = re.compile(r"[^\W\d_][*@$#]+[^\W\d_]")
-VOTERS = ("insult", "threat", "masked", "shout", "bang", "no stem", "no insult")
 
 
 def features(token):
@@ -66,12 +79,13 @@ class Voters:
 
     def _token(self, token):
         words = LETTERS.findall(token)
-        found = ({0: any(w in INSULTS for w in words), 1: any(w in THREATS for w in words),
-                  2: bool(MASKED.search(token))},
+        said = [not known.isdisjoint(words) for known in LEXICONS.values()]
+        said += [bool(pattern.search(token)) for pattern in PATTERNS.values()]
+        found = ([k for k, yes in enumerate(said) if yes],
                  [f for f in features(token) if f in self.stems])
         if len(self.silent) + len(self.known) > 100_000:
             self.silent, self.known = set(), {}
-        if found[1] or any(found[0].values()):
+        if found[0] or found[1]:
             self.known[token] = found
             return found
         self.silent.add(token)
@@ -82,7 +96,7 @@ class Voters:
         same in a thousand words."""
         text = text or ""
         tokens = text.lower().split()
-        said, stems, hits = dict.fromkeys((0, 1, 2), False), Counter(), 0
+        said, stems, hits = set(), Counter(), 0
         found = {token: self.known.get(token) or self._token(token)
                  for token in set(tokens).difference(self.silent)}
         found = {token: f for token, f in found.items() if f}
@@ -90,17 +104,16 @@ class Voters:
         counts = Counter(tokens) if len(found) > 8 else {t: tokens.count(t) for t in found}
         for token, (votes, its_stems) in found.items():
             times = counts[token]
-            for k, yes in votes.items():
-                said[k] = said[k] or yes
+            said.update(votes)
             stems.update(dict.fromkeys(its_stems, times))
             hits += times
         ids = {k for stem, n in stems.items() for k, times in self.stems[stem] if n >= times}
         chars = np.frombuffer(text.encode("utf-8", "replace"), np.uint8)
         upper = np.count_nonzero((chars >= 65) & (chars <= 90))
         lower = np.count_nonzero((chars >= 97) & (chars <= 122))
-        said |= {3: upper > 20 and upper > lower, 4: text.count("!") * 50 > len(text),
-                 5: not ids, 6: not said[0]}
-        ids.update(k for k, yes in said.items() if yes)
+        shapes = (upper > 20 and upper > lower, text.count("!") * 50 > len(text), not ids,
+                  INSULT not in said)
+        ids |= said | {BY_TOKEN + k for k, yes in enumerate(shapes) if yes}
         return sorted(ids), hits, 1000 * hits / max(20, len(tokens))
 
 
@@ -111,18 +124,23 @@ def vector(ids, hits, rate, size):
     return out
 
 
-def label_model(votes, label, prior, rounds=30):
-    """Posterior of the toxic class per row of 0/1 `votes`, from expectation-maximisation.
+def label_model(votes, label, prior, rounds=50):
+    """Posterior of the toxic class per row of 0/1 `votes`, and how often the given label says
+    toxic on toxic and on clean rows, all from expectation-maximisation.
 
-    The given label is one more voter, right in a fixed share `TRUST` of the rows. Another
-    voter's log-odds are divided by the sum of its positive correlations (given the class) with
-    all voters, itself included.
+    The given label is one more voter. Its rates start at `TRUST` and are estimated like those of
+    the others, with `BELIEF` rows of each class that agree with `TRUST` added. A voter's log-odds
+    are divided by the sum of its positive correlations (given the class) with all voters of
+    `votes`, itself included. The label stands outside this, being no function of the text.
     """
-    given = np.log(TRUST / (1 - TRUST)) * (2 * label - 1)
     post, n, mean = label.astype(float), len(votes), votes.mean(axis=0)
-    for _ in range(rounds):
+    hit, false = TRUST, 1 - TRUST
+    for turn in range(rounds):
         p1 = (post @ votes + mean) / (post.sum() + 1)
         p0 = ((1 - post) @ votes + mean) / (n - post.sum() + 1)
+        if turn:                                    # the first posterior is the label itself
+            hit = (post @ label + BELIEF * TRUST) / (post.sum() + BELIEF)
+            false = ((1 - post) @ label + BELIEF * (1 - TRUST)) / (n - post.sum() + BELIEF)
         rest = votes - (post[:, None] * p1 + (1 - post)[:, None] * p0)
         spread = np.sqrt((rest ** 2).mean(axis=0)) + 1e-6
         together = np.maximum((rest.T @ rest) / n / np.outer(spread, spread), 0)
@@ -130,13 +148,14 @@ def label_model(votes, label, prior, rounds=30):
         together[together < 0.1] = 0
         weight = 1 / together.sum(axis=1)
         p1, p0 = np.clip(p1, 1e-4, 1 - 1e-4), np.clip(p0, 1e-4, 1 - 1e-4)
-        odds = given + np.log(prior / (1 - prior)) + votes @ (weight * np.log(p1 / p0)) \
+        odds = np.log(prior / (1 - prior)) + votes @ (weight * np.log(p1 / p0)) \
             + (1 - votes) @ (weight * np.log((1 - p1) / (1 - p0)))
+        odds += label * np.log(hit / false) + (1 - label) * np.log((1 - hit) / (1 - false))
         new = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
         if np.abs(new - post).max() < 1e-4:
             break
         post = new
-    return post
+    return post, (float(hit), float(false))
 
 
 def logistic(x, y, ridge):
@@ -160,15 +179,15 @@ def fit(stems, votes, toxic):
     size, toxic = len(VOTERS) + len(stems), np.asarray(toxic, float)
     if not 0 < toxic.sum() < len(toxic):
         weights = np.zeros(size + 2)
-        weights[:3], weights[size] = (5.0, 1.0, 0.5), 1.0
+        weights[:BY_TOKEN], weights[INSULT], weights[size] = 1.0, 5.0, 1.0
         return {"stems": list(stems), "weights": weights, "base": -4.0}
     x = np.array([vector(*v, size) for v in votes])
     prior = float(np.clip(toxic.mean(), 0.01, 0.5))
-    post = label_model(x[:, :size], toxic, prior)
+    post, label_rates = label_model(x[:, :size], toxic, prior)
     weights, base = logistic(x, post, 1.0)
     slope, shift = logistic((x @ weights + base)[:, None], toxic, 1e-3)
     return {"stems": list(stems), "weights": weights * slope[0],
-            "base": float(base * slope[0] + shift)}
+            "base": float(base * slope[0] + shift), "label_rates": label_rates}
 
 
 def held_out(doc_id="doc_id"):
