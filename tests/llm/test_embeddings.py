@@ -68,6 +68,21 @@ def test_whole_table(spark):
     assert rows(other, *COLUMNS) == slow(data, 0.3)
 
 
+def test_twin_in_sql():
+    """The twin on rows with links, copies and unusable vectors; the given tables have no links."""
+    import duckdb
+    import pyarrow as pa
+    data = corpus()
+    con = duckdb.connect()
+    con.register("embeddings", pa.table({
+        "vec_id": pa.array([d[0] for d in data], pa.int64()),
+        "embedding": pa.array([d[1] for d in data], pa.list_(pa.float32())),
+        "label": pa.array([d[2] for d in data], pa.int32())}))
+    columns = ", ".join(COLUMNS)
+    got = con.execute(f"SELECT {columns} FROM ({embeddings.ORACLE_SQL})").fetchall()
+    assert sorted(got, key=repr) == slow(data) and sum(r[1] for r in got) > 50
+
+
 def test_empty_table(spark):
     assert embeddings.embedding_dedup(spark.createDataFrame([], SCHEMA)).count() == 0
 

@@ -136,3 +136,27 @@ def embedding_dedup(rows: DataFrame, threshold=THRESHOLD, tile=TILE) -> DataFram
                                          F.col("vec_id").alias("component_id"))
     return linked.union(alone).withColumn(
         "kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
+
+
+ORACLE_SQL = f"""
+WITH RECURSIVE
+entries AS MATERIALIZED (
+  SELECT row_number() OVER () AS n, vec_id, label, embedding::DOUBLE[] AS v FROM embeddings),
+usable AS MATERIALIZED (
+  SELECT * FROM entries WHERE label IS NOT NULL AND v IS NOT NULL
+    AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(v, lambda x: x <> 0)) > 0),
+links AS MATERIALIZED (
+  SELECT a.n AS a, b.n AS b FROM usable a JOIN usable b ON a.label = b.label AND a.n <> b.n
+  WHERE CASE WHEN len(a.v) = len(b.v) THEN list_cosine_similarity(a.v, b.v) >= {THRESHOLD}
+        ELSE false END),
+reach AS (
+  SELECT n, vec_id AS found FROM entries
+  UNION
+  SELECT links.a, reach.found FROM reach JOIN links ON links.b = reach.n),
+least AS (SELECT n, min(found) AS component_id FROM reach GROUP BY n),
+counts AS (SELECT a AS n, count(*) AS n_links FROM links GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id,
+  coalesce(vec_id = component_id, false) AS kept
+FROM entries JOIN least USING (n) LEFT JOIN counts USING (n)
+"""

@@ -67,5 +67,6 @@ QUERIES = {f.__name__: f for f in (
     op11_fill_in_middle, op12_embedding_whitening, op13_url_filter)}
 ORACLE = {"op2_preference_format": preferences.ORACLE_SQL,
           "op6_license_scan": licenses.ORACLE_SQL, "op7_line_dedup": line_dedup.ORACLE_SQL,
+          "op8_embedding_dedup": embeddings.ORACLE_SQL,
           "op9_host_quality": hosts.ORACLE_SQL, "op11_fill_in_middle": infill.ORACLE_SQL,
           "op13_url_filter": url_filter.ORACLE_SQL}
