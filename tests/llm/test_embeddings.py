@@ -1,4 +1,5 @@
 import math
+import random
 
 import numpy as np
 import pytest
@@ -60,6 +61,27 @@ def test_cases(spark, tile):
     assert rows(embeddings.embedding_dedup(frame, tile=tile), *COLUMNS) == slow(data)
 
 
+@pytest.mark.parametrize("tile", [5, 2048])
+def test_pairs_in_doubt(spark, tile):
+    """A fan whose neighbours are a hair to both sides of the threshold: the codes decide none of
+    these, so every link of them comes from the second pass."""
+    draw, angle = random.Random(3), math.acos(0.98)
+    turns = [0.0]
+    for _ in range(40):
+        turns.append(turns[-1] + angle * (1 + draw.choice([-1e-3, -1e-4, 1e-4, 1e-3])))
+    data = [(500 - k, [math.cos(t), math.sin(t), 0.0], k // 30) for k, t in enumerate(turns)]
+    data += data[:3]
+    vectors = np.array([v for _, v, _ in data[:30]])
+    codes = embeddings.quantised(vectors)
+    pairs = [(i, j) for a, b, sure in embeddings.by_bounds(codes, codes, 0.98, True)
+             for i, j, known in zip(a, b, sure) if not known]
+    assert {(k, k + 1) for k in range(29)} <= set(pairs)
+    wanted = slow(data)
+    assert 10 < sum(row[1] > 0 for row in wanted) < len(data)
+    frame = spark.createDataFrame(data, "vec_id long, embedding array<double>, label int")
+    assert rows(embeddings.embedding_dedup(frame, tile=tile), *COLUMNS) == wanted
+
+
 def test_whole_table(spark):
     data = [(r.vec_id, r.embedding, r.label)
             for r in queries.table(spark, SMALL, "embeddings").collect()]

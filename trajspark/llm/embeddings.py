@@ -1,14 +1,16 @@
 """Embedding near-duplicates by int8 tile products with error bounds.
 
-Within a label distinct vectors are dealt into tiles of bounded size, and every two tiles meet
-once. Vectors are scaled to unit length and quantised to int8; each keeps the exact length of its
-quantisation error, which bounds how far a product of quantised vectors is from the cosine. Pairs
-surely above the threshold are links, pairs surely below it are none, and only the rest is
-computed in full precision. A tile pair emits link counts and a spanning forest of its links.
+Distinct vectors are scaled to unit length and quantised to int8 once; each keeps the exact length
+of its quantisation error, which bounds how far a product of quantised vectors is from the cosine.
+Within a label they are dealt into tiles of bounded size, and every two tiles meet once, as codes.
+Pairs surely above the threshold are links, pairs surely below it are none. A tile pair with pairs
+in doubt names the vectors concerned; only these come together again, in full precision. Both
+passes emit link counts and a spanning forest of the links, never the pairs.
 """
 
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from trajspark.llm.common import broadcast_if_small, cut, stored, numbered
 from trajspark.llm.components import components, merged
@@ -28,61 +30,149 @@ def quantised(vectors):
     return codes, scale, np.linalg.norm(near, axis=1), np.linalg.norm(unit - near, axis=1)
 
 
-def tile_links(left, right, threshold=THRESHOLD, same=False):
-    """Index pairs (i, j) of rows of two matrices with cosine >= threshold; with `same`, i < j."""
-    (a, scale_a, long_a, off_a), (b, scale_b, long_b, off_b) = quantised(left), quantised(right)
+def by_bounds(a, b, threshold, same=False):
+    """Index pairs (i, j) that may reach the threshold, and which of them surely do, in blocks."""
+    (codes_a, scale_a, long_a, off_a), (codes_b, scale_b, long_b, off_b) = a, b
     # Whole numbers up to 2^24 are exact in single precision.
-    kind = np.float32 if left.shape[1] * 127 * 127 < 1 << 24 else np.float64
-    found = []
-    rows = max(1, (1 << 22) // max(1, len(b)))
-    for r in range(0, len(a), rows):
+    kind = np.float32 if codes_a.shape[1] * 127 * 127 < 1 << 24 else np.float64
+    turned = codes_b.astype(kind).T
+    rows = max(1, (1 << 22) // max(1, len(codes_b)))
+    for r in range(0, len(codes_a), rows):
         part = slice(r, r + rows)
-        about = (a[part].astype(kind) @ b.astype(kind).T) * np.outer(scale_a[part], scale_b)
-        bound = np.outer(off_a[part], long_b + off_b) + np.outer(long_a[part], off_b) + 1e-12
+        about = (codes_a[part].astype(kind) @ turned) * np.outer(scale_a[part], scale_b)
+        # |error| <= long_a off_b + off_a long_b + off_a off_b, written alike from both sides.
+        bound = (np.outer(long_a[part] + off_a[part], long_b + off_b)
+                 - np.outer(long_a[part], long_b)) + 1e-12
         i, j = np.nonzero(about + bound >= threshold)
         if same:
             i, j = i[i + r < j], j[i + r < j]
-        sure = about[i, j] - bound[i, j] >= threshold + 1e-12
-        found.append((i[sure] + r, j[sure]))
-        i, j = i[~sure] + r, j[~sure]
-        for k in range(0, len(i), EXACT_PAIRS):
-            p, q = i[k:k + EXACT_PAIRS], j[k:k + EXACT_PAIRS]
-            cosine = np.einsum("nd,nd->n", left[p], right[q]) / (
-                np.linalg.norm(left[p], axis=1) * np.linalg.norm(right[q], axis=1))
-            found.append((p[cosine >= threshold], q[cosine >= threshold]))
+        yield i + r, j, about[i, j] - bound[i, j] >= threshold + 1e-12
+
+
+def reached(left, right, i, j, threshold):
+    """Which of the pairs have a cosine of `threshold` or more in full precision."""
+    parts = [np.zeros(0, bool)]
+    for k in range(0, len(i), EXACT_PAIRS):
+        p, q = left[i[k:k + EXACT_PAIRS]], right[j[k:k + EXACT_PAIRS]]
+        parts.append(np.einsum("nd,nd->n", p, q) / (
+            np.linalg.norm(p, axis=1) * np.linalg.norm(q, axis=1)) >= threshold)
+    return np.concatenate(parts)
+
+
+def tile_links(left, right, threshold=THRESHOLD, same=False, codes=None, with_sure=True):
+    """Index pairs (i, j) of rows of two matrices with cosine >= threshold; with `same`, i < j.
+    `codes` are their quantised forms; without `with_sure` pairs that the codes decide are left
+    out."""
+    found = []
+    for i, j, sure in by_bounds(*(codes or (quantised(left), quantised(right))), threshold, same):
+        if with_sure:
+            found.append((i[sure], j[sure]))
+        i, j = i[~sure], j[~sure]
+        links = reached(left, right, i, j, threshold)
+        found.append((i[links], j[links]))
     return tuple(np.concatenate(x) for x in zip(*found))
 
 
-def _compared(threshold):
-    """Tile pairs -> (a, b, links): links of b null are counts of a, others a forest."""
+CODES = "code binary, scale double, length double, off double"
+FOUND = "kind int, a long, b long, links long, left_tile long, right_tile long"
+COUNT, FOREST, DOUBT = range(3)     # kinds of rows found; DOUBT: vector a on side `links`
+
+
+def _coded(batches):
+    """Adds the quantised form to rows with a column `vector`."""
+    import pyarrow as pa
+    for whole in batches:
+        for at in range(0, whole.num_rows, 1024):
+            batch = whole.slice(at, 1024)
+            vectors = batch.column("vector")
+            sizes = vectors.value_lengths().to_numpy()
+            code = [None] * len(sizes)
+            numbers = np.zeros((3, len(sizes)))
+            for size in np.unique(sizes):
+                own = np.flatnonzero(sizes == size)
+                flat = vectors.take(pa.array(own)).flatten().to_numpy(zero_copy_only=False)
+                codes, *rest = quantised(flat.astype(np.float64).reshape(len(own), size))
+                numbers[:, own] = rest
+                for k, row in zip(own, codes):
+                    code[k] = row.tobytes()
+            added = [pa.array(code, pa.binary()), *map(pa.array, numbers)]
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, *added], [*batch.schema.names, "code", "scale", "length", "off"])
+
+
+def _codes(tile):
+    """The quantised form of an Arrow struct array."""
+    codes = np.frombuffer(b"".join(tile.field("code").to_pylist()), np.int8)
+    return (codes.reshape(len(tile), -1),
+            *(tile.field(c).to_numpy() for c in ("scale", "length", "off")))
+
+
+def _links(nodes, counts, i, j):
+    """Links (i, j) between two lists of nodes as rows (kind, a, b, links)."""
+    links = [np.bincount(i, counts[1][j], len(nodes[0])),
+             np.bincount(j, counts[0][i], len(nodes[1]))]
+    all_nodes, at = np.unique(np.concatenate(nodes), return_inverse=True)
+    label = merged(np.arange(len(all_nodes)), at[:len(nodes[0])][i], at[len(nodes[0]):][j])
+    own = np.flatnonzero(label != np.arange(len(all_nodes)))
+    some = [np.flatnonzero(x) for x in links]
+    return [(COUNT, a, None, n) for side in (0, 1)
+            for a, n in zip(nodes[side][some[side]].tolist(),
+                            links[side][some[side]].astype(np.int64).tolist())] + [
+        (FOREST, a, b, 0) for a, b in zip(all_nodes[own].tolist(), all_nodes[label[own]].tolist())]
+
+
+def _batch(rows):
+    import pyarrow as pa
+    types = [pa.int32()] + [pa.int64()] * 5
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, t) for c, t in zip(zip(*rows), types)],
+        ["kind", "a", "b", "links", "left_tile", "right_tile"])
+
+
+def _by_codes(threshold):
+    """Tile pairs -> rows of the links that are sure, and the vectors of the pairs in doubt."""
+    def run(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                sides = [batch.column(c)[k].values for c in ("left", "right")]
+                tiles = [batch.column(c)[k].as_py() for c in ("left_tile", "right_tile")]
+                nodes = [s.field("node").to_numpy() for s in sides]
+                counts = [s.field("copies").to_numpy() for s in sides]
+                doubt = [np.zeros(len(n), bool) for n in nodes]
+                links = []
+                for i, j, sure in by_bounds(*map(_codes, sides), threshold, tiles[0] == tiles[1]):
+                    links.append((i[sure], j[sure]))
+                    doubt[0][i[~sure]] = True
+                    doubt[1][j[~sure]] = True
+                i, j = (np.concatenate(x) for x in zip(*links))
+                rows = [(*r, None, None) for r in (_links(nodes, counts, i, j) if len(i) else [])]
+                rows += [(DOUBT, a, None, side, *tiles) for side in (0, 1)
+                         for a in nodes[side][doubt[side]].tolist()]
+                if rows:
+                    yield _batch(rows)
+    return run
+
+
+def _in_full(threshold):
+    """The vectors in doubt of a tile pair -> rows of the links that the codes left open."""
     def run(batches):
-        import pyarrow as pa
         for batch in batches:
             for k in range(batch.num_rows):
-                nodes, counts, vectors = [], [], []
-                for side in ("left", "right"):
-                    tile = batch.column(side)[k].values
-                    nodes.append(tile.field("node").to_numpy())
-                    counts.append(tile.field("copies").to_numpy())
-                    flat = tile.field("vector").flatten().to_numpy().astype(np.float64)
-                    vectors.append(flat.reshape(len(nodes[-1]), -1))
-                same = batch.column("same")[k].as_py()
-                i, j = tile_links(*vectors, threshold, same)
-                if not len(i):
-                    continue
-                links = [np.bincount(i, counts[1][j], len(nodes[0])),
-                         np.bincount(j, counts[0][i], len(nodes[1]))]
-                all_nodes, at = np.unique(np.concatenate(nodes), return_inverse=True)
-                label = merged(np.arange(len(all_nodes)), at[:len(nodes[0])][i],
-                               at[len(nodes[0]):][j])
-                own = np.flatnonzero(label != np.arange(len(all_nodes)))
-                some = [np.flatnonzero(x) for x in links]
-                a = np.concatenate([nodes[0][some[0]], nodes[1][some[1]], all_nodes[own]])
-                n = np.concatenate([links[0][some[0]], links[1][some[1]], np.zeros(len(own))])
-                b = pa.array([None] * (len(a) - len(own)) + all_nodes[label[own]].tolist(),
-                             pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(a), b, pa.array(n.astype(np.int64))], ["a", "b", "links"])
+                met = batch.column("met")[k].values
+                same = batch.column("left_tile")[k].as_py() == batch.column("right_tile")[k].as_py()
+                side = met.field("side").to_numpy()
+                node = met.field("node").to_numpy()
+                # Within a tile a vector may be in doubt as either partner: one list for both.
+                chosen = ([np.unique(node, return_index=True)[1]] * 2 if same
+                          else [np.flatnonzero(side == s) for s in (0, 1)])
+                sides = [met.take(c) for c in chosen]
+                vectors = [s.field("vector").flatten().to_numpy(zero_copy_only=False)
+                           .astype(np.float64).reshape(len(s), -1) for s in sides]
+                i, j = tile_links(*vectors, threshold, same, [_codes(s) for s in sides], False)
+                if len(i):
+                    yield _batch([(*r, None, None) for r in _links(
+                        [s.field("node").to_numpy() for s in sides],
+                        [s.field("copies").to_numpy() for s in sides], i, j)])
     return run
 
 
@@ -106,24 +196,35 @@ def embedding_dedup(rows: DataFrame, threshold=THRESHOLD, tile=TILE) -> DataFram
         "h2": F.xxhash64(F.lit(1), "embedding"), "size": F.size("embedding")}))
     key = ["label", "size", "h1", "h2"]
     # Copies meet once, as one node.
-    nodes = stored(full.filter("ok").groupBy(*key).agg(
+    nodes = full.filter("ok").groupBy(*key).agg(
         F.min("_row").alias("node"), F.min("vec_id").alias("least"),
-        F.count("*").alias("copies"), F.first("embedding").alias("vector")))
+        F.count("*").alias("copies"), F.first("embedding").alias("vector"))
+    shape = StructType(nodes.schema.fields + StructType.fromDDL(CODES).fields)
+    nodes = stored(nodes.mapInArrow(_coded, shape))
     labels = cut(nodes.groupBy("label", "size").agg(
         F.ceil(F.count("*") / tile).alias("tiles")))
+    codes = ["node", "copies", "code", "scale", "length", "off"]
     tiles = stored(
         nodes.join(broadcast_if_small(labels, 64), ["label", "size"])
         .groupBy("label", "size", F.pmod(F.xxhash64("node"), "tiles").alias("tile"),
                  F.col("tiles"))
-        .agg(F.collect_list(F.struct("node", "copies", "vector")).alias("left")))
-    partner = tiles.select("label", "size", F.col("tile").alias("other"),
+        .agg(F.min("node").alias("left_tile"), F.collect_list(F.struct(*codes)).alias("left")))
+    partner = tiles.select("label", "size", F.col("left_tile").alias("right_tile"),
                            F.col("left").alias("right"),
                            F.explode(F.sequence(F.lit(0), "tile")).alias("tile"))
-    pairs = tiles.select("label", "size", "tile", "left").join(partner, ["label", "size", "tile"])
-    found = cut(pairs.select("left", "right", (F.col("tile") == F.col("other")).alias("same"))
-                .mapInArrow(_compared(threshold), "a long, b long, links long"))
-    counts = found.filter("b is null").groupBy("a").agg(F.sum("links").alias("links"))
-    roots = components(found.filter("b is not null").select("a", "b"))
+    pairs = tiles.select("label", "size", "tile", "left_tile", "left").join(
+        partner, ["label", "size", "tile"])
+    by_codes = cut(pairs.select("left", "right", "left_tile", "right_tile")
+                   .mapInArrow(_by_codes(threshold), FOUND))
+    doubt = by_codes.filter(F.col("kind") == DOUBT).select(
+        "left_tile", "right_tile", F.col("links").alias("side"), F.col("a").alias("node"))
+    met = doubt.join(nodes.select(*codes, "vector"), "node").groupBy(
+        "left_tile", "right_tile").agg(F.collect_list(F.struct("side", *codes, "vector"))
+                                       .alias("met"))
+    in_full = cut(met.mapInArrow(_in_full(threshold), FOUND))
+    found = by_codes.union(in_full).filter(F.col("kind") != DOUBT)
+    counts = found.filter(F.col("kind") == COUNT).groupBy("a").agg(F.sum("links").alias("links"))
+    roots = components(found.filter(F.col("kind") == FOREST).select("a", "b"))
     joined = (nodes.select(*key, "node", "least", "copies")
               .join(counts, F.col("node") == F.col("a"), "left").drop("a")
               .join(roots.withColumnRenamed("node", "n"), F.col("node") == F.col("n"), "left"))
