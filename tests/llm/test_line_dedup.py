@@ -115,6 +115,36 @@ def test_bound_and_shared_keys(a, b):
             whole[i] & {k for k, place in keys[1 - i] if place >= 0} for i in (0, 1))
 
 
+def test_common_lines_and_others(spark, tmp_path):
+    """The same rows whether all, some or none of the repeated lines count as common."""
+    docs = [(i, t, "s") for i, t in corpus()] + [(9000 + k, "a b c\nonly " + str(k), "s")
+                                                 for k in range(60)]
+    documents(spark, docs).write.parquet(str(tmp_path / "d"))
+    full = spark.read.parquet(str(tmp_path / "d")).selectExpr("doc_id AS _row", "doc_id", "text")
+    full = full.filter("doc_id is not null")
+    wanted = [(i, n, [int(k) for k in d.split(",") if k]) for i, n, _, d in slow(
+        [(i, t) for i, t, _ in docs if i is not None])]
+    for common in (1, 4, 1 << 40):
+        got = line_dedup.line_verdicts(full, common)
+        assert rows(got, "doc_id", "n_lines", "dropped") == sorted(wanted, key=repr)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "CartesianProduct" not in plan and sum(len(w[2]) for w in wanted) > 60
+
+
+def test_keys_of_a_very_long_line():
+    """Time is linear in the line: 50,000 words in well under a minute, each variant's key that of
+    the line without the word."""
+    import time
+    words = [b"w%d" % (k % 977) for k in range(50_000)]
+    start = time.process_time()
+    keys = line_dedup.variant_keys(words)
+    assert time.process_time() - start < 5
+    assert [place for _, place in keys] == list(range(-1, 50_000))
+    for k in (0, 1, 25_000, 49_999):
+        assert keys[k + 1][0] == line_dedup.variant_keys(words[:k] + words[k + 1:])[0][0]
+    assert len({key for key, _ in keys}) == len(keys)
+
+
 def test_any_ids_and_any_input(spark, tmp_path):
     from pyspark.sql import functions as F
     line = " ".join(f"w{k}" for k in range(12))

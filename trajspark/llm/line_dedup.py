@@ -10,6 +10,10 @@ distance of these pairs is then verified on the words.
 
 Variants are emitted for a line only if another line shares its first or its last half, which
 every pair within the bound does; lines alone in both halves have no partner.
+
+Most lines occur once and have no partner; only the others are looked up for every place they
+stand at. Those that make up a large share of all places are few, so they are sent to the places;
+no task meets all places of a common line.
 """
 
 import xxhash
@@ -19,8 +23,10 @@ from trajspark.llm.common import broadcast_if_small, cut, free_name, numbered, s
 from trajspark.operators.sequences import dense_ids
 
 LEAST_WORDS = 8
+COMMON = 1024            # a line at one place in so many or more is common; so many at most are
 LINES = ("_row long, no_id boolean, doc_id {}, line int, hi long, lo long, "
-         "halves array<long>")
+         "halves array<long>, n_lines long")
+PRIME, BASE = (1 << 61) - 1, 0x1d8e4e27c47d124f     # of the hash of a variant
 PLACE = ("no_id", "doc_id", "line", "_row")      # the order that "earliest" means
 
 
@@ -50,9 +56,20 @@ def half_keys(words):
 
 
 def variant_keys(words):
-    """(key, place) of the whole line, at place -1, and of each variant with one word deleted."""
-    return [(_signed(xxhash.xxh64_intdigest(b" ".join(part), 2)), k) for k, part in
-            [(-1, words), *((k, words[:k] + words[k + 1:]) for k in range(len(words)))]]
+    """(key, place) of the whole line, at place -1, and of each variant with one word deleted.
+
+    A key is a polynomial in the hashes of its words, so a variant's comes from those of the
+    words before and after the gap: time is linear in the line.
+    """
+    n = len(words)
+    before, power = [0], [1]
+    for word in words:
+        before.append((before[-1] * BASE + xxhash.xxh64_intdigest(word, 2)) % PRIME)
+        power.append(power[-1] * BASE % PRIME)
+    # The words after the gap keep their powers; those before it move down by one.
+    return [(before[n], -1)] + [
+        ((before[n] + (before[k] - before[k + 1]) * power[n - 1 - k]) % PRIME, k)
+        for k in range(n)]
 
 
 def within_bound(a, b):
@@ -74,24 +91,26 @@ def _flush(names, types, rows):
 
 
 def _lines(batches):
-    """One row per line with a word, and one per document at line -1."""
+    """One row per line with a word, and one per document, at line -1, with their number."""
     import pyarrow as pa
     for batch in batches:
         shape = {"_row": pa.int64(), "no_id": pa.bool_(), "doc_id": batch.column("doc_id").type,
                  "line": pa.int32(), "hi": pa.int64(), "lo": pa.int64(),
-                 "halves": pa.list_(pa.int64())}
+                 "halves": pa.list_(pa.int64()), "n_lines": pa.int64()}
         rows = []
         for row, doc_id, text in zip(batch.column("_row").to_pylist(),
                                      batch.column("doc_id").to_pylist(), batch.column("text")):
-            rows.append((row, doc_id is None, doc_id, -1, None, None, None))
+            count = 0
             for k, line in enumerate((text.as_py() or "").split("\n")):
                 words = line_words(line)
                 if words:
-                    rows.append((row, doc_id is None, doc_id, k, *line_hash(words),
-                                 half_keys(words) if len(words) >= LEAST_WORDS else None))
-            if len(rows) >= 4_000:
-                yield _flush(list(shape), shape.values(), rows)
-                rows = []
+                    count += 1
+                    rows.append((row, doc_id is None, doc_id, k, *line_hash(words), half_keys(
+                        words) if len(words) >= LEAST_WORDS else None, None))
+                if len(rows) >= 2_000:
+                    yield _flush(list(shape), shape.values(), rows)
+                    rows = []
+            rows.append((row, doc_id is None, doc_id, -1, None, None, None, count))
         if rows:
             yield _flush(list(shape), shape.values(), rows)
 
@@ -118,7 +137,7 @@ def _variants(batches):
         rows = []
         for id_, norm in zip(batch.column("id").to_pylist(), batch.column("norm").to_pylist()):
             rows += [(id_, *v) for v in variant_keys(norm.split(b" "))]
-            if len(rows) >= 20_000:
+            if len(rows) >= 10_000:
                 yield _flush(list(shape), shape.values(), rows)
                 rows = []
         if rows:
@@ -163,27 +182,34 @@ def _verify(batches):
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64())], ["id"])
 
 
-def line_verdicts(full: DataFrame) -> DataFrame:
+def line_verdicts(full: DataFrame, common=COMMON) -> DataFrame:
     """(_row, doc_id, text) -> _row, doc_id, n_lines (with a word) and `dropped`, the numbers of
-    the lines that go, from 0, in order.
+    the lines that go, from 0, in order. `common`: see COMMON; it only chooses the way.
 
     `_row` must not change when the rows are read again: number a plain scan of files, or store.
     """
     kind = full.schema["doc_id"].dataType.simpleString()
     lines = stored(full.select("_row", "doc_id", "text").mapInArrow(_lines, LINES.format(kind)))
+    places = lines.filter("line >= 0").select("_row", "line", "hi", "lo")
     first = stored(lines.filter("line >= 0").groupBy("hi", "lo").agg(
-        F.min(F.struct(*PLACE)).alias("at"), F.first("halves").alias("halves")))
+        F.min(F.struct(*PLACE)).alias("at"), F.first("halves").alias("halves"),
+        F.count("*").alias("n")))
     near = cut(_near_lines(full, first)).select(
         F.col("_row").alias("r"), F.col("line").alias("l"), F.lit(True).alias("near"))
-    marked = first.select("hi", "lo", F.col("at._row").alias("r"), F.col("at.line").alias("l"))
-    marked = marked.join(broadcast_if_small(near, 48), ["r", "l"], "left")
-    found = lines.filter("line >= 0").join(marked, ["hi", "lo"])
-    gone = F.expr("near is not null or not (_row = r and line = l)")
-    found = found.select("_row", "doc_id", "line", gone.alias("gone")).union(
-        lines.filter("line = -1").select("_row", "doc_id", "line", F.lit(False)))
-    return found.groupBy("_row", "doc_id").agg(
-        (F.count("*") - 1).alias("n_lines"),
-        F.array_sort(F.collect_list(F.when(F.col("gone"), F.col("line")))).alias("dropped"))
+    looked_up = stored(
+        first.select("hi", "lo", "n", F.col("at._row").alias("r"), F.col("at.line").alias("l"))
+        .join(broadcast_if_small(near, 48), ["r", "l"], "left").filter("n > 1 or near"))
+    total = first.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    often = F.col("n") * common >= F.lit(total)
+    hot = F.broadcast(looked_up.filter(often))         # at most `common` rows
+    found = places.join(hot, ["hi", "lo"]).union(
+        places.join(hot.select("hi", "lo"), ["hi", "lo"], "left_anti")
+        .join(looked_up.filter(~often), ["hi", "lo"]))
+    gone = found.filter("near or not (_row = r and line = l)").groupBy("_row").agg(
+        F.array_sort(F.collect_list("line")).alias("dropped"))
+    return lines.filter("line = -1").select("_row", "doc_id", "n_lines").join(
+        gone, "_row", "left").withColumn(
+        "dropped", F.coalesce("dropped", F.array().cast("array<int>")))
 
 
 def is_plain_scan(frame: DataFrame) -> bool:
